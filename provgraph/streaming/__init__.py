@@ -1,0 +1,8 @@
+"""Streaming: nothing to build.
+
+The pipeline this package reproduces is a full-refresh batch: every stage
+rebuilds its table from the complete claim history, and it has no stream
+source, watermark, event-time window or stateful operator.  Its only notion
+of time is the calendar month key of the claims.  No streaming operator is
+added here; see the README.
+"""
