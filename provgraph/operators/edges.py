@@ -72,23 +72,21 @@ def commercial_edges_by_role(
     patient), then count with min/max service date per (rendering, claim year,
     claim month, org).  The claim year stays a hidden group key.
     """
-    base = claims.filter(
-        F.col("rendering_npiid").isNotNull() & (F.col("claim_year") >= cfg.min_claim_year)
-    )
-    expanded = _expand_roles(
-        base.select("claim_year", "service_to_date", "rendering_npiid", "billing_npiid", "dpid",
-                    *[COMMERCIAL_ROLES[r] for r in roles]),
-        {r: COMMERCIAL_ROLES[r] for r in roles},
-        role_col="org_role",
-        value_col="org_npiid",
-    )
-    expanded = expanded.filter(_any_role(roles, "org_role", _commercial_role_predicate))
-
     xr = crosswalk.select(F.col("npiid").alias("rendering_npiid"), F.col("npi").alias("physician_npi"))
     xo = crosswalk.select(F.col("npiid").alias("org_npiid"), F.col("npi").alias("org_npi"))
+    # The rendering id is resolved once per claim, before the role expansion
+    # doubles the rows.
+    base = (
+        claims.filter(F.col("rendering_npiid").isNotNull() & (F.col("claim_year") >= cfg.min_claim_year))
+        .select("claim_year", "service_to_date", "rendering_npiid", "billing_npiid", "dpid",
+                *[COMMERCIAL_ROLES[r] for r in roles])
+        .join(xr, "rendering_npiid")
+    )
+    expanded = _expand_roles(
+        base, {r: COMMERCIAL_ROLES[r] for r in roles}, role_col="org_role", value_col="org_npiid"
+    ).filter(_any_role(roles, "org_role", _commercial_role_predicate))
     resolved = (
-        expanded.join(xr, "rendering_npiid")
-        .join(xo, "org_npiid")
+        expanded.join(xo, "org_npiid")
         .select(
             "org_role",
             "claim_year",
@@ -154,7 +152,7 @@ def _medicare_role_predicate(role: str) -> Column:
     npi_raw, org_raw = F.col("npi_raw"), F.col("org_npi_num")
     # All comparisons are on the raw strings, before the cast (Q7); a NULL
     # attending / operating id compares as '0'.
-    p = tsql_int(npi_raw).isNotNull() & tsql_int(org_raw).isNotNull() & (npi_raw != org_raw)
+    p = tsql_int(npi_raw).isNotNull() & (npi_raw != org_raw)
     if role in ("operating", "rendering"):
         p = p & (npi_raw != F.coalesce(F.col("at_physn_npi"), F.lit("0")))
     if role == "rendering":
@@ -169,10 +167,12 @@ def medicare_events(claims: DataFrame, roles: tuple[str, ...] = tuple(MEDICARE_R
     which is the same as DISTINCT inside each per-type branch followed by
     UNION ALL (Q5).
     """
+    # The organisation id is the same for every role: cast and test it once
+    # per claim, before the rows are multiplied by the role expansion.
     base = claims.select(
         "vintage", "claim_type", "clm_thru_dt", "org_npi_num", "desy_sort_key",
-        "at_physn_npi", "op_physn_npi", "rndrng_physn_npi",
-    )
+        "at_physn_npi", "op_physn_npi", "rndrng_physn_npi", tsql_int("org_npi_num").alias("org_npi"),
+    ).filter(F.col("org_npi").isNotNull())
     expanded = _expand_roles(base, {r: MEDICARE_ROLES[r] for r in roles}, role_col="role", value_col="npi_raw")
     return (
         expanded.filter(_any_role(roles, "role", _medicare_role_predicate))
@@ -182,7 +182,7 @@ def medicare_events(claims: DataFrame, roles: tuple[str, ...] = tuple(MEDICARE_R
             "claim_type",
             F.col("clm_thru_dt").alias("service_to_date"),
             tsql_int("npi_raw").alias("physician_npi"),
-            tsql_int("org_npi_num").alias("org_npi"),
+            "org_npi",
             F.col("desy_sort_key").alias("patient"),
         )
         .dropDuplicates()

@@ -19,20 +19,23 @@ def unique_patients_commercial(claims: DataFrame, crosswalk: DataFrame, cfg: Pip
     distinct rows, Q11).  The DISTINCT runs partial + final, so a dominant
     (physician, company) pair is collapsed map-side before the count.
     """
-    base = claims.filter(
-        (F.col("claim_year") >= cfg.min_claim_year) & (F.col("billing_npiid") != F.col("rendering_npiid"))
-    ).select("rendering_npiid", "dpid", "billing_npiid", "service_facility_npiid")
+    xr = crosswalk.select(F.col("npiid").alias("rendering_npiid"), F.col("npi").alias("physician_npi"))
+    xo = crosswalk.select(F.col("npiid").alias("org_npiid"), "defhc_id").filter(F.col("defhc_id").isNotNull())
+    base = (
+        claims.filter(
+            (F.col("claim_year") >= cfg.min_claim_year) & (F.col("billing_npiid") != F.col("rendering_npiid"))
+        )
+        .select("rendering_npiid", "dpid", "billing_npiid", "service_facility_npiid")
+        .join(xr, "rendering_npiid")
+    )
     expanded = _expand_roles(
         base,
         {"billing": "billing_npiid", "service_facility": "service_facility_npiid"},
         role_col="org_role",
         value_col="org_npiid",
     )
-    xr = crosswalk.select(F.col("npiid").alias("rendering_npiid"), F.col("npi").alias("physician_npi"))
-    xo = crosswalk.select(F.col("npiid").alias("org_npiid"), "defhc_id").filter(F.col("defhc_id").isNotNull())
     return (
-        expanded.join(xr, "rendering_npiid")
-        .join(xo, "org_npiid")
+        expanded.join(xo, "org_npiid")
         .select("physician_npi", "defhc_id", "dpid")
         .dropDuplicates()
         .groupBy("physician_npi", "defhc_id")

@@ -1,9 +1,10 @@
 """The whole affiliation pipeline as one lazy DAG (OP-33).
 
 Stage order follows the original steps 1 -> 7.  Each stage is a lazily
-built DataFrame; two stages are materialised when a shared checkpoint folder
-is configured:
+built DataFrame; three stages are materialised:
 
+- ``medicare_edges``: the three Medicare role edge lists, read by the rollup
+  and by the Medicare totals;
 - ``affiliations``: the affiliation summary, read by decay, score, bucket
   bounds, shares and assembly;
 - ``assembled``: the table before the directory insert, read three times by
@@ -65,8 +66,12 @@ class AffiliationPipeline:
 
     @cached_property
     def medicare_edges(self) -> DataFrame:
-        """OP-05 + OP-06 + OP-07 in one pass, with a ``role`` column."""
-        return edges.medicare_edges_by_role(self.medicare_events)
+        """OP-05 + OP-06 + OP-07 in one pass, with a ``role`` column.
+
+        Read by the rollup and by the Medicare totals, so it is materialised:
+        the claims are scanned and de-duplicated once.
+        """
+        return self.materialize(edges.medicare_edges_by_role(self.medicare_events), "medicare_edges")
 
     # ------------------------------------------------------------------ step 2: combine
     @cached_property

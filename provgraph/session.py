@@ -28,10 +28,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, checkpoin
     )
     if event_log_dir:
         b = b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
+    active = SparkSession.getActiveSession()
+    configured = active.conf.get("spark.checkpoint.dir", None) if active else None
+    if checkpoint and not configured:
+        # spark.checkpoint.dir is static: it can only be given to the builder.
+        b = b.config("spark.checkpoint.dir", checkpoint_dir or tempfile.mkdtemp(prefix="provgraph-ckpt-"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if checkpoint and (checkpoint_dir is not None or not spark.conf.get("spark.checkpoint.dir", None)):
-        d = checkpoint_dir or tempfile.mkdtemp(prefix="provgraph-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if d and not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return spark

@@ -148,14 +148,21 @@ def stage_sources(spark: SparkSession, sources: Sources, materialize=None) -> So
     from provgraph.plans.publish import Materializer
 
     m = materialize or Materializer(spark)
+    # The driver's tables are single-row-group files, so the derivation runs
+    # in one task; spread the two claim tables over files so that every
+    # later scan is parallel.  Medicare claims get one directory per
+    # (vintage, release, claim type) partition like the production layout.
+    spread = {
+        "commercial_claims": lambda df: df.repartition(spark.sparkContext.defaultParallelism),
+        "medicare_claims": lambda df: df.repartition("vintage", "release", "claim_type"),
+    }
     staged = {}
     for f in fields(Sources):
         if f.name == "medicare_availability":
             continue
         part = ["vintage", "release", "claim_type"] if f.name == "medicare_claims" else None
-        staged[f.name] = conform(
-            m(getattr(sources, f.name), f"sources/{f.name}", partition_by=part), ROLE_SCHEMAS[f.name]
-        )
+        df = spread.get(f.name, lambda d: d)(getattr(sources, f.name))
+        staged[f.name] = conform(m(df, f"sources/{f.name}", partition_by=part), ROLE_SCHEMAS[f.name])
     staged["medicare_availability"] = m(
         medicare_availability_of(staged["medicare_claims"]), "sources/medicare_availability"
     )
