@@ -164,3 +164,22 @@ def test_analysis_dates(spark):
     r = decay.analysis_dates(avail, files, cfg).collect()[0]
     assert r.dt_comm == date(2020, 3, 1)  # May 31 - 3 months = Feb 29, + 1 day
     assert r.dt_mcr == date(2021, 4, 1)
+
+
+def test_finalize_inserted_rows_q24_q25(spark, cfg):
+    from provgraph.operators.assemble import ASSEMBLED_COLUMNS, FINAL_COLUMNS
+    from provgraph.plans.columns import COLUMN_TYPES
+
+    schema = ", ".join(f"{c} {COLUMN_TYPES[c]}" for c in ASSEMBLED_COLUMNS)
+    row = {c: None for c in ASSEMBLED_COLUMNS}
+    row.update(physician_npi=1, defhc_id=10, firm_type="Hospital", score_bucket=3, other_source_flag=1,
+               comm_claims=2, mcr_claims=0, months=1, firm_type_rank=1)
+    assembled = spark.createDataFrame([tuple(row[c] for c in ASSEMBLED_COLUMNS)], schema)
+    hosp = spark.createDataFrame([(1, 11, "Hospital", 2)], "npi long, hospital_id long, firm_type string, affiliation_rank int")
+    groups = spark.createDataFrame([(1, 12, "Physician Group")], "npi long, hospital_id long, firm_type string")
+    out = asm.finalize(assembled, hosp, groups, cfg)
+    assert out.columns == FINAL_COLUMNS
+    got = {r.defhc_id: (r.score_bucket, r.include_flag, r.comm_claims) for r in out.collect()}
+    assert got[10] == (4, 1, 2)  # claim edge corroborated: +1, included as other source
+    assert got[11] == (2, 1, None)  # inserted hospital row: not uplifted (Q24), included (Q25)
+    assert got[12] == (6, 1, None)

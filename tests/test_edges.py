@@ -126,3 +126,20 @@ def test_vintage_is_hidden_key_q4(spark, cfg):
     ])
     edges = E.medicare_edges(claims, avail(spark, [(2016, "annual"), (2017, "annual")]), cfg, "attending")
     assert edges.count() == 2  # same (npi, org, month) twice
+
+
+def test_one_scan_events_equal_per_type_union(spark, cfg):
+    """OP-04 equivalence: one dedup keyed by claim type == DISTINCT per type + UNION ALL."""
+    from conftest import SF0001
+    from provgraph.sources.adapter import load_testdata
+
+    src = load_testdata(spark, SF0001)
+    claims = E.selected_claims(src.medicare_claims, src.medicare_availability, cfg.__class__.for_testdata())
+    one_scan = E.medicare_events(claims)
+    per_type = None
+    for t in ["inp", "out", "snf", "hha", "hosp"]:
+        for role in E.MEDICARE_ROLES:
+            branch = E.medicare_events(claims.filter(F.col("claim_type") == t), (role,))
+            per_type = branch if per_type is None else per_type.unionAll(branch)
+    assert one_scan.count() == per_type.count()
+    assert one_scan.exceptAll(per_type).count() == 0

@@ -111,3 +111,14 @@ def test_claim_shares_equivalence_on_fixture(spark):
 
 def test_unify_keeps_edge_columns(spark):
     assert EDGE_COLUMNS == [f.name for f in EDGE.fields]
+
+
+def test_claim_year_month_outside_service_window_q29(spark):
+    # The affiliation's commercial window comes from service dates (Jan 2017);
+    # a total booked under claim year 2016 for that visit falls outside it.
+    a = frame(spark, AFFIL, [(1, 100, 2, 0, date(2017, 1, 5), date(2017, 1, 20), None, None)])
+    tc = frame(spark, TOT_C, [(1, date(2016, 1, 1), 3), (1, date(2017, 1, 1), 4)])
+    tm = frame(spark, TOT_M, [])
+    for fn in (shares.claim_shares, shares.claim_shares_literal):
+        r = fn(a, tc, tm).collect()[0]
+        assert abs(r.pct_claims_comm - 2 / 4) < 1e-12
