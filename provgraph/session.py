@@ -24,7 +24,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, checkpoin
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", "16g")
+        # Local runs keep every job's plan and metrics in the driver; cap
+        # that history so long sessions (tests, bench loops) do not slow down.
+        .config("spark.sql.ui.retainedExecutions", "20")
+        .config("spark.ui.retainedJobs", "100")
+        .config("spark.ui.retainedStages", "200")
+        .config("spark.ui.retainedTasks", "2000")
     )
     if event_log_dir:
         b = b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
