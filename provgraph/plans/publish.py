@@ -18,10 +18,21 @@ def checkpoint_root(spark: SparkSession) -> str | None:
     """The shared checkpoint folder configured for this session, if any."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no SparkContext on a Spark Connect client
+            root = None
     return root or None
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Cores available to the session (shuffle partitions on a Connect client)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 class Materializer:
     """Writes intermediate tables of one pipeline run under a unique prefix.
 

@@ -58,7 +58,9 @@ def _claim_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A single-file, single-row-group input is read by one task; spread it
     # before the per-row derivation so that runs on every core.  Inputs that
     # already come as many files are left alone.
-    cores = spark.sparkContext.defaultParallelism
+    from provgraph.plans.publish import parallelism
+
+    cores = parallelism(spark)
     if len(li.inputFiles()) < cores:
         li = li.repartition(cores)
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -151,7 +153,7 @@ def load_testdata(spark: SparkSession, sf_dir: str, stage: bool = True) -> Sourc
 
 def stage_sources(spark: SparkSession, sources: Sources, materialize=None) -> Sources:
     """Write every role once and read it back (see :func:`load_testdata`)."""
-    from provgraph.plans.publish import Materializer
+    from provgraph.plans.publish import Materializer, parallelism
 
     m = materialize or Materializer(spark)
     # The driver's tables are single-row-group files, so the derivation runs
@@ -159,7 +161,7 @@ def stage_sources(spark: SparkSession, sources: Sources, materialize=None) -> So
     # later scan is parallel.  Medicare claims get one directory per
     # (vintage, release, claim type) partition like the production layout.
     spread = {
-        "commercial_claims": lambda df: df.repartition(spark.sparkContext.defaultParallelism),
+        "commercial_claims": lambda df: df.repartition(parallelism(spark)),
         "medicare_claims": lambda df: df.repartition("vintage", "release", "claim_type"),
     }
     staged = {}
