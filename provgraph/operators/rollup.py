@@ -97,6 +97,8 @@ def monthly_rollup(unified: DataFrame, claim_availability: DataFrame, cfg: Pipel
     """
     max_claim_date = claim_availability.select(F.max("claim_date")).scalar()
     month = F.col("claim_month")
+    if cfg.copartition_rollup:
+        unified = unified.repartition("physician_npi", "defhc_id")
     monthly = (
         unified.filter((month >= F.lit(cfg.min_claim_month)) & (month <= max_claim_date))
         .groupBy("physician_npi", "defhc_id", "claim_month")

@@ -122,3 +122,14 @@ def test_claim_year_month_outside_service_window_q29(spark):
     for fn in (shares.claim_shares, shares.claim_shares_literal):
         r = fn(a, tc, tm).collect()[0]
         assert abs(r.pct_claims_comm - 2 / 4) < 1e-12
+
+
+def test_copartitioned_rollup_is_equivalent(spark):
+    from dataclasses import replace
+
+    base = PipelineConfig.for_testdata()
+    src = load_testdata(spark, SF0001)
+    a = AffiliationPipeline(spark, src, base).affiliations
+    b = AffiliationPipeline(spark, src, replace(base, copartition_rollup=True)).affiliations
+    assert a.count() == b.count() == 2482
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
