@@ -156,10 +156,10 @@ def stage_sources(spark: SparkSession, sources: Sources, materialize=None) -> So
     from provgraph.plans.publish import Materializer, parallelism
 
     m = materialize or Materializer(spark)
-    # The driver's tables are single-row-group files, so the derivation runs
-    # in one task; spread the two claim tables over files so that every
-    # later scan is parallel.  Medicare claims get one directory per
-    # (vintage, release, claim type) partition like the production layout.
+    # Spread the two claim tables over several files so that every later
+    # scan is parallel (the driver's inputs are single-file tables).  Medicare
+    # claims get one directory per (vintage, release, claim type) partition,
+    # like the production layout.
     spread = {
         "commercial_claims": lambda df: df.repartition(parallelism(spark)),
         "medicare_claims": lambda df: df.repartition("vintage", "release", "claim_type"),
