@@ -131,3 +131,13 @@ def test_sources_from_parquet_round_trip(spark):
         a, b = getattr(derived, f.name), getattr(back, f.name)
         assert a.columns == b.columns
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_command_line_publishes_the_table(spark, pipe):
+    from provgraph.__main__ import main
+
+    out = tempfile.mkdtemp(prefix="provgraph-cli-") + "/final"
+    main(["--testdata", SF0001, "--out", out, "--as-of", "2001-11-05"], spark=spark)
+    back = spark.read.parquet(out)
+    assert back.count() == pipe.final.count() == 2617
+    assert len(back.columns) == 31
