@@ -30,18 +30,19 @@ def analysis_dates(
     service date of the newest selected vintage (in its selected release),
     plus one day (Q30).
     """
-    comm = (
-        claim_availability.filter(F.col("analysis_type_id") == 1)
-        .select(F.date_add(F.add_months(F.max("claim_date"), -cfg.commercial_lag_months), 1).alias("dt_comm"))
-    )
     sel = select_vintages(medicare_availability, cfg)
     newest = sel.select(F.max("vintage")).scalar()
-    mcr = (
+    dt_mcr = (
         medicare_availability.join(F.broadcast(sel), ["vintage", "release"], "left_semi")
         .filter(F.col("vintage") == newest)
-        .select(F.date_add(F.max("max_clm_thru_dt"), 1).alias("dt_mcr"))
+        .select(F.date_add(F.max("max_clm_thru_dt"), 1))
+        .scalar()
+    )
+    return (
+        claim_availability.filter(F.col("analysis_type_id") == 1)
+        .agg(F.date_add(F.add_months(F.max("claim_date"), -cfg.commercial_lag_months), 1).alias("dt_comm"))
+        .select("dt_comm", dt_mcr.alias("dt_mcr"))
     )
-    return comm.crossJoin(mcr)
 
 
 def with_decay(affiliations: DataFrame, dt_comm: Column, dt_mcr: Column, cfg: PipelineConfig) -> DataFrame:
