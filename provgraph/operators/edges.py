@@ -58,11 +58,24 @@ def _commercial_role_predicate(role: str) -> Column:
     raise ValueError(role)
 
 
+def resolve_rendering(claims: DataFrame, crosswalk: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """Commercial claims from the first claim year on, with the rendering NPIID
+    mapped to the physician NPI (``physician_npi``).
+
+    Every commercial consumer (edges, physician totals, patients) starts with
+    exactly this inner join; a claim whose rendering id is NULL or unknown
+    drops out of all of them.
+    """
+    xr = crosswalk.select(F.col("npiid").alias("rendering_npiid"), F.col("npi").alias("physician_npi"))
+    return claims.filter(F.col("claim_year") >= cfg.min_claim_year).join(xr, "rendering_npiid")
+
+
 def commercial_edges_by_role(
     claims: DataFrame,
     crosswalk: DataFrame,
     cfg: PipelineConfig,
     roles: tuple[str, ...] = ("billing", "service_facility"),
+    resolved: DataFrame | None = None,
 ) -> DataFrame:
     """Edges for several organisation roles in one pass.
 
@@ -71,21 +84,23 @@ def commercial_edges_by_role(
     crosswalk, DISTINCT (claim year, service date, rendering NPI, org NPI,
     patient), then count with min/max service date per (rendering, claim year,
     claim month, org).  The claim year stays a hidden group key.
+
+    ``resolved`` is an already computed :func:`resolve_rendering` of the
+    claims (shared between consumers); without it the join is done here.
     """
-    xr = crosswalk.select(F.col("npiid").alias("rendering_npiid"), F.col("npi").alias("physician_npi"))
     xo = crosswalk.select(F.col("npiid").alias("org_npiid"), F.col("npi").alias("org_npi"))
     # The rendering id is resolved once per claim, before the role expansion
     # doubles the rows.
-    base = (
-        claims.filter(F.col("rendering_npiid").isNotNull() & (F.col("claim_year") >= cfg.min_claim_year))
-        .select("claim_year", "service_to_date", "rendering_npiid", "billing_npiid", "dpid",
-                *[COMMERCIAL_ROLES[r] for r in roles])
-        .join(xr, "rendering_npiid")
+    if resolved is None:
+        resolved = resolve_rendering(claims, crosswalk, cfg)
+    base = resolved.select(
+        "claim_year", "service_to_date", "rendering_npiid", "physician_npi", "billing_npiid", "dpid",
+        *[COMMERCIAL_ROLES[r] for r in roles],
     )
     expanded = _expand_roles(
         base, {r: COMMERCIAL_ROLES[r] for r in roles}, role_col="org_role", value_col="org_npiid"
     ).filter(_any_role(roles, "org_role", _commercial_role_predicate))
-    resolved = (
+    visits = (
         expanded.join(xo, "org_npiid")
         .select(
             "org_role",
@@ -98,7 +113,7 @@ def commercial_edges_by_role(
         .dropDuplicates()
     )
     return (
-        resolved.groupBy(
+        visits.groupBy(
             "org_role",
             "physician_npi",
             "claim_year",

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from provgraph.config import PipelineConfig
 from provgraph.functions.dialect import canonical_long
-from provgraph.operators.edges import MEDICARE_ROLES, _expand_roles, selected_claims
+from provgraph.operators.edges import MEDICARE_ROLES, _expand_roles, resolve_rendering, selected_claims
 
 
-def unique_patients_commercial(claims: DataFrame, crosswalk: DataFrame, cfg: PipelineConfig) -> DataFrame:
+def unique_patients_commercial(
+    claims: DataFrame, crosswalk: DataFrame, cfg: PipelineConfig, resolved: DataFrame | None = None
+) -> DataFrame:
     """OP-14: distinct (physician, company, patient) through the billing id and
     through the facility id, counted per (physician, company).
 
@@ -19,14 +21,11 @@ def unique_patients_commercial(claims: DataFrame, crosswalk: DataFrame, cfg: Pip
     distinct rows, Q11).  The DISTINCT runs partial + final, so a dominant
     (physician, company) pair is collapsed map-side before the count.
     """
-    xr = crosswalk.select(F.col("npiid").alias("rendering_npiid"), F.col("npi").alias("physician_npi"))
     xo = crosswalk.select(F.col("npiid").alias("org_npiid"), "defhc_id").filter(F.col("defhc_id").isNotNull())
-    base = (
-        claims.filter(
-            (F.col("claim_year") >= cfg.min_claim_year) & (F.col("billing_npiid") != F.col("rendering_npiid"))
-        )
-        .select("rendering_npiid", "dpid", "billing_npiid", "service_facility_npiid")
-        .join(xr, "rendering_npiid")
+    if resolved is None:
+        resolved = resolve_rendering(claims, crosswalk, cfg)
+    base = resolved.filter(F.col("billing_npiid") != F.col("rendering_npiid")).select(
+        "physician_npi", "dpid", "billing_npiid", "service_facility_npiid"
     )
     expanded = _expand_roles(
         base,

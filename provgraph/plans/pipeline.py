@@ -47,10 +47,21 @@ class AffiliationPipeline:
         self.materialize = materialize if materialize is not None else Materializer(spark)
 
     # ------------------------------------------------------------------ step 1: edges
+    @cached_property
+    def commercial_resolved(self) -> DataFrame | None:
+        """Rendering-resolved commercial claims, shared and materialised when
+        ``cfg.share_commercial_resolution`` is set; else each consumer joins."""
+        if not self.cfg.share_commercial_resolution:
+            return None
+        resolved = edges.resolve_rendering(self.src.commercial_claims, self.src.crosswalk, self.cfg)
+        return self.materialize(resolved, "commercial_resolved")
+
     @cached_property
     def commercial_edges(self) -> DataFrame:
         """OP-01 + OP-02 in one pass, with an ``org_role`` column."""
-        return edges.commercial_edges_by_role(self.src.commercial_claims, self.src.crosswalk, self.cfg)
+        return edges.commercial_edges_by_role(
+            self.src.commercial_claims, self.src.crosswalk, self.cfg, resolved=self.commercial_resolved
+        )
 
     @cached_property
     def vintages(self) -> DataFrame:
@@ -88,7 +99,9 @@ class AffiliationPipeline:
 
     @cached_property
     def totals_commercial(self) -> DataFrame:
-        return shares.physician_totals_commercial(self.src.commercial_claims, self.src.crosswalk, self.cfg)
+        return shares.physician_totals_commercial(
+            self.src.commercial_claims, self.src.crosswalk, self.cfg, resolved=self.commercial_resolved
+        )
 
     @cached_property
     def totals_medicare(self) -> DataFrame:
@@ -100,7 +113,9 @@ class AffiliationPipeline:
 
     @cached_property
     def patients_commercial(self) -> DataFrame:
-        return patients.unique_patients_commercial(self.src.commercial_claims, self.src.crosswalk, self.cfg)
+        return patients.unique_patients_commercial(
+            self.src.commercial_claims, self.src.crosswalk, self.cfg, resolved=self.commercial_resolved
+        )
 
     @cached_property
     def patients_medicare(self) -> DataFrame:

@@ -141,3 +141,15 @@ def test_command_line_publishes_the_table(spark, pipe):
     back = spark.read.parquet(out)
     assert back.count() == pipe.final.count() == 2617
     assert len(back.columns) == 31
+
+
+def test_shared_commercial_resolution_is_equivalent(spark, pipe):
+    from dataclasses import replace
+
+    cfg = replace(PipelineConfig.for_testdata(), share_commercial_resolution=True)
+    shared = AffiliationPipeline(spark, pipe.src, cfg)
+    assert shared.commercial_resolved is not None
+    for name in ("commercial_edges", "totals_commercial", "patients_commercial"):
+        a, b = getattr(pipe, name), getattr(shared, name)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+    assert shared.final.count() == pipe.final.count()
