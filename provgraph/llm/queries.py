@@ -4,18 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from provgraph.llm.common import crc_mod
+from provgraph.llm.embedding_dedup import near_duplicate_vectors
 from provgraph.llm.exact_dedup import exact_duplicates
+from provgraph.llm.minhash import near_duplicates
 from provgraph.llm.mixing import mix
+from provgraph.llm.packing import pack
+from provgraph.llm.secret_scan import BASE_RULES, find_secrets
+from provgraph.llm.suffix_tree_lm import lm_scores
+from provgraph.llm.toxicity import fit, toxicity_scores
 from provgraph.llm.url_filter import Rule, filter_urls
+from provgraph.llm.warc import read_warc, write_warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(_table(spark, sf_dir, "documents"))
+    kinds = [r.kind for r in BASE_RULES]
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = [F.size(F.filter(F.transform("spans", lambda s: s["kind"]), lambda kind: kind == F.lit(k))).cast("long").alias(f"n_{k}") for k in kinds]  # noqa: B023
+    return found.select("doc_id", *count, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), width=5, percent=85)
+
+
 URL_RULES = [Rule("block", "net"), Rule("allow", "example.net", "/en/"), Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/")]
 
 
@@ -23,17 +45,44 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(_table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = toxicity_scores(docs, fit(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = mix(_table(spark, sf_dir, "documents"), weights=(3, 1, 2), total=1.5, cap=2.0)
     return marks.select("doc_id", "size", "source_size", "target", "taken", F.col("copies"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = read_warc(write_warc(_table(spark, sf_dir, "pages")))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_url_filter, op6_exact_dedup, op8_mixing)}
+    ops = (
+        op1_secret_scan, op2_minhash, op3_url_filter, op4_suffix_tree, op5_toxicity, op6_exact_dedup, op7_embedding_dedup,
+        op8_mixing, op9_packing, op10_warc,
+    )
+    return {f.__name__: f for f in ops}
 
 
 _OP3_SQL = """
@@ -92,5 +141,20 @@ FROM e JOIN b ON e.source IS NOT DISTINCT FROM b.source AND e.seed = b.seed
 """
 
 
+_OP10_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha1(b) AS h FROM p),
+-- Base 32 of the 40 hex digits: each 5 of them are 4 letters.
+e AS (
+  SELECT page_id, payload_bytes, h, list_aggregate(list_transform(range(8), lambda i:
+    list_aggregate(list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, 5 * i + 1, 5))::BIGINT >> s) & 31) + 1, 1)), 'string_agg', '')), 'string_agg', '') AS payload_digest
+  FROM d),
+k AS (SELECT h, max(page_id) AS keeper FROM d GROUP BY h)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+FROM e JOIN k USING (h)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": _OP3_SQL, "op6_exact_dedup": _OP6_SQL, "op8_mixing": _OP8_SQL}
+    return {"op3_url_filter": _OP3_SQL, "op6_exact_dedup": _OP6_SQL, "op8_mixing": _OP8_SQL, "op10_warc": _OP10_SQL}
