@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -33,6 +34,20 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once for each Spark application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_shipped_package", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    folder = Path(tempfile.mkdtemp(prefix="package-"))
+    with zipfile.ZipFile(path := folder / f"{package.name}.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(path))
+    sc._shipped_package = True
+
+
 class Scratch:
     """Parquet tables in a folder of their own below the shared work folder.
 
@@ -42,6 +57,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        ship(spark)
         self.spark = spark
         self.folder = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
         self._n = 0
@@ -101,7 +117,3 @@ def numbered(scratch: Scratch, df: DataFrame, by: list[str], name: str = "pos")
     )
     local = part.withColumn(name, F.row_number().over(Window.partitionBy("_part").orderBy(*by)) - 1)
     return local.join(F.broadcast(starts), "_part").withColumn(name, F.col(name) + F.col("_start")).drop("_part", "_start")
-
-
-def with_columns(schema: T.StructType, *extra: tuple[str, T.DataType]) -> T.StructType:
-    return T.StructType([*schema.fields, *(T.StructField(n, t) for n, t in extra)])

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from provgraph.llm.common import ship
+
 #: Id that ends every document.
 END_ID = 1
 #: Tokens that one packing batch holds at most, but for its last document.
@@ -173,6 +175,7 @@ def pack(
     documents of their own; a null id stays null; empty tables give an empty
     result; extra columns are not read.
     """
+    ship(docs.sparkSession)
     sizes = sorted(tiers)
     if any(t & (t - 1) for t in sizes):
         raise ValueError("tiers are powers of two")

@@ -14,7 +14,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from provgraph.llm.common import LOWER_TABLE, Scratch, crc_mod
+from provgraph.llm.common import LOWER_TABLE, Scratch, crc_mod, ship
+from provgraph.llm.minhash import shingle_set, signature
 
 _EDGE = b".,;:!?\"'()[]{}<>*_-"
 #: Lengths in bytes of the word beginnings that stand in for rare words.
@@ -25,8 +26,8 @@ _STEMS = (6, 5, 4)
 class ToxicitySettings:
     """``sample``: labelled rows, by hash, that the model is fitted on at most; ``features``: of them kept at most, by |z|.
 
-    ``prior``: strength of the Dirichlet prior, as a share of all training tokens.  ``least_z`` and
-    ``least_count``: what a feature needs.  ``cost``: taken off for a token
+    ``prior``: strength of the Dirichlet prior, as a share of all training tokens.  ``least_z``,
+    ``least_odds`` (absolute log-odds) and ``least_count``: what a feature needs.  ``cost``: taken off for a token
     without evidence.  ``calibrate``: one of so many sample rows is kept from
     the log-odds for the extreme-value fit and the final weights.
     ``threshold``: least score of a toxic document.
@@ -35,8 +36,9 @@ class ToxicitySettings:
     sample: int = 50_000
     features: int = 100_000
     prior: float = 0.05
-    least_z: float = 3.0
-    least_count: int = 4
+    least_z: float = 2.33
+    least_odds: float = 1.5
+    least_count: int = 3
     cost: float = 0.08
     calibrate: int = 4
     threshold: float = 0.7
@@ -164,7 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings | None =
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text"))
     part = F.pmod(F.xxhash64("_id", F.lit("part")), F.lit(s.calibrate)) == 0
     # At most ``sample`` rows of two numbers.
-    rows = scratch.save(texts.join(F.broadcast(chosen), "_id").select("_text", "toxic", (~part).alias("fit")))
+    rows = scratch.save(_distinct(scratch, texts.join(F.broadcast(chosen), "_id").select("_id", "_text", "toxic", (~part).alias("fit"))))
     counts = scratch.save(rows.where("fit").select("_text", "toxic").mapInArrow(_counted, "k long, clean long, toxic long").groupBy("k").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
     # Every token counts once as a word and again for each beginning; the totals of words suffice for the odds.
     tot = counts.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).first()
@@ -175,7 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings | None =
     a, a0 = s.prior * (y1 + y0), s.prior * (n1 + n0)
     odds = F.log((y1 + a) / (n1 + a0 - y1 - a)) - F.log((y0 + a) / (n0 + a0 - y0 - a))
     z = odds / F.sqrt(1 / (y1 + a) + 1 / (y0 + a))
-    strong = counts.select("k", odds.alias("w"), z.alias("z"), (y0 / n0).alias("p")).where((y1 + y0 >= s.least_count) & (F.abs("z") >= s.least_z))
+    strong = counts.select("*", odds.alias("w"), z.alias("z"), (y0 / n0).alias("p")).where((y1 + y0 >= s.least_count) & (F.abs("z") >= s.least_z) & (F.abs("w") >= s.least_odds))
     top = strong.orderBy(F.abs("z").desc(), "k").limit(s.features).toArrow().to_pydict()
     model.weight = dict(zip(top["k"], top["w"], strict=True))
     model.lam = _lambda(np.array(top["w"]), np.array(top["p"]), s.cost)
@@ -191,6 +193,27 @@ def fit(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings | None =
     return model
 
 
+def _distinct(scratch: Scratch, rows: DataFrame) -> DataFrame:
+    """The sample without copies and near copies, whose words would pass for words of their label.
+
+    Two rows that agree in one of four MinHash values of their three-word
+    shingles are taken for copies; the one with the least hash of its id stays.
+    """
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingle_set(tokens_of(t.as_py()), 3) for t in b.column("_text")]
+            sketches = [signature(s)[:4].tolist() if len(s) else [] for s in sets]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sketches, pa.list_(pa.int32()))], [*b.schema.names, "sketch"])
+
+    id_type = rows.schema["_id"].dataType.simpleString()
+    signed = scratch.save(rows.mapInArrow(sketch, f"_id {id_type}, _text binary, toxic int, fit boolean, sketch array<int>"))
+    values = signed.select("_id", F.xxhash64("_id").alias("h"), F.posexplode("sketch").alias("at", "value"))
+    first = values.groupBy("at", "value").agg(F.min(F.struct("h", "_id")).alias("first"))
+    copies = values.join(first, ["at", "value"]).where("_id != first._id").select("_id").distinct()
+    return signed.join(copies, "_id", "left_anti").select("_text", "toxic", "fit")
+
+
 def _measured(rows: DataFrame, model: ToxicityModel, of) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The label and two numbers of each row of the bounded sample."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
@@ -261,6 +284,7 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id
     columns are not read.  A scan without shuffle; the model is bounded by
     its settings.
     """
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,6 +308,7 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id
 
 def without_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that score below the model's threshold, all columns kept; no shuffle."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")

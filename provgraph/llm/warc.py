@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from provgraph.llm.common import Scratch, shared_root
+from provgraph.llm.common import Scratch, shared_root, ship
 
 #: Bytes that an archive holds at most before the next one is opened, but for its last record.
 ARCHIVE_BYTES = 256 << 20
@@ -165,6 +165,7 @@ def read_warc(selected: DataFrame) -> DataFrame:
     are checked against their digest and length; a revisit has none (null)
     and states those of the record it refers to.
     """
+    ship(selected.sparkSession)
     n = int(selected.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_ = selected.select("archive", "offset", "length").repartitionByRange(n, "archive", "offset").sortWithinPartitions("archive", "offset")
 
