@@ -24,11 +24,10 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from provgraph.config import PipelineConfig  # noqa: E402
-from provgraph.operators import edges as E  # noqa: E402
 from provgraph.plans.pipeline import AffiliationPipeline  # noqa: E402
 from provgraph.plans.publish import Materializer  # noqa: E402
 from provgraph.session import local_session  # noqa: E402
-from provgraph.sources.adapter import derive_sources, stage_sources  # noqa: E402
+from provgraph.sources.adapter import StagedSources, derive_sources  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -43,9 +42,7 @@ STAGES = {
     "unique_patients_medicare": lambda p: p.patients_medicare,
     "hospital_affiliations": lambda p: p.hospital_affiliations,
     "final_affiliations": lambda p: p.final,
-    "vintage_attending_edges": lambda p: E.medicare_edges(
-        p.src.medicare_claims, p.src.medicare_availability, p.cfg, "attending"
-    ),
+    "scored": lambda p: p.scored,
 }
 
 
@@ -60,21 +57,21 @@ def _timed(fn) -> float:
 
 
 def main() -> None:
-    work = tempfile.mkdtemp(prefix="provgraph-bench-")
+    work = os.environ.get("BENCH_WORK") or tempfile.mkdtemp(prefix="provgraph-bench-")
     cores = int(CPUS) if CPUS.isdigit() else 8
     spark = local_session(CPUS, shuffle_partitions=max(8, cores * 2), checkpoint_dir=f"{work}/ckpt")
     cfg = PipelineConfig.for_testdata()
 
     def end_to_end() -> None:
         m = Materializer(spark)
-        src = stage_sources(spark, derive_sources(spark, SF_DIR), m)
+        src = StagedSources(spark, derive_sources(spark, SF_DIR), m)
         _noop(AffiliationPipeline(spark, src, cfg, m).final)
 
     end_to_end()  # warm-up (JIT, file listing caches)
     e2e = statistics.median(_timed(end_to_end) for _ in range(RUNS))
 
     m = Materializer(spark)
-    staged = stage_sources(spark, derive_sources(spark, SF_DIR), m)
+    staged = StagedSources(spark, derive_sources(spark, SF_DIR), m).stage_all()
     results = {}
     for name, stage in STAGES.items():
         times = []
@@ -84,7 +81,7 @@ def main() -> None:
             times.append(_timed(lambda: _noop(stage(p))))
         results[name] = round(statistics.median(times), 3)
     results["stage_sources"] = round(
-        statistics.median(_timed(lambda: stage_sources(spark, derive_sources(spark, SF_DIR), Materializer(spark)))
+        statistics.median(_timed(lambda: StagedSources(spark, derive_sources(spark, SF_DIR), Materializer(spark)).stage_all())
                           for _ in range(RUNS)),
         3,
     )

@@ -9,7 +9,6 @@ Layout
 - ``operators`` : one module per pipeline stage (edges, rollup, shares,
                   patients, directory, decay, scoring, assemble).
 - ``plans``     : the end-to-end DAG, materialisation points and publishing.
-- ``streaming`` : intentionally empty, the pipeline is a full-refresh batch.
 """
 
 from provgraph.config import PipelineConfig

@@ -1,13 +1,15 @@
-"""Run the pipeline and publish the affiliation table.
+"""Run the pipeline and publish every result table.
 
-    python -m provgraph --roles s3://bucket/roles --out s3://bucket/affiliations/v=2026-12-03
+    python -m provgraph --roles s3://bucket/roles --out s3://bucket/affiliations
     spark-submit --py-files provgraph.zip provgraph/__main__.py --roles ... --out ...
 
 ``--roles`` holds one Parquet dataset per source role (see
 ``sources.Sources.from_parquet``); ``--testdata`` derives the roles from the
 driver's TPC-H-style tables instead.  The session is the one the cluster
-provides (``getOrCreate``), so its checkpoint folder, shuffle partitions and
-broadcast threshold apply.
+provides (``getOrCreate``), so its shuffle partitions and broadcast threshold
+apply.  ``--work`` names the shared work folder where the session has no
+``spark.checkpoint.dir``; one of the two is required.  Each table is a folder
+below ``--out`` with versions and a pointer to the current one.
 """
 
 from __future__ import annotations
@@ -19,8 +21,7 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from provgraph.config import PipelineConfig
-from provgraph.plans.pipeline import run
-from provgraph.plans.publish import publish
+from provgraph.plans.pipeline import run_and_publish
 from provgraph.sources.adapter import load_testdata
 from provgraph.sources.tables import Sources
 
@@ -30,19 +31,21 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--roles", help="folder with one Parquet dataset per source role")
     src.add_argument("--testdata", help="folder with the driver's *.parquet tables")
-    p.add_argument("--out", required=True, help="output path of the published table")
+    p.add_argument("--out", required=True, help="folder of the published tables")
+    p.add_argument("--work", help="shared work folder")
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
     p.add_argument("--as-of", type=date.fromisoformat, help="UPDATE_DATE stamp (default: today)")
     p.add_argument("--min-claim-year", type=int)
     p.add_argument("--vintage-floor", type=int)
     p.add_argument("--min-claim-month", type=date.fromisoformat)
-    p.add_argument("--no-materialize", action="store_true", help="keep the whole DAG lazy")
     return p.parse_args(argv)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parse_args(argv)
-    spark = spark or SparkSession.builder.appName("provgraph").getOrCreate()
+    if spark is None:
+        builder = SparkSession.builder.appName("provgraph")
+        spark = (builder.config("spark.checkpoint.dir", args.work) if args.work else builder).getOrCreate()
     cfg = PipelineConfig.for_testdata() if args.testdata else PipelineConfig()
     overrides = {
         "as_of": args.as_of,
@@ -52,7 +55,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     }
     cfg = replace(cfg, **{k: v for k, v in overrides.items() if v is not None})
     sources = load_testdata(spark, args.testdata) if args.testdata else Sources.from_parquet(spark, args.roles)
-    publish(run(spark, sources, cfg, materialize=not args.no_materialize), args.out, mode=args.mode)
+    run_and_publish(spark, sources, cfg, args.out, mode=args.mode)
 
 
 if __name__ == "__main__":

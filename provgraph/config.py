@@ -33,11 +33,6 @@ class PipelineConfig:
     # partial aggregate, so a hot pair's edge rows land in one task.  Off by
     # default (skew-safe); worth it only for data known to have no hot pair.
     copartition_rollup: bool = False
-    # Resolve the rendering id of the commercial claims once and materialise
-    # it for the three commercial consumers (edges, totals, patients).  Worth
-    # it when the crosswalk is too large to broadcast, so that each consumer
-    # would otherwise shuffle the claims for the lookup; off by default.
-    share_commercial_resolution: bool = False
 
     @staticmethod
     def for_testdata() -> "PipelineConfig":

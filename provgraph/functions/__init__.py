@@ -1,21 +1 @@
-from provgraph.functions.dialect import (
-    month_diff,
-    month_start,
-    packed_date,
-    packed_claim_month,
-    claim_year_month,
-    tsql_int,
-    canonical_long,
-    safe_ratio,
-)
-
-__all__ = [
-    "month_diff",
-    "month_start",
-    "packed_date",
-    "packed_claim_month",
-    "claim_year_month",
-    "tsql_int",
-    "canonical_long",
-    "safe_ratio",
-]
+"""Column expressions for the SQL dialect semantics the pipeline depends on."""

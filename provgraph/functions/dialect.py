@@ -1,8 +1,7 @@
 """Column expressions reproducing the SQL-dialect semantics the pipeline needs.
 
 All helpers return plain ``Column`` expressions built from
-``pyspark.sql.functions``, so they stay inside whole-stage codegen; there is
-no Python UDF anywhere in the package.
+``pyspark.sql.functions``, so they stay inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -61,6 +60,11 @@ def claim_year_month(claim_year: Column | str, service_date: Column | str) -> Co
     return F.when(d.isNotNull(), F.make_date(_col(claim_year).cast("int"), F.month(d), F.lit(1)))
 
 
+def unpadded(c: Column | str) -> Column:
+    """A string without trailing blanks, which T-SQL ``=`` and ``<>`` ignore."""
+    return F.rtrim(_col(c))
+
+
 def tsql_int(c: Column | str) -> Column:
     """``TRY_CAST(varchar AS INT)`` with T-SQL rules.
 
@@ -74,11 +78,11 @@ def tsql_int(c: Column | str) -> Column:
 def canonical_long(c: Column | str) -> Column:
     """Long value of a string only when the string is its canonical decimal form.
 
-    ``CAST(long AS STRING) = s`` matches exactly those strings, so joining on
-    this value is the same as the string-cast join of the original SQL while
-    keeping a numeric key.
+    ``CAST(long AS STRING) = s`` matches exactly those strings (trailing blanks
+    aside), so joining on this value is the same as the string-cast join of
+    the original SQL while keeping a numeric key.
     """
-    x = _col(c)
+    x = unpadded(c)
     v = x.try_cast("long")
     return F.when(v.cast("string") == x, v)
 

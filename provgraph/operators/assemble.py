@@ -30,12 +30,12 @@ ASSEMBLED_COLUMNS = SUMMARY_COLUMNS + [
     "patients_mcr",
 ]
 FINAL_COLUMNS = ASSEMBLED_COLUMNS + ["include_flag"]
-KEY = ["physician_npi", "defhc_id"]
+KEY = ["physician_npi", "company_id"]
 
 
 def other_source_pairs(group_affils: DataFrame, hospital_affils: DataFrame) -> DataFrame:
     """OP-26 input: distinct (physician, company) pairs known to the directory."""
-    pick = lambda df: df.select(F.col("npi").alias("physician_npi"), F.col("hospital_id").alias("defhc_id"))
+    pick = lambda df: df.select(F.col("npi").alias("physician_npi"), F.col("hospital_id").alias("company_id"))
     return pick(group_affils).unionByName(pick(hospital_affils)).distinct()
 
 
@@ -56,7 +56,7 @@ def current_flag(remaining: str, cfg: PipelineConfig):
 def firm_type_rank(score: str, cfg: PipelineConfig):
     """OP-28: ROW_NUMBER per (physician, firm type) by score, ties by company id (Q22)."""
     w = Window.partitionBy("physician_npi", "firm_type").orderBy(
-        F.round(F.col(score), cfg.boundary_digits).desc(), F.col("defhc_id")
+        F.round(F.col(score), cfg.boundary_digits).desc(), F.col("company_id")
     )
     return F.row_number().over(w)
 
@@ -77,7 +77,7 @@ def assemble(
     ``CAST(npi AS STRING)``, so it is converted to the numeric key first.
     """
     mcr = patients_mcr.select(
-        canonical_long("physician_npi").alias("physician_npi"), "defhc_id", "patients_mcr"
+        canonical_long("physician_npi").alias("physician_npi"), "company_id", "patients_mcr"
     ).filter(F.col("physician_npi").isNotNull())
     joined = (
         with_other_source_flag(scored, pairs)
@@ -100,7 +100,7 @@ def directory_only_rows(assembled: DataFrame, hospital_affils: DataFrame, group_
     edge at all, else 2.  Physician groups: bucket 6.  Both are flagged as
     other-source.  Both branches read the table before the insert (Q24).
     """
-    edges = assembled.select(F.col("physician_npi").alias("npi"), F.col("defhc_id").alias("hospital_id"))
+    edges = assembled.select(F.col("physician_npi").alias("npi"), F.col("company_id").alias("hospital_id"))
     with_hospital_edge = (
         assembled.filter(F.col("firm_type") == "Hospital")
         .select(F.col("physician_npi").alias("npi"))
@@ -112,7 +112,7 @@ def directory_only_rows(assembled: DataFrame, hospital_affils: DataFrame, group_
         .join(with_hospital_edge, "npi", "left")
         .select(
             F.col("npi").alias("physician_npi"),
-            F.col("hospital_id").alias("defhc_id"),
+            F.col("hospital_id").alias("company_id"),
             "firm_type",
             F.when(F.col("_has_hospital"), F.lit(2)).otherwise(7 - F.col("affiliation_rank")).cast("long").alias(
                 "score_bucket"
@@ -122,7 +122,7 @@ def directory_only_rows(assembled: DataFrame, hospital_affils: DataFrame, group_
     )
     groups = group_affils.join(edges, ["npi", "hospital_id"], "left_anti").select(
         F.col("npi").alias("physician_npi"),
-        F.col("hospital_id").alias("defhc_id"),
+        F.col("hospital_id").alias("company_id"),
         "firm_type",
         F.lit(6).cast("long").alias("score_bucket"),
         F.lit(1).alias("other_source_flag"),

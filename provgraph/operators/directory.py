@@ -26,7 +26,7 @@ def _company_attrs(companies: DataFrame) -> DataFrame:
 def hospital_affiliations(physicians: DataFrame, companies: DataFrame, as_of: date) -> DataFrame:
     """OP-17: ranked directory affiliations, one row per (npi, company, rank).
 
-    The five id columns become rows with ranks 1..5 (one ``Expand``), join the
+    The five id columns become rows with ranks 1..5 (an ``inline`` in the row), join the
     company dimension and are de-duplicated (UNION semantics).
     """
     ranked = F.array(*[

@@ -1,10 +1,10 @@
 """Monthly physician -> organisation edge lists (OP-01 .. OP-07).
 
-Commercial edges: one scan of the claims expands each claim into its billing
-and service-facility role (one ``Expand``, no shuffle), so both edge lists
-come out of a single dedup + aggregate.  Medicare edges: one scan of the
-selected claim files expands the attending / operating / rendering roles the
-same way instead of 30 textual UNION branches.
+Each claim source is reduced once to its distinct claims (one exchange), with
+the commercial ids resolved; edges, physician totals and patients all start
+from there.  A claim is then expanded in its row into its organisation or
+physician roles (an ``inline`` of a small array, no shuffle), so all edge
+lists of a source come out of a single dedup + aggregate.
 
 Each aggregate runs as partial (map-side) + final, so a physician with a huge
 share of the claims is collapsed on the map side before any shuffle.
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from provgraph.config import PipelineConfig
-from provgraph.functions.dialect import claim_year_month, month_start, packed_date, tsql_int
+from provgraph.functions.dialect import claim_year_month, month_start, packed_date, tsql_int, unpadded
 
 EDGE_COLUMNS = [
     "physician_npi",
@@ -31,10 +31,10 @@ COMMERCIAL_ROLES = {"billing": "billing_npiid", "service_facility": "service_fac
 MEDICARE_ROLES = {"attending": "at_physn_npi", "operating": "op_physn_npi", "rendering": "rndrng_physn_npi"}
 
 
-def _expand_roles(df: DataFrame, roles: dict[str, str], role_col: str, value_col: str) -> DataFrame:
-    """One output row per (input row, role): an ``Expand``, no shuffle."""
-    pairs = F.array(*[F.struct(F.lit(r).alias(role_col), F.col(c).alias(value_col)) for r, c in roles.items()])
-    return df.select("*", F.inline(pairs))
+def expand_roles(df: DataFrame, roles: dict[str, dict[str, str]], role_col: str) -> DataFrame:
+    """One output row per (input row, role), with the role's own columns under common names; no shuffle."""
+    rows = [F.struct(F.lit(r).alias(role_col), *[F.col(c).alias(name) for name, c in cols.items()]) for r, cols in roles.items()]
+    return df.select("*", F.inline(F.array(*rows)))
 
 
 def _any_role(roles, role_col: str, predicate) -> Column:
@@ -58,68 +58,56 @@ def _commercial_role_predicate(role: str) -> Column:
     raise ValueError(role)
 
 
-def resolve_rendering(claims: DataFrame, crosswalk: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """Commercial claims from the first claim year on, with the rendering NPIID
-    mapped to the physician NPI (``physician_npi``).
+def commercial_claim_grain(claims: DataFrame, crosswalk: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """The distinct commercial claims from the first claim year on, all three ids resolved.
 
-    Every commercial consumer (edges, physician totals, patients) starts with
-    exactly this inner join; a claim whose rendering id is NULL or unknown
-    drops out of all of them.
+    The rendering NPIID becomes ``physician_npi`` (a claim whose rendering id
+    is NULL or unknown drops out of every consumer); each organisation id
+    brings ``*_npi``, ``*_company_id`` and ``*_known``.  The DISTINCT runs on
+    the raw ids, before the lookups, with map-side combination.
     """
-    xr = crosswalk.select(F.col("npiid").alias("rendering_npiid"), F.col("npi").alias("physician_npi"))
-    return claims.filter(F.col("claim_year") >= cfg.min_claim_year).join(xr, "rendering_npiid")
-
-
-def commercial_edges_by_role(
-    claims: DataFrame,
-    crosswalk: DataFrame,
-    cfg: PipelineConfig,
-    roles: tuple[str, ...] = ("billing", "service_facility"),
-    resolved: DataFrame | None = None,
-) -> DataFrame:
-    """Edges for several organisation roles in one pass.
-
-    Returns ``org_role`` plus :data:`EDGE_COLUMNS`.  Per role: keep claims with
-    both ids present and the role predicate, map both NPIIDs through the
-    crosswalk, DISTINCT (claim year, service date, rendering NPI, org NPI,
-    patient), then count with min/max service date per (rendering, claim year,
-    claim month, org).  The claim year stays a hidden group key.
-
-    ``resolved`` is an already computed :func:`resolve_rendering` of the
-    claims (shared between consumers); without it the join is done here.
-    """
-    xo = crosswalk.select(F.col("npiid").alias("org_npiid"), F.col("npi").alias("org_npi"))
-    # The rendering id is resolved once per claim, before the role expansion
-    # doubles the rows.
-    if resolved is None:
-        resolved = resolve_rendering(claims, crosswalk, cfg)
-    base = resolved.select(
-        "claim_year", "service_to_date", "rendering_npiid", "physician_npi", "billing_npiid", "dpid",
-        *[COMMERCIAL_ROLES[r] for r in roles],
+    base = (
+        claims.filter(F.col("claim_year") >= cfg.min_claim_year)
+        .select("claim_year", "service_to_date", "rendering_npiid", "billing_npiid", "service_facility_npiid", "dpid")
+        .dropDuplicates()
     )
-    expanded = _expand_roles(
-        base, {r: COMMERCIAL_ROLES[r] for r in roles}, role_col="org_role", value_col="org_npiid"
-    ).filter(_any_role(roles, "org_role", _commercial_role_predicate))
-    visits = (
-        expanded.join(xo, "org_npiid")
-        .select(
-            "org_role",
-            "claim_year",
-            packed_date("service_to_date").alias("service_date"),
-            "physician_npi",
-            "org_npi",
-            "dpid",
+    rendering = crosswalk.select(F.col("npiid").alias("rendering_npiid"), F.col("npi").alias("physician_npi"))
+    out = base.join(rendering, "rendering_npiid")
+    for role, npiid in COMMERCIAL_ROLES.items():
+        org = crosswalk.select(
+            F.col("npiid").alias(npiid), F.col("npi").alias(f"{role}_npi"), F.col("company_id").alias(f"{role}_company_id"),
+            F.lit(True).alias(f"{role}_known"),
         )
+        out = out.join(org, npiid, "left")
+    return out
+
+
+def commercial_roles(resolved: DataFrame, roles=tuple(COMMERCIAL_ROLES)) -> DataFrame:
+    """A row per claim and organisation role whose id the crosswalk knows."""
+    cols = {
+        r: {"org_npiid": COMMERCIAL_ROLES[r], "org_npi": f"{r}_npi", "org_company_id": f"{r}_company_id", "org_known": f"{r}_known"}
+        for r in roles
+    }
+    return expand_roles(resolved, cols, "org_role").filter("org_known")
+
+
+def commercial_edges_by_role(resolved: DataFrame, roles=tuple(COMMERCIAL_ROLES)) -> DataFrame:
+    """Edges for several organisation roles in one pass, from :func:`commercial_claim_grain`.
+
+    Returns ``org_role`` plus :data:`EDGE_COLUMNS`.  Per role: keep claims that
+    meet the role predicate, DISTINCT (claim year, service date, rendering NPI,
+    org NPI, patient), then count with min/max service date per (rendering,
+    claim year, claim month, org).  The claim year stays a hidden group key.
+    """
+    visits = (
+        commercial_roles(resolved, roles)
+        .filter(_any_role(roles, "org_role", _commercial_role_predicate))
+        .select("org_role", "claim_year", packed_date("service_to_date").alias("service_date"), "physician_npi", "org_npi", "dpid")
         .dropDuplicates()
     )
+    month = claim_year_month("claim_year", "service_date").alias("claim_month")
     return (
-        visits.groupBy(
-            "org_role",
-            "physician_npi",
-            "claim_year",
-            claim_year_month("claim_year", "service_date").alias("claim_month"),
-            "org_npi",
-        )
+        visits.groupBy("org_role", "physician_npi", "claim_year", month, "org_npi")
         .agg(
             F.count(F.lit(1)).alias("claims"),
             F.min("service_date").alias("min_service_to_date"),
@@ -131,7 +119,7 @@ def commercial_edges_by_role(
 
 def commercial_edges(claims: DataFrame, crosswalk: DataFrame, cfg: PipelineConfig, role: str) -> DataFrame:
     """OP-01 (``role='billing'``) / OP-02 (``role='service_facility'``)."""
-    return commercial_edges_by_role(claims, crosswalk, cfg, (role,)).drop("org_role")
+    return commercial_edges_by_role(commercial_claim_grain(claims, crosswalk, cfg), (role,)).drop("org_role")
 
 
 # --------------------------------------------------------------------------- Medicare
@@ -163,6 +151,16 @@ def selected_claims(claims: DataFrame, available: DataFrame, cfg: PipelineConfig
     return claims.join(F.broadcast(sel), ["vintage", "release"], "left_semi")
 
 
+def medicare_claim_grain(claims: DataFrame) -> DataFrame:
+    """The distinct Medicare claims, ids without the trailing blanks that comparisons ignore.
+
+    Claim type and vintage are part of the DISTINCT, which is what DISTINCT
+    inside each per-type branch followed by UNION ALL gives (Q5).
+    """
+    ids = ["org_npi_num", *MEDICARE_ROLES.values()]
+    return claims.select("vintage", "claim_type", "clm_thru_dt", "desy_sort_key", *[unpadded(c).alias(c) for c in ids]).dropDuplicates()
+
+
 def _medicare_role_predicate(role: str) -> Column:
     npi_raw, org_raw = F.col("npi_raw"), F.col("org_npi_num")
     # All comparisons are on the raw strings, before the cast (Q7); a NULL
@@ -175,20 +173,12 @@ def _medicare_role_predicate(role: str) -> Column:
     return p
 
 
-def medicare_events(claims: DataFrame, roles: tuple[str, ...] = tuple(MEDICARE_ROLES)) -> DataFrame:
-    """OP-04: normalised, de-duplicated Medicare claim events per role.
-
-    DISTINCT is taken per claim type and vintage (it includes both columns),
-    which is the same as DISTINCT inside each per-type branch followed by
-    UNION ALL (Q5).
-    """
+def medicare_events(grain: DataFrame, roles: tuple[str, ...] = tuple(MEDICARE_ROLES)) -> DataFrame:
+    """OP-04: normalised, de-duplicated claim events per role, from :func:`medicare_claim_grain`."""
     # The organisation id is the same for every role: cast and test it once
     # per claim, before the rows are multiplied by the role expansion.
-    base = claims.select(
-        "vintage", "claim_type", "clm_thru_dt", "org_npi_num", "desy_sort_key",
-        "at_physn_npi", "op_physn_npi", "rndrng_physn_npi", tsql_int("org_npi_num").alias("org_npi"),
-    ).filter(F.col("org_npi").isNotNull())
-    expanded = _expand_roles(base, {r: MEDICARE_ROLES[r] for r in roles}, role_col="role", value_col="npi_raw")
+    base = grain.withColumn("org_npi", tsql_int("org_npi_num")).filter(F.col("org_npi").isNotNull())
+    expanded = expand_roles(base, {r: {"npi_raw": MEDICARE_ROLES[r]} for r in roles}, "role")
     return (
         expanded.filter(_any_role(roles, "role", _medicare_role_predicate))
         .select(
@@ -224,5 +214,5 @@ def medicare_edges_by_role(events: DataFrame) -> DataFrame:
 
 def medicare_edges(claims: DataFrame, available: DataFrame, cfg: PipelineConfig, role: str) -> DataFrame:
     """One Medicare edge list (OP-05 attending, OP-06 operating, OP-07 rendering)."""
-    events = medicare_events(selected_claims(claims, available, cfg), (role,))
+    events = medicare_events(medicare_claim_grain(selected_claims(claims, available, cfg)), (role,))
     return medicare_edges_by_role(events).drop("role")

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from provgraph.config import PipelineConfig
 from provgraph.functions.dialect import canonical_long
-from provgraph.operators.edges import MEDICARE_ROLES, _expand_roles, resolve_rendering, selected_claims
+from provgraph.operators.edges import MEDICARE_ROLES, commercial_claim_grain, commercial_roles, expand_roles, medicare_claim_grain, selected_claims
 
 
 def unique_patients_commercial(
-    claims: DataFrame, crosswalk: DataFrame, cfg: PipelineConfig, resolved: DataFrame | None = None
+    claims: DataFrame | None, crosswalk: DataFrame | None, cfg: PipelineConfig, resolved: DataFrame | None = None
 ) -> DataFrame:
     """OP-14: distinct (physician, company, patient) through the billing id and
     through the facility id, counted per (physician, company).
@@ -20,51 +20,42 @@ def unique_patients_commercial(
     billing id is lost (Q10).  A NULL patient counts once (COUNT(*) over
     distinct rows, Q11).  The DISTINCT runs partial + final, so a dominant
     (physician, company) pair is collapsed map-side before the count.
+    ``resolved``: :func:`edges.commercial_claim_grain` of the claims, if at hand.
     """
-    xo = crosswalk.select(F.col("npiid").alias("org_npiid"), "defhc_id").filter(F.col("defhc_id").isNotNull())
     if resolved is None:
-        resolved = resolve_rendering(claims, crosswalk, cfg)
-    base = resolved.filter(F.col("billing_npiid") != F.col("rendering_npiid")).select(
-        "physician_npi", "dpid", "billing_npiid", "service_facility_npiid"
-    )
-    expanded = _expand_roles(
-        base,
-        {"billing": "billing_npiid", "service_facility": "service_facility_npiid"},
-        role_col="org_role",
-        value_col="org_npiid",
-    )
+        resolved = commercial_claim_grain(claims, crosswalk, cfg)
+    billed = commercial_roles(resolved.filter(F.col("billing_npiid") != F.col("rendering_npiid")))
     return (
-        expanded.join(xo, "org_npiid")
-        .select("physician_npi", "defhc_id", "dpid")
+        billed.filter(F.col("org_company_id").isNotNull())
+        .select("physician_npi", F.col("org_company_id").alias("company_id"), "dpid")
         .dropDuplicates()
-        .groupBy("physician_npi", "defhc_id")
+        .groupBy("physician_npi", "company_id")
         .agg(F.count(F.lit(1)).alias("patients_comm"))
     )
 
 
 def crosswalk_zero_filled(crosswalk: DataFrame) -> DataFrame:
     """OP-16: (NPI, company) with a missing company as 0 (Q13)."""
-    return crosswalk.select("npi", F.coalesce(F.col("defhc_id"), F.lit(0)).cast("long").alias("defhc_id"))
+    return crosswalk.select("npi", F.coalesce(F.col("company_id"), F.lit(0)).cast("long").alias("company_id"))
 
 
 def unique_patients_medicare(
-    claims: DataFrame, available: DataFrame, crosswalk: DataFrame, cfg: PipelineConfig
+    claims: DataFrame | None, available: DataFrame | None, crosswalk: DataFrame, cfg: PipelineConfig, grain: DataFrame | None = None
 ) -> DataFrame:
     """OP-15: distinct patients per (raw physician id string, company) over all
     roles, claim types and selected vintages.
 
-    No role filter, no cast, blank and NULL physician ids kept (Q12); the org
-    id joins the zero-filled crosswalk by its string form, done here as an
-    exact numeric join on the canonical value.
+    No role filter, no cast, blank and NULL physician ids kept (Q12), trailing
+    blanks ignored; the org id joins the zero-filled crosswalk by its string
+    form, done here as an exact numeric join on the canonical value.
+    ``grain``: :func:`edges.medicare_claim_grain` of the selected claims, if at hand.
     """
-    sel = selected_claims(claims, available, cfg).select(
-        "org_npi_num", "desy_sort_key", *MEDICARE_ROLES.values()
-    )
-    expanded = _expand_roles(sel, MEDICARE_ROLES, role_col="role", value_col="physician_npi").select(
-        "physician_npi", canonical_long("org_npi_num").alias("npi"), "desy_sort_key"
-    )
+    if grain is None:
+        grain = medicare_claim_grain(selected_claims(claims, available, cfg))
+    roles = expand_roles(grain, {r: {"physician_npi": c} for r, c in MEDICARE_ROLES.items()}, "role")
     return (
-        expanded.join(crosswalk_zero_filled(crosswalk), "npi")
-        .groupBy("physician_npi", "defhc_id")
+        roles.select("physician_npi", canonical_long("org_npi_num").alias("npi"), "desy_sort_key")
+        .join(crosswalk_zero_filled(crosswalk), "npi")
+        .groupBy("physician_npi", "company_id")
         .agg(F.count_distinct("desy_sort_key").alias("patients_mcr"))
     )

@@ -19,7 +19,7 @@ from provgraph.operators.edges import EDGE_COLUMNS
 
 UNIFIED_COLUMNS = [
     "physician_npi",
-    "defhc_id",
+    "company_id",
     "claim_month",
     "min_service_to_date",
     "max_service_to_date",
@@ -33,7 +33,7 @@ UNIFIED_COLUMNS = [
 
 SUMMARY_COLUMNS = [
     "physician_npi",
-    "defhc_id",
+    "company_id",
     "hospital_name",
     "firm_type",
     "min_date",
@@ -67,14 +67,14 @@ def unify_edges(
         medicare_edges.select(F.lit(False).alias("is_comm"), *EDGE_COLUMNS)
     )
     whitelist = physicians.select(F.col("npi").alias("physician_npi"))
-    companies_of = crosswalk.select(F.col("npi").alias("org_npi"), "defhc_id")
+    companies_of = crosswalk.select(F.col("npi").alias("org_npi"), "company_id")
     comm = F.col("is_comm")
     return (
         edges.join(whitelist, "physician_npi")
         .join(companies_of, "org_npi")
         .select(
             "physician_npi",
-            "defhc_id",
+            "company_id",
             "claim_month",
             "min_service_to_date",
             "max_service_to_date",
@@ -98,10 +98,10 @@ def monthly_rollup(unified: DataFrame, claim_availability: DataFrame, cfg: Pipel
     max_claim_date = claim_availability.select(F.max("claim_date")).scalar()
     month = F.col("claim_month")
     if cfg.copartition_rollup:
-        unified = unified.repartition("physician_npi", "defhc_id")
+        unified = unified.repartition("physician_npi", "company_id")
     monthly = (
         unified.filter((month >= F.lit(cfg.min_claim_month)) & (month <= max_claim_date))
-        .groupBy("physician_npi", "defhc_id", "claim_month")
+        .groupBy("physician_npi", "company_id", "claim_month")
         .agg(
             F.min("min_service_to_date").alias("min_date"),
             F.max("max_service_to_date").alias("max_date"),
@@ -113,7 +113,7 @@ def monthly_rollup(unified: DataFrame, claim_availability: DataFrame, cfg: Pipel
             F.sum("medicare_claims").alias("medicare_claims"),
         )
     )
-    w = Window.partitionBy("physician_npi", "defhc_id").orderBy("claim_month")
+    w = Window.partitionBy("physician_npi", "company_id").orderBy("claim_month")
     return monthly.withColumn("last_mth", F.lag("claim_month").over(w)).withColumn(
         "months_between", month_diff("claim_month", "last_mth")
     )
@@ -128,7 +128,7 @@ def affiliation_summary(monthly: DataFrame, companies: DataFrame) -> DataFrame:
     dimension is); the join then keeps one row per affiliation.
     """
     month = F.col("claim_month")
-    summary = monthly.groupBy("physician_npi", "defhc_id").agg(
+    summary = monthly.groupBy("physician_npi", "company_id").agg(
         F.min("min_date").alias("min_date"),
         F.max("max_date").alias("max_date"),
         F.min("min_date_comm").alias("min_date_comm"),
@@ -145,5 +145,5 @@ def affiliation_summary(monthly: DataFrame, companies: DataFrame) -> DataFrame:
         F.sum("commercial_claims").alias("comm_claims"),
         F.sum("medicare_claims").alias("mcr_claims"),
     )
-    names = companies.select(F.col("hospital_id").alias("defhc_id"), "hospital_name", "firm_type")
-    return summary.join(names, "defhc_id").select(*SUMMARY_COLUMNS)
+    names = companies.select(F.col("hospital_id").alias("company_id"), "hospital_name", "firm_type")
+    return summary.join(names, "company_id").select(*SUMMARY_COLUMNS)

@@ -39,27 +39,23 @@ def with_score(affiliations: DataFrame) -> DataFrame:
     return scored.withColumn("score", c[0] + c[1] + c[2] + c[3] - c[4])
 
 
-def equal_width_bucket(df: DataFrame, value: str, n: int, digits: int) -> Column:
-    """OP-24: ``ceil((v - min) / ((max - min) / n))``, values below 1 raised to 1.
-
-    min and max are scalar subqueries over ``df`` (one aggregate each,
-    computed once), never a keyless window.  The quotient is rounded to
-    ``digits`` places before ``ceil`` so that last-bit differences cannot
-    move a row across a bucket edge (Q20); a degenerate range (all values
-    equal) puts every row in bucket 1.
+def equal_width_bucket(df: DataFrame, value: str, n: int, digits: int) -> DataFrame:
+    """OP-24: add ``score_bucket`` = ``ceil((v - min) / ((max - min) / n))``, values below 1 raised to 1.
+
+    min and max come as one struct from one aggregate over ``df``, never from
+    a keyless window.  The quotient is rounded to ``digits`` places before
+    ``ceil`` so that last-bit differences cannot move a row across a bucket
+    edge (Q20); a degenerate range (all values equal) puts every row in
+    bucket 1.
     """
-    lo = df.select(F.min(value)).scalar()
-    hi = df.select(F.max(value)).scalar()
+    bounds = df.select(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
+    lo, hi = F.col("_bounds.lo"), F.col("_bounds.hi")
     width = (hi - lo) / F.lit(float(n))
-    q = F.try_divide(F.col(value) - lo, width)
-    raw = F.ceil(F.round(q, digits)).cast("long")
-    return (
-        F.when(F.col(value).isNull(), F.lit(None).cast("long"))
-        .when(width == 0, F.lit(1).cast("long"))
-        .when(raw < 1, F.lit(1).cast("long"))
-        .otherwise(raw)
-    )
+    raw = F.ceil(F.round(F.try_divide(F.col(value) - lo, width), digits)).cast("long")
+    one = F.lit(1).cast("long")
+    bucket = F.when(F.col(value).isNull(), F.lit(None).cast("long")).when(width == 0, one).when(raw < 1, one).otherwise(raw)
+    return df.withColumn("_bounds", bounds).withColumn("score_bucket", bucket).drop("_bounds")
 
 
 def with_score_bucket(scored: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    return scored.withColumn("score_bucket", equal_width_bucket(scored, "score", cfg.n_buckets, cfg.boundary_digits))
+    return equal_width_bucket(scored, "score", cfg.n_buckets, cfg.boundary_digits)

@@ -9,7 +9,7 @@ from __future__ import annotations
 COLUMN_TYPES: dict[str, str] = {
     "physician_npi": "bigint",
     "npi": "bigint",
-    "defhc_id": "bigint",
+    "company_id": "bigint",
     "hospital_id": "bigint",
     "org_npi": "bigint",
     "org_role": "string",

@@ -1,18 +1,19 @@
-"""The whole affiliation pipeline as one lazy DAG (OP-33).
-
-Stage order follows the original steps 1 -> 7.  Each stage is a lazily
-built DataFrame; three stages are materialised:
-
-- ``medicare_edges``: the three Medicare role edge lists, read by the rollup
-  and by the Medicare totals;
-- ``affiliations``: the affiliation summary, read by decay, score, bucket
-  bounds, shares and assembly;
+"""The whole affiliation pipeline (OP-33).
+
+Stage order follows the original steps 1 -> 7.  A stage is a DataFrame; the
+stages in ``WRITTEN``, those that several others read, are written as Parquet
+below the shared work folder, in that order, by :func:`run`.  Reading one of
+them on its own (as a single registered query does) writes it then.
+
+- ``commercial_grain``, ``medicare_grain``: the distinct claims of a source,
+  each scanned once for edges, totals and patients;
+- ``medicare_edges``: read by the rollup and by the Medicare totals;
+- ``affiliations``: the affiliation summary, read by decay, score, shares and
+  assembly;
+- ``dates``: the one-row analysis dates;
 - ``assembled``: the table before the directory insert, read three times by
   OP-29.
 
-With a checkpoint folder they are written as Parquet there; without one they
-are persisted.
-
 Parquet scans prune columns and push filters; every dimension join is left to
 the optimizer's size check (``spark.sql.autoBroadcastJoinThreshold``, AQE),
 only frames with a proven tiny bound (vintage selection, one-row dates) are
@@ -29,10 +30,14 @@ from provgraph.config import PipelineConfig
 from provgraph.operators import assemble as asm
 from provgraph.operators import decay as dec
 from provgraph.operators import directory, edges, patients, rollup, scoring, shares
-from provgraph.plans.publish import Materializer
+from provgraph.plans.publish import Materializer, publish
 from provgraph.sources.tables import Sources
 
 
+#: Stages that are written, in the order of their dependencies.
+WRITTEN = ("commercial_grain", "medicare_grain", "medicare_edges", "affiliations", "dates", "assembled")
+
+
 class AffiliationPipeline:
     def __init__(
         self,
@@ -46,42 +51,42 @@ class AffiliationPipeline:
         self.cfg = cfg
         self.materialize = materialize if materialize is not None else Materializer(spark)
 
+    def check_inputs(self) -> None:
+        """Company ids must be a key: a repeated one would silently multiply affiliations (Q8)."""
+        twice = self.src.companies.groupBy("hospital_id").count().filter("count > 1")
+        if not twice.isEmpty():
+            raise ValueError("hospital_id is not a key of the company dimension")
+
+    def write_stages(self) -> None:
+        for name in WRITTEN:
+            getattr(self, name)
+
     # ------------------------------------------------------------------ step 1: edges
     @cached_property
-    def commercial_resolved(self) -> DataFrame | None:
-        """Rendering-resolved commercial claims, shared and materialised when
-        ``cfg.share_commercial_resolution`` is set; else each consumer joins."""
-        if not self.cfg.share_commercial_resolution:
-            return None
-        resolved = edges.resolve_rendering(self.src.commercial_claims, self.src.crosswalk, self.cfg)
-        return self.materialize(resolved, "commercial_resolved")
+    def commercial_grain(self) -> DataFrame:
+        return self.materialize(edges.commercial_claim_grain(self.src.commercial_claims, self.src.crosswalk, self.cfg), "commercial_grain")
 
     @cached_property
     def commercial_edges(self) -> DataFrame:
         """OP-01 + OP-02 in one pass, with an ``org_role`` column."""
-        return edges.commercial_edges_by_role(
-            self.src.commercial_claims, self.src.crosswalk, self.cfg, resolved=self.commercial_resolved
-        )
+        return edges.commercial_edges_by_role(self.commercial_grain)
 
     @cached_property
     def vintages(self) -> DataFrame:
         return edges.select_vintages(self.src.medicare_availability, self.cfg)
 
     @cached_property
-    def medicare_claims(self) -> DataFrame:
-        return edges.selected_claims(self.src.medicare_claims, self.src.medicare_availability, self.cfg)
+    def medicare_grain(self) -> DataFrame:
+        used = edges.selected_claims(self.src.medicare_claims, self.src.medicare_availability, self.cfg)
+        return self.materialize(edges.medicare_claim_grain(used), "medicare_grain")
 
     @cached_property
     def medicare_events(self) -> DataFrame:
-        return edges.medicare_events(self.medicare_claims)
+        return edges.medicare_events(self.medicare_grain)
 
     @cached_property
     def medicare_edges(self) -> DataFrame:
-        """OP-05 + OP-06 + OP-07 in one pass, with a ``role`` column.
-
-        Read by the rollup and by the Medicare totals, so it is materialised:
-        the claims are scanned and de-duplicated once.
-        """
+        """OP-05 + OP-06 + OP-07 in one pass, with a ``role`` column."""
         return self.materialize(edges.medicare_edges_by_role(self.medicare_events), "medicare_edges")
 
     # ------------------------------------------------------------------ step 2: combine
@@ -99,9 +104,7 @@ class AffiliationPipeline:
 
     @cached_property
     def totals_commercial(self) -> DataFrame:
-        return shares.physician_totals_commercial(
-            self.src.commercial_claims, self.src.crosswalk, self.cfg, resolved=self.commercial_resolved
-        )
+        return shares.physician_totals_commercial(None, None, self.cfg, resolved=self.commercial_grain)
 
     @cached_property
     def totals_medicare(self) -> DataFrame:
@@ -113,15 +116,11 @@ class AffiliationPipeline:
 
     @cached_property
     def patients_commercial(self) -> DataFrame:
-        return patients.unique_patients_commercial(
-            self.src.commercial_claims, self.src.crosswalk, self.cfg, resolved=self.commercial_resolved
-        )
+        return patients.unique_patients_commercial(None, None, self.cfg, resolved=self.commercial_grain)
 
     @cached_property
     def patients_medicare(self) -> DataFrame:
-        return patients.unique_patients_medicare(
-            self.src.medicare_claims, self.src.medicare_availability, self.src.crosswalk, self.cfg
-        )
+        return patients.unique_patients_medicare(None, None, self.src.crosswalk, self.cfg, grain=self.medicare_grain)
 
     # ------------------------------------------------------------------ step 3: directory
     @cached_property
@@ -154,17 +153,22 @@ class AffiliationPipeline:
 
     # ------------------------------------------------------------------ steps 4-5: decay, score
     @cached_property
-    def analysis_dates(self) -> DataFrame:
-        return dec.analysis_dates(self.src.claim_availability, self.src.medicare_availability, self.cfg)
+    def dates(self) -> DataFrame:
+        return self.materialize(dec.analysis_dates(self.src.claim_availability, self.src.medicare_availability, self.cfg), "dates")
 
     @cached_property
     def scored(self) -> DataFrame:
-        """Affiliation summary + decay + score + bucket (all 1:1 per affiliation)."""
-        dates = self.analysis_dates
-        with_decay = dec.with_decay(
-            self.affiliations, dates.select("dt_comm").scalar(), dates.select("dt_mcr").scalar(), self.cfg
-        )
-        return scoring.with_score_bucket(scoring.with_score(with_decay), self.cfg)
+        """Affiliation summary + score + bucket + decay (all 1:1 per affiliation)."""
+        bucketed = scoring.with_score_bucket(scoring.with_score(self.affiliations), self.cfg)
+        return dec.with_decay(bucketed, self.dates, self.cfg)
+
+    @cached_property
+    def decay(self) -> DataFrame:
+        return dec.decay_table(self.scored, self.cfg)
+
+    @cached_property
+    def scores(self) -> DataFrame:
+        return self.scored.select("physician_npi", "company_id", *scoring.SCORE_PARTS, "score", "score_bucket")
 
     # ------------------------------------------------------------------ steps 6-7: assembly
     @cached_property
@@ -192,9 +196,47 @@ class AffiliationPipeline:
         return asm.finalize(self.assembled, self.hospital_affiliations, self.group_affiliations, self.cfg)
 
 
-def run(spark: SparkSession, sources: Sources, cfg: PipelineConfig, materialize: bool = True) -> DataFrame:
-    """OP-33: the published affiliation table (31 columns)."""
-    return AffiliationPipeline(spark, sources, cfg, Materializer(spark, enabled=materialize)).final
+#: Result tables that a full run publishes (OP-32): name and stage.
+RESULTS = {
+    "commercial_billing_edges": lambda p: p.commercial_edges.filter("org_role = 'billing'").drop("org_role"),
+    "commercial_facility_edges": lambda p: p.commercial_edges.filter("org_role = 'service_facility'").drop("org_role"),
+    "medicare_attending_edges": lambda p: p.medicare_edges.filter("role = 'attending'").drop("role"),
+    "medicare_operating_edges": lambda p: p.medicare_edges.filter("role = 'operating'").drop("role"),
+    "medicare_rendering_edges": lambda p: p.medicare_edges.filter("role = 'rendering'").drop("role"),
+    "affiliation_summary": lambda p: p.affiliations,
+    "physician_totals_commercial": lambda p: p.totals_commercial,
+    "physician_totals_medicare": lambda p: p.totals_medicare,
+    "claim_shares": lambda p: p.shares,
+    "unique_patients_commercial": lambda p: p.patients_commercial,
+    "unique_patients_medicare": lambda p: p.patients_medicare,
+    "hospital_affiliations": lambda p: p.hospital_affiliations,
+    "group_affiliations": lambda p: p.group_affiliations,
+    "surgery_center_affiliations": lambda p: p.surgery_center_affiliations,
+    "imaging_center_affiliations": lambda p: p.imaging_center_affiliations,
+    "affiliation_decay": lambda p: p.decay,
+    "affiliation_scores": lambda p: p.scores,
+    "final_affiliations": lambda p: p.final,
+}
 
 
-__all__ = ["AffiliationPipeline", "run"]
+def run(spark: SparkSession, sources: Sources, cfg: PipelineConfig, materialize: bool = True) -> DataFrame:
+    """OP-33: the final affiliation table (31 columns)."""
+    pipe = AffiliationPipeline(spark, sources, cfg, Materializer(spark, enabled=materialize))
+    pipe.check_inputs()
+    pipe.write_stages()
+    return pipe.final
+
+
+def run_and_publish(spark: SparkSession, sources: Sources, cfg: PipelineConfig, out: str, mode: str = "overwrite") -> None:
+    """Every result table below ``out``, one folder each; the work folder is cleaned up afterwards."""
+    pipe = AffiliationPipeline(spark, sources, cfg, Materializer(spark))
+    pipe.check_inputs()
+    try:
+        pipe.write_stages()
+        for name, table in RESULTS.items():
+            publish(table(pipe), f"{out.rstrip('/')}/{name}", mode=mode)
+    finally:
+        pipe.materialize.remove()
+
+
+__all__ = ["AffiliationPipeline", "RESULTS", "run", "run_and_publish"]

@@ -1,78 +1,115 @@
 """Materialisation points and result publishing (OP-32).
 
-Lineage is cut by writing Parquet under the cluster's shared checkpoint
-folder (``spark.checkpoint.dir``), never by ``localCheckpoint``: a written
-table survives the loss of any executor, is read back columnar with
-pruning, and gives the optimizer real size statistics for later joins.
+Lineage is cut by writing Parquet under the cluster's shared work folder
+(``spark.checkpoint.dir``), never by ``localCheckpoint``: a written table
+survives the loss of any executor, is read back columnar with pruning, and
+gives the optimizer real size statistics for later joins.
 """
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpoint_root(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder configured for this session, if any."""
+def work_root(spark: SparkSession) -> str:
+    """The shared work folder: ``spark.checkpoint.dir`` of the session.
+
+    Unset, a local session gets a temporary folder of its own; a cluster
+    session is refused, since its machines share no local folder.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # no SparkContext on a Spark Connect client
-            root = None
-    return root or None
+    if root:
+        return root.rstrip("/")
+    sc = spark.sparkContext
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not getattr(sc, "_own_work_root", None):
+        sc._own_work_root = "file://" + tempfile.mkdtemp(prefix="provgraph-work-")
+    return sc._own_work_root
 
 
-def parallelism(spark: SparkSession) -> int:
-    """Cores available to the session (shuffle partitions on a Connect client)."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+def _fs(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 class Materializer:
-    """Writes intermediate tables of one pipeline run under a unique prefix.
+    """Writes intermediate tables of one pipeline run under a unique prefix of the shared work folder.
 
-    Without a configured checkpoint folder the frame is persisted
-    (memory, spilling to disk) instead: still computed once, and rebuilt
-    from lineage if an executor holding blocks is lost.  ``root=""`` turns
-    materialisation off entirely (plans stay lazy).
+    ``enabled=False`` keeps plans lazy (for plan inspection and tests).
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None, enabled: bool = True):
         self.spark = spark
-        self.root = root if root is not None else checkpoint_root(spark)
         self.enabled = enabled
-        self.run_id = uuid.uuid4().hex
-
-    def path(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/provgraph-{self.run_id}/{name}"
+        self.folder = f"{(root or work_root(spark)).rstrip('/')}/provgraph-{uuid.uuid4().hex}" if enabled else None
 
     def __call__(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
         if not self.enabled:
             return df
-        if not self.root:
-            return df.persist(StorageLevel.MEMORY_AND_DISK)
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.path(name))
-        return self.spark.read.parquet(self.path(name))
+        writer.parquet(f"{self.folder}/{name}")
+        return self.spark.read.parquet(f"{self.folder}/{name}")
+
+    def remove(self) -> None:
+        """Delete everything this run materialised; frames that read it are of no use afterwards."""
+        if self.enabled:
+            fs, p = _fs(self.spark, self.folder)
+            fs.delete(p, True)
+
+
+#: Names the current version below a published table's folder.
+POINTER = "_CURRENT"
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, f"{path}/{POINTER}")
+    return spark.read.text(f"{path}/{POINTER}").first()[0] if fs.exists(p) else None
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a published table."""
+    version = current_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no published table at {path}")
+    return spark.read.parquet(f"{path}/{version}")
 
 
 def publish(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
-    """OP-32: write a result table.
+    """OP-32: publish a result table below the folder ``path``.
 
     ``overwrite`` replaces the table in full (CREATE OR REPLACE / truncate +
-    load); ``append`` adds rows (INSERT).  Each stage publishes under its own
-    path, so no job overwrites the table it reads (Q21).
+    load): a new version is written beside the current one, the pointer file
+    is renamed over the old pointer only after that succeeded, and then the
+    old version goes.  A failed job leaves the old table.  ``append`` adds
+    rows to the current version (INSERT).
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"unsupported mode {mode!r}")
-    writer = df.write.mode(mode)
+    spark = df.sparkSession
+    before = current_version(spark, path)
+    version = before if mode == "append" and before else f"v-{uuid.uuid4().hex}"
+    writer = df.write.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    writer.parquet(f"{path}/{version}")
+    if version == before:
+        return
+    jvm = spark.sparkContext._jvm
+    fs, pointer = _fs(spark, f"{path}/{POINTER}")
+    _, fresh = _fs(spark, f"{path}/.{version}")
+    out = fs.create(fresh, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(pointer.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(fresh, pointer, overwrite)
+    if before:
+        fs.delete(_fs(spark, f"{path}/{before}")[1], True)

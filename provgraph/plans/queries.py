@@ -2,7 +2,8 @@
 
 Every query builds the sources from ``{sf_dir}/*.parquet`` with the adapter,
 runs the pipeline up to its stage, and projects the stage's published
-columns with the shared column types (doubles rounded for comparison).
+columns with the shared column types.  Doubles are rounded here, where two
+engines are compared; the flagship of ``entry()`` is not.
 """
 
 from __future__ import annotations
@@ -39,21 +40,13 @@ def _typed(query: str, df: DataFrame, cols: list[str]) -> DataFrame:
 
 # query key -> stage of the pipeline
 STAGES: dict[str, Callable[[AffiliationPipeline], DataFrame]] = {
-    "commercial_billing_edges": lambda p: E.commercial_edges(p.src.commercial_claims, p.src.crosswalk, p.cfg, "billing"),
-    "commercial_facility_edges": lambda p: E.commercial_edges(
-        p.src.commercial_claims, p.src.crosswalk, p.cfg, "service_facility"
-    ),
+    "commercial_billing_edges": lambda p: E.commercial_edges_by_role(p.commercial_grain, ("billing",)),
+    "commercial_facility_edges": lambda p: E.commercial_edges_by_role(p.commercial_grain, ("service_facility",)),
     "vintage_selection": lambda p: p.vintages,
     "medicare_normalised_claims": lambda p: p.medicare_events,
-    "medicare_attending_edges": lambda p: E.medicare_edges(
-        p.src.medicare_claims, p.src.medicare_availability, p.cfg, "attending"
-    ),
-    "medicare_operating_edges": lambda p: E.medicare_edges(
-        p.src.medicare_claims, p.src.medicare_availability, p.cfg, "operating"
-    ),
-    "medicare_rendering_edges": lambda p: E.medicare_edges(
-        p.src.medicare_claims, p.src.medicare_availability, p.cfg, "rendering"
-    ),
+    "medicare_attending_edges": lambda p: E.medicare_edges_by_role(E.medicare_events(p.medicare_grain, ("attending",))),
+    "medicare_operating_edges": lambda p: E.medicare_edges_by_role(E.medicare_events(p.medicare_grain, ("operating",))),
+    "medicare_rendering_edges": lambda p: E.medicare_edges_by_role(E.medicare_events(p.medicare_grain, ("rendering",))),
     "unified_edges": lambda p: p.unified_edges,
     "monthly_rollup": lambda p: p.monthly,
     "affiliation_summary": lambda p: p.affiliations,
@@ -67,8 +60,8 @@ STAGES: dict[str, Callable[[AffiliationPipeline], DataFrame]] = {
     "group_affiliations": lambda p: p.group_affiliations,
     "surgery_center_affiliations": lambda p: p.surgery_center_affiliations,
     "imaging_center_affiliations": lambda p: p.imaging_center_affiliations,
-    "analysis_dates": lambda p: p.analysis_dates,
-    "affiliation_decay": lambda p: p.scored,
+    "analysis_dates": lambda p: p.dates,
+    "affiliation_decay": lambda p: p.decay,
     "affiliation_score": lambda p: p.scored,
     "score_buckets": lambda p: p.scored,
     "assembled_affiliations": lambda p: p.assembled,
@@ -94,5 +87,10 @@ def _make(key: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The final table as the pipeline computes it."""
+    return pipeline_for(spark, sf_dir).final
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: _make(k) for k in STAGES}

@@ -2,19 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, checkpoint_dir: str | None = None,
-                  event_log_dir: str | None = None, checkpoint: bool = True) -> SparkSession:
-    """A local session with AQE on and the UI off.
-
-    The checkpoint folder is only set when the session has none (tests and
-    local runs); on a cluster the shared folder named in
-    ``spark.checkpoint.dir`` is used as configured.
-    """
+                  event_log_dir: str | None = None) -> SparkSession:
+    """A local session with AQE on and the UI off; ``checkpoint_dir`` is its work folder."""
     b = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("provgraph")
@@ -34,14 +27,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, checkpoin
     )
     if event_log_dir:
         b = b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
-    active = SparkSession.getActiveSession()
-    configured = active.conf.get("spark.checkpoint.dir", None) if active else None
-    if checkpoint and not configured:
+    if checkpoint_dir:
         # spark.checkpoint.dir is static: it can only be given to the builder.
-        b = b.config("spark.checkpoint.dir", checkpoint_dir or tempfile.mkdtemp(prefix="provgraph-ckpt-"))
+        b = b.config("spark.checkpoint.dir", checkpoint_dir)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if d and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
     return spark

@@ -7,20 +7,24 @@ with the scale factor.  Ids are offset so that no derived id is 0 (0 means
 - physician  = 1,000,000,000 + o_custkey / c_custkey
 - billing    = 1,100,000,000 + l_partkey / p_partkey
 - facility   = 1,200,000,000 + l_suppkey / s_suppkey
+- company    = s_suppkey + 1; its firm type goes by s_suppkey modulo 5
+- patient    = o_orderkey
 
 Claims come from lineitem joined to orders: line status 'O' rows become
 commercial claims, 'F' rows Medicare claims.  Line numbers, tax and return
-flags switch on the edge cases the pipeline must handle (blank ids, bad dates,
-claim-year shifts, duplicated claims).
+flags switch on the edge cases the pipeline must handle (blank and padded ids,
+bad dates, claim-year shifts, duplicated claims).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import fields
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from provgraph.plans.publish import Materializer
 from provgraph.sources.schemas import ROLE_SCHEMAS, conform
 from provgraph.sources.tables import Sources
 
@@ -29,19 +33,11 @@ PHYSICIAN_BASE = 1_000_000_000
 BILLING_BASE = 1_100_000_000
 FACILITY_BASE = 1_200_000_000
 CLAIM_TYPES = ["inp", "out", "snf", "hha", "hosp"]
-PATIENT_MODULUS = 97
-# Vintages up to this year have an annual file; from it on a quarterly file.
-LAST_ANNUAL_VINTAGE = 2000
-# Firm type of a company, by region key of its nation.
-FIRM_TYPE_BY_REGION = {
-    0: "Hospital",
-    1: "Physician Group",
-    2: "Ambulatory Surgery Center",
-    3: "Imaging Center",
-    4: "Hospital",
-}
-# Directory id that matches no company.
-UNKNOWN_COMPANY_ID = 26
+# Vintages below QUARTERLY_FROM have an annual file only, this one a quarterly
+# file only; later ones have both, but the annual file of a year after
+# LAST_FULL_ANNUAL ends with its ninth month.
+QUARTERLY_FROM, LAST_FULL_ANNUAL, LAST_ANNUAL_MONTH = 1999, 2000, 9
+FIRM_TYPES = ["Hospital", "Physician Group", "Ambulatory Surgery Center", "Imaging Center", "Hospital"]
 # Extra availability row of another analysis type, this many days later.
 OTHER_ANALYSIS_TYPE_SHIFT_DAYS = 40
 
@@ -55,14 +51,6 @@ def _claim_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_tax",
         "l_returnflag", "l_linestatus", F.col("l_shipdate").cast("date").alias("d"),
     )
-    # A single-file, single-row-group input is read by one task; spread it
-    # before the per-row derivation so that runs on every core.  Inputs that
-    # already come as many files are left alone.
-    from provgraph.plans.publish import parallelism
-
-    cores = parallelism(spark)
-    if len(li.inputFiles()) < cores:
-        li = li.repartition(cores)
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return li.join(orders, li.l_orderkey == orders.o_orderkey).drop("o_orderkey")
 
@@ -88,7 +76,7 @@ def _commercial_claims(lines: DataFrame) -> DataFrame:
             phys.alias("rendering_npiid"),
             F.when(ln == 6, F.lit(None)).when(ln == 7, phys).otherwise(bill).alias("billing_npiid"),
             F.when(ln == 5, F.lit(None)).when(ln == 4, bill).otherwise(fac).alias("service_facility_npiid"),
-            (F.col("l_orderkey") % PATIENT_MODULUS).alias("dpid"),
+            F.col("l_orderkey").alias("dpid"),
         )
     )
     return conform(out, ROLE_SCHEMAS["commercial_claims"])
@@ -98,11 +86,12 @@ def _medicare_claims(lines: DataFrame, n_customers: Column) -> DataFrame:
     ln, d = F.col("l_linenumber"), F.col("d")
     phys = (F.lit(PHYSICIAN_BASE) + F.col("o_custkey")).cast("string")
     vintage = F.year(d) - F.when((F.month(d) == 1) & (ln == 2), 1).otherwise(0)
-    releases = (
-        F.when(vintage < LAST_ANNUAL_VINTAGE, F.array(F.lit("annual")))
-        .when(vintage == LAST_ANNUAL_VINTAGE, F.array(F.lit("annual"), F.lit("quarterly")))
-        .otherwise(F.array(F.lit("quarterly")))
+    annual = (vintage < QUARTERLY_FROM) | (vintage == LAST_FULL_ANNUAL) | ((vintage > LAST_FULL_ANNUAL) & (F.month(d) <= LAST_ANNUAL_MONTH))
+    releases = F.array_compact(
+        F.array(F.when(annual, F.lit("annual")), F.when(vintage >= QUARTERLY_FROM, F.lit("quarterly")))
     )
+    # Claim files are fixed width in places: some ids end in blanks.
+    padded = lambda c, when: F.when(when, F.concat(c, F.lit("  "))).otherwise(c)
     types = F.array(*[F.lit(t) for t in CLAIM_TYPES])
     out = (
         lines.filter(F.col("l_linestatus") == "F")
@@ -112,7 +101,7 @@ def _medicare_claims(lines: DataFrame, n_customers: Column) -> DataFrame:
             "release",
             F.element_at(types, (F.col("l_suppkey") % len(CLAIM_TYPES) + 1).cast("int")).alias("claim_type"),
             d.alias("clm_thru_dt"),
-            F.when(ln == 7, F.lit("")).when(ln == 6, F.lit("UNKNOWN")).otherwise(phys).alias("at_physn_npi"),
+            F.when(ln == 7, F.lit("")).when(ln == 6, F.lit("UNKNOWN")).otherwise(padded(phys, ln == 4)).alias("at_physn_npi"),
             F.when(ln % 3 == 0, phys)
             .when(ln % 3 == 1, (F.lit(PHYSICIAN_BASE) + F.col("l_suppkey")).cast("string"))
             .otherwise(F.lit(""))
@@ -123,58 +112,52 @@ def _medicare_claims(lines: DataFrame, n_customers: Column) -> DataFrame:
             .otherwise(F.lit(""))
             .alias("rndrng_physn_npi"),
             F.when((F.col("l_returnflag") == "A") & (ln == 5), F.lit(""))
-            .otherwise((F.lit(BILLING_BASE) + F.col("l_partkey")).cast("string"))
+            .otherwise(padded((F.lit(BILLING_BASE) + F.col("l_partkey")).cast("string"), ln <= 2))
             .alias("org_npi_num"),
-            (F.col("l_orderkey") % PATIENT_MODULUS).alias("desy_sort_key"),
+            F.col("l_orderkey").alias("desy_sort_key"),
         )
     )
     return conform(out, ROLE_SCHEMAS["medicare_claims"])
 
 
-def _firm_type(region: Column) -> Column:
-    expr = None
-    for k, v in FIRM_TYPE_BY_REGION.items():
-        expr = F.when(region == k, v) if expr is None else expr.when(region == k, v)
-    return expr
-
-
 def load_testdata(spark: SparkSession, sf_dir: str, stage: bool = True) -> Sources:
     """All source roles derived from ``{sf_dir}/*.parquet``.
 
-    With ``stage`` the derived roles are written once as Parquet datasets
-    (Medicare claims partitioned by vintage / release / claim type, like the
-    production layout) under the session's checkpoint folder, or persisted
-    when none is configured, so that the derivation join is not repeated by
-    every consumer.
+    With ``stage`` a role is written as a Parquet dataset when it is first
+    used (Medicare claims partitioned by vintage / release / claim type, like
+    the production layout), so that its derivation is not repeated by every
+    consumer and unused roles cost nothing.
     """
     sources = derive_sources(spark, sf_dir)
-    return stage_sources(spark, sources) if stage else sources
-
-
-def stage_sources(spark: SparkSession, sources: Sources, materialize=None) -> Sources:
-    """Write every role once and read it back (see :func:`load_testdata`)."""
-    from provgraph.plans.publish import Materializer, parallelism
-
-    m = materialize or Materializer(spark)
-    # Spread the two claim tables over several files so that every later
-    # scan is parallel (the driver's inputs are single-file tables).  Medicare
-    # claims get one directory per (vintage, release, claim type) partition,
-    # like the production layout.
-    spread = {
-        "commercial_claims": lambda df: df.repartition(parallelism(spark)),
-        "medicare_claims": lambda df: df.repartition("vintage", "release", "claim_type"),
-    }
-    staged = {}
-    for f in fields(Sources):
-        if f.name == "medicare_availability":
-            continue
-        part = ["vintage", "release", "claim_type"] if f.name == "medicare_claims" else None
-        df = spread.get(f.name, lambda d: d)(getattr(sources, f.name))
-        staged[f.name] = conform(m(df, f"sources/{f.name}", partition_by=part), ROLE_SCHEMAS[f.name])
-    staged["medicare_availability"] = m(
-        medicare_availability_of(staged["medicare_claims"]), "sources/medicare_availability"
-    )
-    return Sources(**staged)
+    return StagedSources(spark, sources) if stage else sources
+
+
+class StagedSources:
+    """The roles of ``Sources``, each written once, on first use, and read back."""
+
+    def __init__(self, spark: SparkSession, sources: Sources, materialize: Callable | None = None):
+        self._derived = sources
+        self._materialize = materialize or Materializer(spark)
+
+    def __getattr__(self, role: str) -> DataFrame:
+        if role not in ROLE_SCHEMAS:
+            raise AttributeError(role)
+        if role == "medicare_availability":
+            staged = self._materialize(medicare_availability_of(self.medicare_claims), f"sources/{role}")
+        elif role == "medicare_claims":
+            part = ["vintage", "release", "claim_type"]
+            # Spark splits a large (vintage, release, claim type) over several files.
+            df = self._derived.medicare_claims.hint("rebalance", *[F.col(c) for c in part])
+            staged = conform(self._materialize(df, f"sources/{role}", partition_by=part), ROLE_SCHEMAS[role])
+        else:
+            staged = conform(self._materialize(getattr(self._derived, role), f"sources/{role}"), ROLE_SCHEMAS[role])
+        setattr(self, role, staged)
+        return staged
+
+    def stage_all(self) -> StagedSources:
+        for f in fields(Sources):
+            getattr(self, f.name)
+        return self
 
 
 def medicare_availability_of(medicare_claims: DataFrame) -> DataFrame:
@@ -196,30 +179,31 @@ def derive_sources(spark: SparkSession, sf_dir: str) -> Sources:
 
     lines = _claim_lines(spark, sf_dir)
     n_customers = customer.select(F.count(F.lit(1))).scalar()
+    n_companies = supplier.select(F.count(F.lit(1))).scalar()
     commercial = _commercial_claims(lines)
     medicare = _medicare_claims(lines, n_customers)
 
     medicare_availability = medicare_availability_of(medicare)
 
-    ckey = F.col("c_custkey")
+    ckey, skey = F.col("c_custkey"), F.col("s_suppkey")
     crosswalk = conform(
         customer.select(
             (F.lit(PHYSICIAN_BASE) + ckey).alias("npiid"),
             (F.lit(PHYSICIAN_BASE) + ckey).alias("npi"),
-            F.lit(None).cast("long").alias("defhc_id"),
+            F.lit(None).cast("long").alias("company_id"),
         )
         .unionByName(
             part.select(
                 (F.lit(BILLING_BASE) + F.col("p_partkey")).alias("npiid"),
                 (F.lit(BILLING_BASE) + F.col("p_partkey")).alias("npi"),
-                F.when(F.col("p_size") != 50, F.substring_index("p_brand", "#", -1).cast("long")).alias("defhc_id"),
+                F.when(F.col("p_size") != 50, F.col("p_partkey") % n_companies + 1).alias("company_id"),
             )
         )
         .unionByName(
             supplier.select(
-                (F.lit(FACILITY_BASE) + F.col("s_suppkey")).alias("npiid"),
-                (F.lit(FACILITY_BASE) + F.col("s_suppkey")).alias("npi"),
-                (F.col("s_nationkey") + 1).cast("long").alias("defhc_id"),
+                (F.lit(FACILITY_BASE) + skey).alias("npiid"),
+                (F.lit(FACILITY_BASE) + skey).alias("npi"),
+                (skey + 1).alias("company_id"),
             )
         ),
         ROLE_SCHEMAS["crosswalk"],
@@ -230,12 +214,13 @@ def derive_sources(spark: SparkSession, sf_dir: str) -> Sources:
         ROLE_SCHEMAS["physicians"],
     )
 
-    nations = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    kind = (skey % len(FIRM_TYPES)).cast("int")
+    places = nation.join(region, nation.n_regionkey == region.r_regionkey)
     companies = conform(
-        nations.select(
-            (F.col("n_nationkey") + 1).alias("hospital_id"),
-            F.col("n_name").alias("hospital_name"),
-            _firm_type(F.col("n_regionkey")).alias("firm_type"),
+        supplier.join(places, supplier.s_nationkey == places.n_nationkey).select(
+            (skey + 1).alias("hospital_id"),
+            F.col("s_name").alias("hospital_name"),
+            F.element_at(F.array(*[F.lit(t) for t in FIRM_TYPES]), kind + 1).alias("firm_type"),
             F.col("n_name").alias("hq_city"),
             F.col("r_name").alias("hq_state"),
         ),
@@ -258,41 +243,35 @@ def derive_sources(spark: SparkSession, sf_dir: str) -> Sources:
         ROLE_SCHEMAS["claim_availability"],
     )
 
-    primary = (F.col("c_nationkey") + 1).cast("long")
+    primary = (ckey * 3) % n_companies + 1
     directory_physicians = conform(
         customer.select(
             (F.lit(PHYSICIAN_BASE) + ckey).alias("npi"),
             primary.alias("primary_affiliation_hospital_id"),
-            F.when(ckey % 2 == 0, ckey % 25 + 1).alias("hospital_id2"),
-            F.when(ckey % 3 == 0, (ckey * 7) % 25 + 1).alias("hospital_id3"),
-            F.when(ckey % 5 == 0, F.lit(UNKNOWN_COMPANY_ID)).alias("hospital_id4"),
+            F.when(ckey % 2 == 0, ckey % n_companies + 1).alias("hospital_id2"),
+            F.when(ckey % 3 == 0, (ckey * 7) % n_companies + 1).alias("hospital_id3"),
+            # An id that no company has.
+            F.when(ckey % 5 == 0, n_companies + 1).alias("hospital_id4"),
             F.when(ckey % 7 == 0, primary).alias("hospital_id5"),
         ),
         ROLE_SCHEMAS["directory_physicians"],
     )
 
+    # The groups are the companies of the second firm type; each has a surgery
+    # centre (the company after it) and an imaging centre (the one after that).
     group_copies = F.when(ckey % 10 == 1, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     group_practice = conform(
         customer.filter(ckey % 4 != 0)
         .select(ckey, F.explode(group_copies).alias("_copy"))
-        .select((F.lit(PHYSICIAN_BASE) + ckey).alias("npi"), (5 * (ckey % 5) + 2).alias("hospital_id")),
+        .select((F.lit(PHYSICIAN_BASE) + ckey).alias("npi"), (5 * (ckey % F.floor(n_companies / 5)) + 2).alias("hospital_id")),
         ROLE_SCHEMAS["group_practice"],
     )
-
-    nkey = F.col("n_nationkey")
-    physician_groups = conform(
-        nation.filter(F.col("n_regionkey") == 1).select((nkey + 1).alias("hospital_id")),
-        ROLE_SCHEMAS["physician_groups"],
-    )
+    physician_groups = conform(supplier.filter(kind == 1).select((skey + 1).alias("hospital_id")), ROLE_SCHEMAS["physician_groups"])
     surgery_centers = conform(
-        nation.filter(F.col("n_regionkey") == 2).select((nkey + 1).alias("hospital_id"), nkey.alias("pg_parent_id")),
-        ROLE_SCHEMAS["surgery_centers"],
+        supplier.filter(kind == 2).select((skey + 1).alias("hospital_id"), skey.alias("pg_parent_id")), ROLE_SCHEMAS["surgery_centers"]
     )
     imaging_centers = conform(
-        nation.filter(F.col("n_regionkey") == 3).select(
-            (nkey + 1).alias("hospital_id"), (nkey - 1).alias("pg_parent_id")
-        ),
-        ROLE_SCHEMAS["imaging_centers"],
+        supplier.filter(kind == 3).select((skey + 1).alias("hospital_id"), (skey - 1).alias("pg_parent_id")), ROLE_SCHEMAS["imaging_centers"]
     )
 
     return Sources(

@@ -40,7 +40,7 @@ MEDICARE_CLAIMS = _schema(
 # service date in it.  Plays the part of the catalog probing of the original.
 MEDICARE_AVAILABILITY = _schema(("vintage", I), ("release", S), ("max_clm_thru_dt", D))
 
-CROSSWALK = _schema(("npiid", L), ("npi", L), ("defhc_id", L))
+CROSSWALK = _schema(("npiid", L), ("npi", L), ("company_id", L))
 PHYSICIANS = _schema(("npi", L))
 COMPANIES = _schema(
     ("hospital_id", L), ("hospital_name", S), ("firm_type", S), ("hq_city", S), ("hq_state", S)

@@ -47,7 +47,7 @@ def frame(spark, schema, rows):
 
 
 def crosswalk(spark, rows):
-    """rows: (npiid, npi, defhc_id)"""
+    """rows: (npiid, npi, company_id)"""
     return frame(spark, S.CROSSWALK, rows)
 
 

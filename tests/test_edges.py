@@ -58,7 +58,7 @@ def test_both_roles_in_one_pass_equal_separate(spark, cfg):
         (2016, 20160305, R, None, 41, 3),
     ])
     xw = crosswalk(spark, XW)
-    both = E.commercial_edges_by_role(claims, xw, cfg)
+    both = E.commercial_edges_by_role(E.commercial_claim_grain(claims, xw, cfg))
     for role in ("billing", "service_facility"):
         one = E.commercial_edges(claims, xw, cfg, role)
         assert rows_of(both.filter(F.col("org_role") == role), *E.EDGE_COLUMNS) == rows_of(one, *E.EDGE_COLUMNS)
@@ -88,7 +88,7 @@ def test_medicare_events_per_claim_type_distinct_q5(spark, cfg):
         (2017, "annual", "inp", D, "100", "", None, "500", 9),  # duplicate in one type: once
         (2017, "annual", "out", D, "100", "", None, "500", 9),  # same visit, other type: again
     ])
-    ev = E.medicare_events(claims, ("attending",))
+    ev = E.medicare_events(E.medicare_claim_grain(claims), ("attending",))
     assert ev.count() == 2
     edges = E.medicare_edges_by_role(ev)
     assert rows_of(edges, "physician_npi", "claim_month", "org_npi", "claims") == [(100, date(2017, 3, 1), 500, 2)]
@@ -109,7 +109,7 @@ def test_medicare_role_predicates_q6_q7(spark, cfg):
         # text id -> NULL -> dropped
         (2017, "annual", "inp", D, "UNKNOWN", "x", "y", "500", 6),
     ])
-    edges = E.medicare_edges_by_role(E.medicare_events(claims))
+    edges = E.medicare_edges_by_role(E.medicare_events(E.medicare_claim_grain(claims)))
     got = rows_of(edges, "role", "physician_npi", "claims")
     assert ("attending", 0, 1) not in got
     assert ("attending", 300, 1) in got and ("attending", 301, 2) in got
@@ -119,6 +119,16 @@ def test_medicare_role_predicates_q6_q7(spark, cfg):
     assert all(not (r == "rendering" and n == 500) for r, n, _ in got)
 
 
+def test_trailing_blanks_are_ignored(spark, cfg):
+    claims = medicare(spark, [
+        (2017, "annual", "inp", D, "500 ", "", None, "500", 1),  # self-affiliation but for the padding
+        (2017, "annual", "inp", D, "100  ", "100", None, "500 ", 2),  # operating equals attending
+        (2017, "annual", "inp", D, "100", "100 ", None, "500", 2),  # the same claim
+    ])
+    edges = E.medicare_edges_by_role(E.medicare_events(E.medicare_claim_grain(claims)))
+    assert rows_of(edges.filter("physician_npi <> 0"), "role", "physician_npi", "org_npi", "claims") == [("attending", 100, 500, 1)]
+
+
 def test_vintage_is_hidden_key_q4(spark, cfg):
     claims = medicare(spark, [
         (2016, "annual", "inp", date(2017, 1, 5), "100", "", None, "500", 1),
@@ -134,7 +144,7 @@ def test_one_scan_events_equal_per_type_union(spark, cfg):
     from provgraph.sources.adapter import load_testdata
 
     src = load_testdata(spark, SF0001)
-    claims = E.selected_claims(src.medicare_claims, src.medicare_availability, cfg.__class__.for_testdata())
+    claims = E.medicare_claim_grain(E.selected_claims(src.medicare_claims, src.medicare_availability, cfg.__class__.for_testdata()))
     one_scan = E.medicare_events(claims)
     per_type = None
     for t in ["inp", "out", "snf", "hha", "hosp"]:

@@ -16,7 +16,7 @@ def test_unique_patients_commercial_q10_q11(spark, cfg):
         (2016, 20160201, 11, 41, None, 3),  # company NULL: dropped
     ])
     out = patients.unique_patients_commercial(claims, crosswalk(spark, XW), cfg)
-    assert rows_of(out, "physician_npi", "defhc_id", "patients_comm") == [(1011, 5, 2), (1011, 6, 1)]
+    assert rows_of(out, "physician_npi", "company_id", "patients_comm") == [(1011, 5, 2), (1011, 6, 1)]
 
 
 def test_unique_patients_medicare_q12_q13(spark, cfg):
@@ -28,10 +28,11 @@ def test_unique_patients_medicare_q12_q13(spark, cfg):
         (2017, "annual", "inp", d, "100", "", None, "1041", 2),  # NULL company -> 0 (Q13)
         (2017, "annual", "inp", d, "100", "", None, "01021", 3),  # not the canonical string: no match
         (2016, "annual", "inp", d, "100", "", None, "1021", 4),  # vintage not selected
+        (2017, "annual", "inp", d, "100 ", "", None, "1021  ", 1),  # padded ids: the same keys
     ])
     avail = frame(spark, S.MEDICARE_AVAILABILITY, [(2017, "annual", d)])
     out = patients.unique_patients_medicare(claims, avail, crosswalk(spark, XW), cfg)
-    got = rows_of(out, "physician_npi", "defhc_id", "patients_mcr")
+    got = rows_of(out, "physician_npi", "company_id", "patients_mcr")
     # '' (blank operating) and NULL (rendering) physicians stay as keys (Q12)
     assert ("100", 5, 1) in got and ("100", 0, 1) in got
     assert ("", 5, 1) in got and (None, 5, 1) in got
@@ -40,7 +41,7 @@ def test_unique_patients_medicare_q12_q13(spark, cfg):
 
 def test_crosswalk_zero_filled(spark):
     out = patients.crosswalk_zero_filled(crosswalk(spark, XW))
-    assert rows_of(out, "npi", "defhc_id") == [(1011, 0), (1021, 5), (1031, 6), (1041, 0)]
+    assert rows_of(out, "npi", "company_id") == [(1011, 0), (1021, 5), (1031, 6), (1041, 0)]
 
 
 COMPANIES = [(1, "A", "Hospital", "x", "y"), (2, "B", "Physician Group", "x", "y"), (3, "C", "Imaging Center", "x", "y"),

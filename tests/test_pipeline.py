@@ -13,7 +13,11 @@ import __spark_entry__ as entry
 from conftest import SF0001
 from provgraph.config import PipelineConfig
 from provgraph.plans.pipeline import AffiliationPipeline
-from provgraph.plans.publish import Materializer, publish
+from provgraph.plans import queries as registry
+from provgraph.plans.oracle import QUERIES as ORACLE_QUERIES
+from provgraph.plans.oracle import oracle_sql
+from provgraph.plans.pipeline import RESULTS
+from provgraph.plans.publish import Materializer, publish, read_published
 from provgraph.sources.adapter import load_testdata
 from tools.check_oracle import TABLES, digest
 
@@ -31,28 +35,40 @@ def con():
     return c
 
 
-ORACLE_SAMPLE = [
-    "commercial_billing_edges",
-    "medicare_normalised_claims",
-    "affiliation_summary",
-    "claim_shares",
-    "unique_patients_medicare",
-    "hospital_affiliations",
-    "score_buckets",
-    "final_affiliations",
-]
-
-
-@pytest.mark.parametrize("key", ORACLE_SAMPLE)
-def test_matches_oracle(spark, con, key):
-    s = entry.queries()[key](spark, SF0001).toPandas()
-    o = con.execute(entry.oracle_sql()[key]).df()
+# Every query of the pipeline; one session-wide staging feeds them all here.
+@pytest.mark.parametrize("key", list(registry.STAGES))
+def test_matches_oracle(pipe, con, key):
+    cols = ORACLE_QUERIES[key][1]
+    s = registry._typed(key, registry.STAGES[key](pipe), cols).toPandas()
+    o = con.execute(oracle_sql()[key]).df()
     assert digest(s) == digest(o)
+    assert len(s) > 0
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
-    assert len(entry.queries()) == 32
+    assert set(registry.STAGES) == set(oracle_sql()) <= set(entry.queries())
+    assert len(registry.STAGES) == 32
+
+
+def test_roles_are_staged_on_first_use_only(spark):
+    src = load_testdata(spark, SF0001)
+    AffiliationPipeline(spark, src, PipelineConfig.for_testdata()).hospital_affiliations.count()
+    assert set(vars(src)) - {"_derived", "_materialize"} == {"directory_physicians", "companies"}
+
+
+def test_fixture_grows_with_the_scale_factor(spark):
+    small, large = (load_testdata(spark, d, stage=False) for d in (SF0001, "/root/testdata/sf0.01"))
+    for role, col in (("commercial_claims", "dpid"), ("medicare_claims", "desy_sort_key"), ("companies", "hospital_id")):
+        a, b = (getattr(x, role).select(col).distinct().count() for x in (small, large))
+        assert b > 5 * a > 0, role
+
+
+def test_repeated_company_ids_are_refused(spark, pipe):
+    class Twice:
+        companies = pipe.src.companies.union(pipe.src.companies)
+
+    with pytest.raises(ValueError, match="not a key"):
+        AffiliationPipeline(spark, Twice(), PipelineConfig.for_testdata()).check_inputs()
 
 
 def test_entry_smoke(spark):
@@ -81,8 +97,8 @@ def test_invariants(pipe):
     )
     assert ranks.filter((F.col("n") != F.col("mx")) | (F.col("n") != F.col("d"))).count() == 0
     # directory-only rows are disjoint from claim edges
-    d = pipe.directory_only.select("physician_npi", "defhc_id")
-    assert d.join(asm.select("physician_npi", "defhc_id"), ["physician_npi", "defhc_id"]).count() == 0
+    d = pipe.directory_only.select("physician_npi", "company_id")
+    assert d.join(asm.select("physician_npi", "company_id"), ["physician_npi", "company_id"]).count() == 0
 
 
 def test_deterministic_across_partitionings(spark):
@@ -101,17 +117,23 @@ def test_deterministic_across_partitionings(spark):
     assert sorted(outs[0], key=key) == sorted(outs[1], key=key)
 
 
-def test_publish_round_trip(spark, pipe):
-    path = tempfile.mkdtemp(prefix="provgraph-publish-") + "/final"
+def test_publish_replaces_in_full_and_survives_a_failed_job(spark, pipe, tmp_path):
+    path = str(tmp_path / "final")
     final = pipe.final
     publish(final, path)
-    back = spark.read.parquet(path)
+    back = read_published(spark, path)
     assert back.dtypes == final.dtypes  # Parquet reads every column back as nullable
     assert back.exceptAll(final).count() == 0 and final.exceptAll(back).count() == 0
     publish(final.limit(3), path, mode="append")
-    assert spark.read.parquet(path).count() == final.count() + 3
+    assert read_published(spark, path).count() == final.count() + 3
     with pytest.raises(ValueError):
         publish(final, path, mode="merge")
+    with pytest.raises(Exception):  # noqa: B017
+        publish(final.withColumn("company_id", F.raise_error(F.lit("lost"))), path)
+    assert read_published(spark, path).count() == final.count() + 3
+    publish(final.limit(2), path)
+    assert read_published(spark, path).count() == 2
+    assert len([f for f in (tmp_path / "final").iterdir() if f.name.startswith("v-") and any(f.glob("*.parquet"))]) <= 2
 
 
 def test_sources_from_parquet_round_trip(spark):
@@ -133,23 +155,13 @@ def test_sources_from_parquet_round_trip(spark):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_command_line_publishes_the_table(spark, pipe):
+def test_command_line_publishes_every_table(spark, pipe, tmp_path):
     from provgraph.__main__ import main
 
-    out = tempfile.mkdtemp(prefix="provgraph-cli-") + "/final"
+    out = str(tmp_path / "out")
     main(["--testdata", SF0001, "--out", out, "--as-of", "2001-11-05"], spark=spark)
-    back = spark.read.parquet(out)
-    assert back.count() == pipe.final.count() == 2617
-    assert len(back.columns) == 31
-
-
-def test_shared_commercial_resolution_is_equivalent(spark, pipe):
-    from dataclasses import replace
-
-    cfg = replace(PipelineConfig.for_testdata(), share_commercial_resolution=True)
-    shared = AffiliationPipeline(spark, pipe.src, cfg)
-    assert shared.commercial_resolved is not None
-    for name in ("commercial_edges", "totals_commercial", "patients_commercial"):
-        a, b = getattr(pipe, name), getattr(shared, name)
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
-    assert shared.final.count() == pipe.final.count()
+    for name, table in RESULTS.items():
+        back, want = read_published(spark, f"{out}/{name}"), table(pipe)
+        assert back.columns == want.columns and back.count() == want.count() > 0, name
+    assert "update_date" in read_published(spark, f"{out}/affiliation_decay").columns
+    assert len(read_published(spark, f"{out}/final_affiliations").columns) == 31

@@ -34,7 +34,7 @@ def main() -> None:
     work = tempfile.mkdtemp(prefix="provgraph-stats-")
     spark = local_session(8, shuffle_partitions=16, checkpoint_dir=f"{work}/ckpt", event_log_dir=f"{work}")
     cfg = PipelineConfig.for_testdata()
-    staged = load_testdata(spark, sf_dir)
+    staged = load_testdata(spark, sf_dir).stage_all()
     rows = []
     for name, stage in STAGES.items():
         times = []
@@ -49,24 +49,29 @@ def main() -> None:
     spark.sparkContext.setJobGroup("done", "done")
     spark.stop()
     stage_group, shuffle_bytes, shuffle_stages = {}, defaultdict(int), defaultdict(set)
+    jobs, stages = defaultdict(int), defaultdict(set)
     for e in events(work):
         if e["Event"] == "SparkListenerJobStart":
             g = (e.get("Properties") or {}).get("spark.jobGroup.id")
+            jobs[g] += 1
             for s_id in e.get("Stage IDs", []):
                 stage_group[s_id] = g
         elif e["Event"] == "SparkListenerTaskEnd":
             g = stage_group.get(e["Stage ID"])
+            stages[g].add(e["Stage ID"])
             m = (e.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}
             written = m.get("Shuffle Bytes Written", 0)
             if g and written:
                 shuffle_bytes[g] += written
                 shuffle_stages[g].add(e["Stage ID"])
-    print("| query | seconds (median) | shuffle bytes / run | shuffle stages run / run |")
-    print("| --- | --- | --- | --- |")
+    print("| query | seconds (median) | shuffle bytes / run | shuffle stages / run | jobs / run | stages / run |")
+    print("| --- | --- | --- | --- | --- | --- |")
     for name, sec in rows:
         per_run = statistics.median(shuffle_bytes.get(f"{name}#{i}", 0) for i in range(runs))
         n_stages = statistics.median(len(shuffle_stages.get(f"{name}#{i}", ())) for i in range(runs))
-        print(f"| {name} | {sec:.2f} | {per_run / 1e6:.1f} MB | {n_stages:g} |")
+        n_jobs = statistics.median(jobs[f"{name}#{i}"] for i in range(runs))
+        n_all = statistics.median(len(stages[f"{name}#{i}"]) for i in range(runs))
+        print(f"| {name} | {sec:.2f} | {per_run / 1e6:.1f} MB | {n_stages:g} | {n_jobs:g} | {n_all:g} |")
 
 
 if __name__ == "__main__":
