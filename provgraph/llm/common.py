@@ -5,35 +5,24 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from itertools import pairwise
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from provgraph.plans.publish import work_root
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Byte table that lower-cases A-Z and leaves every other byte of UTF-8 alone.
 LOWER_TABLE = bytes.maketrans(_UPPER.encode(), _LOWER.encode())
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The shared work folder: ``spark.checkpoint.dir`` of the session.
-
-    Unset, a local session gets a temporary folder of its own; a cluster
-    session is refused, since its machines share no local folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    root = "file://" + tempfile.mkdtemp(prefix="llm-work-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
-
-
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers, once for each Spark application."""
     sc = spark.sparkContext
@@ -59,7 +48,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         ship(spark)
         self.spark = spark
-        self.folder = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+        self.folder = f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
         self._n = 0
 
     def save(self, df: DataFrame, *, sort_by: list[str] | None = None) -> DataFrame:
@@ -117,3 +106,22 @@ def numbered(scratch: Scratch, df: DataFrame, by: list[str], name: str = "pos")
     )
     local = part.withColumn(name, F.row_number().over(Window.partitionBy("_part").orderBy(*by)) - 1)
     return local.join(F.broadcast(starts), "_part").withColumn(name, F.col(name) + F.col("_start")).drop("_part", "_start")
+
+
+def row_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """Runs of consecutive rows with equal keys, as tables."""
+    last, held = None, []
+    for b in batches:
+        cols = [b.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        change = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1 if b.num_rows else []
+        for start, end in pairwise([0, *change, b.num_rows]):
+            if start == end:
+                continue
+            key = tuple(c[start] for c in cols)
+            if key != last and held:
+                yield last, pa.Table.from_batches(held)
+                held = []
+            last = key
+            held.append(b.slice(start, end - start))
+    if held:
+        yield last, pa.Table.from_batches(held)

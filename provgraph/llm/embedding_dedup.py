@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from provgraph.llm.common import Scratch, numbered
+from provgraph.llm.common import Scratch, numbered, row_groups
 from provgraph.llm.graph import connected_components
 
 #: Passes, random hyperplanes of a pass's key, neighbours that a vector is compared with on each side, rows of a block.
@@ -22,25 +21,6 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
-    """Consecutive rows with equal keys."""
-    last, held = None, []
-    for b in batches:
-        cols = [b.column(k).to_numpy(zero_copy_only=False) for k in keys]
-        change = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1 if b.num_rows else []
-        for start, end in pairwise([0, *change, b.num_rows]):
-            if start == end:
-                continue
-            key = tuple(c[start] for c in cols)
-            if key != last and held:
-                yield last, pa.Table.from_batches(held)
-                held = []
-            last = key
-            held.append(b.slice(start, end - start))
-    if held:
-        yield last, pa.Table.from_batches(held)
-
-
 def _by_length(column: pa.ChunkedArray | pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(rows, their vectors) for each length of vector."""
     lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -130,7 +110,7 @@ def _window_pairs(scratch: Scratch, classes: DataFrame, threshold: float, passes
     placed = placed.repartition("block").sortWithinPartitions("block", "pos")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (blk,), g in _groups(batches, ["block"]):
+        for (blk,), g in row_groups(batches, ["block"]):
             a_out, b_out = [], []
             for at, x in _by_length(g["_v"]):
                 x = _unit(x)
@@ -159,7 +139,7 @@ def _links_inside(scratch: Scratch, members: DataFrame, threshold: float, block:
     dealt = dealt.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "mine", "rep")
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, i, j), g in _groups(batches, ["component", "i", "j"]):
+        for (_, i, j), g in row_groups(batches, ["component", "i", "j"]):
             mine, rep, copies = (g[c].to_numpy() for c in ("mine", "rep", "copies"))
             count = np.zeros(len(rep), np.int64)
             for at, x in _by_length(g["_v"]):

@@ -10,17 +10,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from provgraph.llm.common import Scratch, hash_words, words_of
+from provgraph.llm.common import Scratch, hash_words, row_groups, words_of
 from provgraph.llm.graph import connected_components
 
 #: Coordinates of a signature, and how many of them must collide.  A pair at
 #: similarity 0.85 has fewer than 16 of 32 equal with a probability below
 #: 1e-6, one at 0.8 below 1e-4.
 COORDINATES, MATCHES = 32, 16
-#: Members of a hub that share one copy of its text while they are checked.
-FAN = 256
-#: Rounds in which a group compares one hub before its open pairs are listed.
-ROUNDS = 4
+#: Documents and shingles of a block of a family, about.
+BLOCK_DOCS, BLOCK_SHINGLES = 256, 100_000
+#: Rounds in which a posting list compares one hub before its open pairs are listed.
+ROUNDS = 2
 
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(0, 2**64, COORDINATES, dtype=np.uint64) | np.uint64(1)
@@ -74,49 +74,61 @@ def _sign(width: int):
     return run
 
 
-def _check(width: int, percent: int):
-    """Rows sorted by hub and share, the hub's own text first: pairs that meet the threshold."""
+def shared_shingles(sets: list[np.ndarray]) -> np.ndarray:
+    """Matrix of the sizes of all intersections, exactly.
+
+    A shingle that few sets hold adds one for each of its pairs; those that
+    many hold are the columns of 0/1 matrices, multiplied a slice at a time.
+    """
+    n = len(sets)
+    both = np.zeros((n, n), np.int32)
+    values = np.concatenate(sets)
+    owner = np.repeat(np.arange(n), [len(s) for s in sets])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    start = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
+    count = np.diff(np.append(start, len(values)))
+    for c in range(2, 9):
+        at = start[count == c]
+        who = owner[at[:, None] + np.arange(c)]
+        for i in range(c):
+            for j in range(i + 1, c):
+                np.add.at(both, (who[:, i], who[:, j]), 1)
+    many = np.flatnonzero(count > 8)
+    for k in range(0, len(many), 4096):
+        part = many[k : k + 4096]
+        m = np.zeros((n, len(part)), np.float32)
+        m[np.concatenate([owner[start[x] : start[x] + count[x]] for x in part]), np.repeat(np.arange(len(part)), count[part])] = 1
+        both += np.triu(m @ m.T, 1).astype(np.int32)
+    return both + both.T
+
+
+def _link(width: int, percent: int):
+    """Rows sorted by family and pair of blocks: links that connect what all links of the pair connect."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub, mine = None, None
-        for b in batches:
-            a_out, b_out = [], []
-            for a, share, other, text in zip(*(b.column(c) for c in ("a", "share", "b", "_text")), strict=True):
-                key, other = (a.as_py(), share.as_py()), other.as_py()
-                s = shingle_set(words_of(text.as_py()), width)
-                if other is None:
-                    hub, mine = key, s
-                elif hub == key:
-                    both = len(np.intersect1d(mine, s, assume_unique=True))
-                    if 100 * both >= percent * (len(mine) + len(s) - both):
-                        a_out.append(key[0])
-                        b_out.append(other)
-            yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], ["a", "b"])
+        for (_, i, j), g in row_groups(batches, ["family", "i", "j"]):
+            rep, mine = g["rep"].to_numpy(), g["mine"].to_numpy()
+            sets = [shingle_set(words_of(t.as_py()), width) for t in g["_text"]]
+            size = np.array([len(s) for s in sets])
+            both = shared_shingles(sets).astype(np.int64)
+            near = 100 * both >= percent * (size[:, None] + size - both)
+            if i != j:
+                near &= mine[:, None] != mine
+            # The smallest neighbour's label, until no label changes.
+            label = np.arange(len(rep))
+            while True:
+                low = np.minimum(label, np.where(near, label, len(rep)).min(axis=1))
+                low = np.minimum(low, low[low])
+                if (low == label).all():
+                    break
+                label = low
+            tied = label != np.arange(len(rep))
+            yield pa.RecordBatch.from_arrays([pa.array(rep[tied], pa.int64()), pa.array(rep[label[tied]], pa.int64())], ["a", "b"])
 
     return run
 
 
-def _checked(scratch: Scratch, texts: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets meet the threshold; a is the hub.
-
-    A hub's text is sent once for every ``FAN`` members, so that neither one
-    task nor the network gets a hub's whole group.
-    """
-    pairs = scratch.save(pairs.select("a", "b").distinct())
-    share = pairs.groupBy("a").agg(F.ceil(F.count("*") / FAN).alias("shares"))
-    dealt = pairs.join(share, "a").withColumn("share", F.pmod(F.xxhash64("b"), F.col("shares")))
-    need = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct()
-    held = scratch.save(texts.join(need, "_id", "left_semi").groupBy("_id").agg(F.max("_text").alias("_text")))
-    hubs = dealt.select("a", "share").distinct().join(held.withColumnRenamed("_id", "a"), "a")
-    rows = hubs.select("a", "share", F.lit(None).cast("long").alias("b"), "_text").union(
-        dealt.join(held.withColumnRenamed("_id", "b"), "b").select("a", "share", "b", "_text")
-    )
-    rows = rows.repartition("a", "share").sortWithinPartitions("a", "share", F.col("b").asc_nulls_first())
-    out = scratch.save(rows.mapInArrow(_check(width, percent), "a long, b long"))
-    scratch.drop(held, pairs)
-    return out
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 85) -> DataFrame:
     """(id, n_shingles, component_id, kept), one row per row of ``docs``.
 
@@ -133,11 +145,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        only that prefix is joined: frequent postings, as shared passages make
        them, are skipped unless a class has little else.
     3. A posting list compares its members with a hub, not with each other:
-       the collisions of the two signatures are counted, pairs below
-       ``MATCHES`` dropped, the others checked on their full sets.  Members
-       that links already connect need no comparison; after some rounds with
-       other hubs the remaining pairs of a list, those between different
-       components, are all compared.  No list, partner or candidate is capped.
+       the collisions of the two signatures are counted, and pairs below
+       ``MATCHES`` dropped.  What the others connect is a family.  Members of
+       one family need no comparison; after some rounds with other hubs the
+       remaining pairs of a list, those between families, are all counted.
+       Families then hold every pair with enough collisions.
+    4. The families' texts are fetched once.  Each family is cut into bounded
+       blocks, and every pair of blocks compares the full shingle sets of its
+       documents, all with all, passing on only the links that connect them.
+       No list, partner or candidate is capped.
 
     Null and empty texts have no shingle, link with nothing and are kept.
     Rows of one id count as one document (the largest text stands for it in
@@ -151,7 +167,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         signed.where("n_shingles > 0 and _id is not null").groupBy("fp")
         .agg(F.min("_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
     )
-    comp = connected_components(scratch, _links(scratch, texts, classes, width, percent))
+    comp = connected_components(scratch, _links(scratch, texts, classes, _families(scratch, classes), width, percent))
     rep = classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     rep = scratch.save(rep)
     out = signed.select("_id", "n_shingles", "fp").join(rep, "fp", "left")
@@ -171,46 +187,46 @@ def _prefixes(scratch: Scratch, classes: DataFrame) -> DataFrame:
     return scratch.save(own.select(F.col("t.token").alias("token"), "rep"))
 
 
-def _links(scratch: Scratch, texts: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """(a, b) between class representatives: enough checked links to connect what all links connect."""
-    sigs = classes.select("rep", "n", "sig")
-    post = scratch.save(_prefixes(scratch, classes).join(sigs.drop("sig"), "rep"))
-    links = scratch.save(post.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0))
-    done = links
+def _families(scratch: Scratch, classes: DataFrame) -> DataFrame:
+    """(rep, family) such that any two classes with enough collisions are of one family; lone classes are left out."""
+    sigs = classes.select("rep", "sig")
+    post = _prefixes(scratch, classes)
+    pairs = scratch.save(post.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0))
+    families = pairs.select(F.col("a").alias("rep"), F.col("b").alias("family"))
     for step in range(ROUNDS + 1):
-        if step:
-            comp = connected_components(scratch, links).withColumnRenamed("id", "rep")
-            members = post.join(comp, "rep", "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("c"))
-        else:
-            members = post.withColumn("c", F.col("rep"))
-        members = scratch.save(members)
-        sizes = members.groupBy("token", "c").agg(F.count("*").cast("double").alias("s")).groupBy("token")
-        lists = scratch.save(sizes.agg(F.sum("s").alias("all"), F.sum(F.col("s") * F.col("s")).alias("inside")).where("all * all > inside"))
-        left = lists.agg(F.sum("all").alias("rows"), (F.sum(F.col("all") * F.col("all") - F.col("inside")) / 2).alias("pairs")).first()
-        if not left["rows"]:
-            break
-        members = members.join(lists.select("token"), "token", "left_semi")
-        # Few open pairs, or the last round: compare them all.  Else one hub for each list.
-        last = step == ROUNDS or left["pairs"] <= 2 * left["rows"]
-        if last:
-            other = members.select("token", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-            pairs = members.join(other, "token").where("c != ca and a < rep")
+        members = scratch.save(post.join(families, "rep", "left").select("token", "rep", F.coalesce("family", "rep").alias("f")))
+        hubs = members.groupBy("token").agg(F.min("f").alias("low"), F.max("f").alias("high")).where("low < high")
+        members = members.join(hubs, "token")
+        if step < ROUNDS:
+            # The hub is first the smallest family's first member, then the largest's.
+            hub = members.where(F.col("f") == F.col("high" if step % 2 else "low")).groupBy("token").agg(F.min("rep").alias("a"))
+            found = members.join(hub, "token").where("rep != a").select("a", F.col("rep").alias("b"), "f", "low", "high")
+            found = found.where(F.col("f") != F.col("high" if step % 2 else "low"))
         else:
-            order = F.col("rep") if not step else F.xxhash64("rep", F.lit(step))
-            hub = F.min(F.struct(order.alias("o"), "rep", "n", "c")).alias("h")
-            hubs = members.groupBy("token").agg(hub).select("token", F.col("h.rep").alias("a"), F.col("h.n").alias("na"), F.col("h.c").alias("ca"))
-            pairs = members.join(hubs, "token").where("c != ca")
-        # Sets whose sizes differ too much cannot meet the threshold.
-        pairs = pairs.where(F.least("na", "n") * 100 >= F.greatest("na", "n") * percent).select("a", F.col("rep").alias("b")).distinct()
-        pairs = pairs.join(done.union(done.select("b", "a")), ["a", "b"], "left_anti")
+            found = members.join(members.select("token", F.col("rep").alias("a"), F.col("f").alias("fa")), "token").where("f != fa and a < rep").select("a", F.col("rep").alias("b"))
+        found = found.select("a", "b").distinct()
         sa, sb = sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb"))
         equal = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-        found = scratch.save(pairs.join(sa, "a").join(sb, "b").where(equal >= MATCHES).select("a", "b"))
-        links = scratch.save(links.union(_checked(scratch, texts, found, width, percent)))
-        done = done.union(found)
-        if last:
-            break
-    return links
+        # Both lists grow with the corpus, so neither is broadcast at any size.
+        found = found.hint("merge").join(sa, "a").hint("merge").join(sb, "b").where(equal >= MATCHES).select("a", "b")
+        pairs = scratch.save(pairs.union(found))
+        families = connected_components(scratch, pairs).select(F.col("id").alias("rep"), F.col("component").alias("family"))
+        pairs = families.select(F.col("rep").alias("a"), F.col("family").alias("b"))
+    return families
+
+
+def _links(scratch: Scratch, texts: DataFrame, classes: DataFrame, families: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b) between class representatives: checked links that connect what all links connect."""
+    of = scratch.save(families.join(classes.select("rep", "n"), "rep"))
+    size = of.groupBy("family").agg(F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    cut = of.join(size, "family").withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    # The id list grows with the corpus, so it is not broadcast at any size.
+    held = texts.hint("merge").join(cut.select(F.col("rep").alias("_id"), "family", "mine", "blocks"), "_id")
+    held = held.groupBy("_id", "family", "mine", "blocks").agg(F.max("_text").alias("_text"))
+    sides = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("mine", o).alias("i"), F.greatest("mine", o).alias("j")))
+    dealt = held.select("family", "mine", F.col("_id").alias("rep"), "_text", F.explode(sides).alias("p")).select("family", F.col("p.i").alias("i"), F.col("p.j").alias("j"), "mine", "rep", "_text")
+    dealt = dealt.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "rep")
+    return scratch.save(dealt.mapInArrow(_link(width, percent), "a long, b long"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:

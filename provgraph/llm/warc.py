@@ -12,7 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from provgraph.llm.common import Scratch, shared_root, ship
+from provgraph.llm.common import Scratch, ship
+from provgraph.plans.publish import work_root
 
 #: Bytes that an archive holds at most before the next one is opened, but for its last record.
 ARCHIVE_BYTES = 256 << 20
@@ -97,7 +98,7 @@ def write_warc(pages: DataFrame, folder: str | None = None, id_col: str = "page_
     """
     spark = pages.sparkSession
     scratch = Scratch(spark, "warc")
-    folder = folder or f"{shared_root(spark)}/warc-{uuid.uuid4().hex}"
+    folder = folder or f"{work_root(spark)}/warc-{uuid.uuid4().hex}"
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
     rows = pages.select(F.col(id_col).cast("long").alias("_id"), F.col(url_col).alias("_url"), payload.alias("_payload"), F.sha1(payload).alias("_sha"))
     keepers = scratch.save(rows.groupBy("_sha").agg(F.max("_id").alias("_keeper"), F.count("*").alias("_n")))
