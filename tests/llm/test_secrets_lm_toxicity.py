@@ -63,7 +63,7 @@ def _lm_corpus():
         while len(w) < 40:
             w += ["the", rng.choice(["cat", "dog"]), "sat", "on"] if rng.random() < 0.4 else words(rng, 3, 300)
         out.append((i, " ".join(w)))
-    return out + [(5, out[5][1])]
+    return out + [(5, out[6][1])]
 
 
 def test_lm_base_score_and_held_out_gain(spark):
