@@ -70,7 +70,13 @@ POINTER = "_CURRENT"
 
 def current_version(spark: SparkSession, path: str) -> str | None:
     fs, p = _fs(spark, f"{path}/{POINTER}")
-    return spark.read.text(f"{path}/{POINTER}").first()[0] if fs.exists(p) else None
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def read_published(spark: SparkSession, path: str) -> DataFrame:
