@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from provgraph.llm import packing, warc
-from provgraph.llm.packing import Encoder, pack, pack_lengths
+from provgraph.llm.packing import encoder, pack, pack_lengths
 from provgraph.llm.warc import from_record, ranges, read_warc, to_record, write_warc
 
 from .helpers import clashing_frame, docs_frame, words
@@ -28,7 +28,12 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 def test_encoder_equals_the_tokenizer(text):
     tok = Tokenizer.from_file(PATH)
     tok.encode_special_tokens = True
-    assert Encoder(PATH)(text).tolist() == tok.encode(text, add_special_tokens=False).ids
+    assert encoder(PATH)(text).tolist() == tok.encode(text, add_special_tokens=False).ids
+
+
+def test_other_vocabularies_are_encoded_by_their_own_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert encoder(path)("Hello, wörld").tolist() == Tokenizer.from_file(path).encode("Hello, wörld", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("seed", range(6))
