@@ -123,6 +123,69 @@ def test_lm_states_are_distributions(spark):
     assert isinstance(tree, Tree)
 
 
+def _plain_scores(data, held, depth):
+    """Scores by definition, all contexts and pairs in plain dictionaries."""
+    text = lambda t: (t or "").lower().split() + ["\n"]
+    padded = lambda t: ["\n"] * depth + text(t)
+    grams = [Counter() for _ in range(depth + 1)]
+    totals = [Counter() for _ in range(depth + 1)]
+    for i, t in data:
+        w = padded(t)
+        for at in range(depth, len(w)) if not held(i) else ():
+            for order in range(depth + 1):
+                grams[order][tuple(w[at - order : at + 1])] += 1
+                totals[order][tuple(w[at - order : at])] += 1
+    n, v = totals[0][()], len(grams[0])
+    ones, twos = (sum(c == k for c in grams[0].values()) for k in (1, 2))
+    d = (ones + 1) / (ones + 2 * twos + 2)
+    root = {g[0]: math.log10((c - d) / n) for g, c in grams[0].items()}
+    unknown = math.log10(d * v / n)
+    state: dict = {}
+
+    def lp(context, w):
+        if not context:
+            return root.get(w, unknown)
+        if context not in state:
+            return lp(context[1:], w)
+        back, pairs = state[context]
+        return pairs[w] if w in pairs else back + lp(context[1:], w)
+
+    for order in range(1, depth + 1):
+        of: dict = {}
+        for g, c in grams[order].items():
+            if c >= 2:
+                of.setdefault(g[:-1], {})[g[-1]] = c
+        for context, pairs in of.items():
+            t = totals[order][context]
+            p = {w: (c - 0.75) / t for w, c in pairs.items()}
+            low = {w: 10 ** lp(context[1:], w) for w in pairs}
+            rest = (1 - sum(p.values())) / max(1 - sum(low.values()), 1e-12)
+            gain = sum(c * math.log(p[w] / low[w]) for w, c in pairs.items()) + (t - sum(pairs.values())) * math.log(rest)
+            if gain > 0.5 * math.log(t + 1) * (len(pairs) + 1):
+                state[context] = (math.log10(rest), {w: math.log10(x) for w, x in p.items()})
+    out = []
+    for i, t in data:
+        w = padded(t)
+        out.append((str(i), len(text(t)), sum(lp(tuple(w[at - depth : at]), w[at]) for at in range(depth, len(w)))))
+    return sorted(out), state
+
+
+@pytest.mark.parametrize("depth", [2, 3])
+def test_lm_model_has_all_contexts_and_pairs_at_any_bound(spark, monkeypatch, depth):
+    rng = random.Random(6)
+    # What follows "m n" depends on the word before them.
+    data = _lm_corpus() + [(1000 + i, " ".join(x for _ in range(12) for x in rng.choice(["a m n x", "b m n y"]).split())) for i in range(60)]
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    want, state = _plain_scores(data, held, depth)
+    assert {len(c) for c in state} == set(range(1, depth + 1))
+    monkeypatch.setattr(suffix_tree_lm, "_CHUNK", 3000)
+    monkeypatch.setattr(suffix_tree_lm, "_SCORED", 500)
+    for s in (TreeSettings(symbols=3, singles=2, doubles=1, pairs=4, depth=depth), TreeSettings(depth=depth)):
+        got = sorted((str(r.doc_id), r.n_tokens, r.score) for r in lm_scores(clashing_frame(spark, data).repartition(3), settings=s).collect())
+        assert [g[:2] for g in got] == [w[:2] for w in want]
+        assert all(math.isclose(g[2], w[2], rel_tol=1e-9) for g, w in zip(got, want, strict=True))
+
+
 def _all_segments(scores):
     """Maximal segments by definition: the best one, then those to its left and right."""
     best, at = 0.0, None
