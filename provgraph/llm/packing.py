@@ -5,6 +5,7 @@ from __future__ import annotations
 import bisect
 import heapq
 import json
+import re
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 from itertools import pairwise
@@ -20,7 +21,8 @@ from provgraph.llm.common import ship
 END_ID = 1
 #: Tokens that one packing batch holds at most, but for its last document.
 BATCH_TOKENS = 1 << 20
-_encoders: dict[str, Callable[[str], np.ndarray]] = {}
+Encode = Callable[[str], np.ndarray]
+_encoders: dict[str, tuple[Encode, Encode]] = {}
 
 
 def _byte_of() -> dict[str, int]:
@@ -30,8 +32,8 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-def _from_file(path: str) -> Callable[[str], np.ndarray]:
-    """text -> ids.  A file of byte-level BPE whose merges stand in the order of their ids is
+def _from_file(path: str) -> tuple[Encode, Encode]:
+    """text -> ids, for text between added tokens and for any text.  A file of byte-level BPE whose merges stand in the order of their ids is
     encoded by tiktoken from the file's own vocabulary, which is several times faster; any other by tokenizers."""
     from public_tokenizers import PATTERN
 
@@ -43,26 +45,40 @@ def _from_file(path: str) -> Callable[[str], np.ndarray]:
     ids = [vocab.get(a + b) for a, b in pairs] if model["type"] == "BPE" else [None]
     split = spec.get("pre_tokenizer") or {}
     byte_level = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
-    if byte_level and not spec.get("normalizer") and None not in ids and all(x < y for x, y in pairwise(ids)):
+    added = {t["content"]: t for t in spec.get("added_tokens", [])}
+    plain = not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in added.values())
+    if byte_level and plain and not spec.get("normalizer") and None not in ids and all(x < y for x, y in pairwise(ids)):
         ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if all(c in byte_of for c in t)}
-        special = {t["content"] for t in spec.get("added_tokens", [])}
         import tiktoken
 
-        ranks = {t: i for t, i in ranks.items() if t.decode("latin-1") not in special}
+        ranks = {t: i for t, i in ranks.items() if t.decode("latin-1") not in added}
         encode = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        return lambda text: np.array(encode(text), np.uint32)
+        between = lambda text: np.array(encode(text), np.uint32)
+        if not added:
+            return between, between
+        # Of several added tokens at one place the longest is taken.
+        cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+
+        def whole(text: str) -> np.ndarray:
+            parts = cut.split(text)
+            if len(parts) == 1:
+                return between(text)
+            # Every second part is an added token.
+            return np.concatenate([np.array([added[p]["id"]], np.uint32) if i % 2 else between(p) for i, p in enumerate(parts)])
+
+        return between, whole
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
-    return lambda text: np.array(tok.encode(text, add_special_tokens=False).ids, np.uint32)
+    by_library = lambda text: np.array(tok.encode(text, add_special_tokens=False).ids, np.uint32)
+    return by_library, by_library
 
 
-def encoder(path: str) -> Callable[[str], np.ndarray]:
-    """The file's encoder, read once per worker."""
+def encoder(path: str, added_tokens: bool = False) -> Encode:
+    """The file's encoder, read once per worker; with ``added_tokens`` it knows the file's added tokens in text, as tokenizers does."""
     if path not in _encoders:
         _encoders[path] = _from_file(path)
-    return _encoders[path]
+    return _encoders[path][added_tokens]
 
 
 def pack_lengths(lengths: Sequence[int], tiers: Sequence[int], groups: int) -> list[tuple[int, int, list[tuple[int, int, int]]]]:
@@ -149,8 +165,9 @@ def pack(
 ) -> DataFrame:
     """One row per piece: (id, start, length, ids_crc32, doc_tokens, sequence_id, offset, tier, step_group[, ids]).
 
-    A document is its token ids and then ``END_ID``; null text is empty and
-    has the end alone.  Each id lies in one piece, pieces of a sequence follow
+    A document is its token ids and then ``END_ID``; the file's added tokens
+    are known in text, as ``tokenizers`` does.  Null text is empty and has the
+    end alone.  Each id lies in one piece, pieces of a sequence follow
     each other without gaps, and every sequence is exactly as long as a
     power of two (``tier``), so that nothing is padded.  ``step_group`` deals
     the sequences of a batch to groups of nearly equal tokens.
@@ -171,7 +188,7 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = encoder(tokenizer_path)
+        encode = encoder(tokenizer_path, added_tokens=True)
         base, opened = TaskContext.get().partitionId() << 40, 0
         held_ids: list = []
         held: list[np.ndarray] = []

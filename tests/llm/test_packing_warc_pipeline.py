@@ -31,6 +31,20 @@ def test_encoder_equals_the_tokenizer(text):
     assert encoder(PATH)(text).tolist() == tok.encode(text, add_special_tokens=False).ids
 
 
+ADDED = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "x\n<|endoftext|>\n", "<|endoftext|", "é  <|endoftext|>  <|ENDOFTEXT|>"]
+
+
+def test_added_tokens_in_text_have_their_ids(spark):
+    tok = Tokenizer.from_file(PATH)
+    want = [tok.encode(t, add_special_tokens=False).ids for t in ADDED]
+    assert want[0] == [64, 220, 50256, 275]
+    assert [encoder(PATH, added_tokens=True)(t).tolist() for t in ADDED] == want
+    got: dict = {}
+    for r in sorted(pack(docs_frame(spark, list(enumerate(ADDED))), PATH, with_ids=True).collect(), key=lambda r: r.start):
+        got.setdefault(r.doc_id, []).extend(r.ids)
+    assert [got[i] for i in range(len(ADDED))] == [w + [1] for w in want]
+
+
 def test_other_vocabularies_are_encoded_by_their_own_library():
     path = public_tokenizers.path("word_bpe_49k.json")
     assert encoder(path)("Hello, wörld").tolist() == Tokenizer.from_file(path).encode("Hello, wörld", add_special_tokens=False).ids
