@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from provgraph.llm.common import LOWER_TABLE, Scratch, crc_mod, ship
-from provgraph.llm.minhash import shingle_set, signature
+from provgraph.llm.minhash import near_duplicates
 
 _EDGE = b".,;:!?\"'()[]{}<>*_-"
 #: Lengths in bytes of the word beginnings that stand in for rare words.
@@ -196,22 +196,16 @@ def fit(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings | None =
 def _distinct(scratch: Scratch, rows: DataFrame) -> DataFrame:
     """The sample without copies and near copies, whose words would pass for words of their label.
 
-    Two rows that agree in one of four MinHash values of their three-word
-    shingles are taken for copies; the one with the least hash of its id stays.
+    Copies are rows of one label that ``near_duplicates`` connects by 80 % of
+    their three-word shingles, checked on the full sets; a shared passage does
+    not make a copy.  The one with the least hash of its id stays.
     """
-
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [shingle_set(tokens_of(t.as_py()), 3) for t in b.column("_text")]
-            sketches = [signature(s)[:4].tolist() if len(s) else [] for s in sets]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sketches, pa.list_(pa.int32()))], [*b.schema.names, "sketch"])
-
-    id_type = rows.schema["_id"].dataType.simpleString()
-    signed = scratch.save(rows.mapInArrow(sketch, f"_id {id_type}, _text binary, toxic int, fit boolean, sketch array<int>"))
-    values = signed.select("_id", F.xxhash64("_id").alias("h"), F.posexplode("sketch").alias("at", "value"))
-    first = values.groupBy("at", "value").agg(F.min(F.struct("h", "_id")).alias("first"))
-    copies = values.join(first, ["at", "value"]).where("_id != first._id").select("_id").distinct()
-    return signed.join(copies, "_id", "left_anti").select("_text", "toxic", "fit")
+    rows = scratch.save(rows.withColumn("h", F.xxhash64("_id")))
+    near = near_duplicates(rows, "h", "_text", width=3, percent=80).select("h", "component_id").distinct()
+    of = scratch.save(near.join(rows.select("h", "toxic").distinct(), "h"))
+    first = of.groupBy("component_id", "toxic").agg(F.min("h").alias("first"))
+    copies = of.join(first, ["component_id", "toxic"]).where("h != first").select("h").distinct()
+    return rows.join(copies, "h", "left_anti").select("_text", "toxic", "fit")
 
 
 def _measured(rows: DataFrame, model: ToxicityModel, of) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

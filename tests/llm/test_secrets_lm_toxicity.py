@@ -9,7 +9,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from provgraph.llm import suffix_tree_lm
+from provgraph.llm import suffix_tree_lm, toxicity
+from provgraph.llm.common import Scratch
 from provgraph.llm.secret_scan import BASE_RULES, MORE_RULES, SecretRule, find_secrets, trigram_query
 from provgraph.llm.suffix_tree_lm import Tree, TreeSettings, lm_scores
 from provgraph.llm.toxicity import ToxicityModel, ToxicitySettings, fit, tokens_of, toxicity_scores, without_toxic
@@ -225,6 +226,19 @@ def _toxic_corpus(spark, n=1500):
     return data, spark.createDataFrame(labels, "doc_id long, toxic int")
 
 
+def test_only_copies_of_one_label_leave_the_sample(spark):
+    rng = random.Random(5)
+    passage = " ".join(words(rng, 60))
+    own = [" ".join(words(rng, 60)) for _ in range(30)]
+    # Half of each text is shared, then come a copy and a near copy of one text, and a near copy with the other label.
+    data = [(i, f"{passage} {t}", i % 2) for i, t in enumerate(own)]
+    data += [(100, data[4][1].upper(), 0), (101, data[4][1] + " tail", 0), (102, data[4][1] + " toxic tail", 1)]
+    rows = spark.createDataFrame([(i, t.encode(), y, True) for i, t, y in data], "_id long, _text binary, toxic int, fit boolean")
+    got = [(bytes(r._text).decode().lower(), r.toxic) for r in toxicity._distinct(Scratch(spark, "t"), rows).collect()]
+    others = {(t, y) for i, t, y in data if i not in (4, 100, 101)}
+    assert len(got) == len(others) + 1 and others < set(got)
+
+
 def test_toxicity_on_held_out_rows(spark):
     data, labels = _toxic_corpus(spark)
     docs = clashing_frame(spark, data)
