@@ -13,6 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from provgraph.llm.common import LOWER_TABLE, Scratch, crc_mod, ship
 from provgraph.llm.minhash import near_duplicates
@@ -28,7 +29,7 @@ class ToxicitySettings:
 
     ``prior``: strength of the Dirichlet prior, as a share of all training tokens.  ``least_z``,
     ``least_odds`` (absolute log-odds) and ``least_count``: what a feature needs.  ``cost``: taken off for a token
-    without evidence.  ``calibrate``: one of so many sample rows is kept from
+    without evidence.  ``calibrate``: one of so many sample rows of each class is kept from
     the log-odds for the extreme-value fit and the final weights.
     ``threshold``: least score of a toxic document.
     """
@@ -156,7 +157,9 @@ def fit(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings | None =
     step, a logistic fit of two numbers a document, gets to the driver.
     Token counts are summed over the cluster.  A document labelled more than
     once is toxic if any label says so; null labels and ids are left out.
-    With one class only, no document is scored toxic.
+    One row in ``settings.calibrate`` of each class is kept for calibration; if
+    a class has too few, all rows of the sample calibrate.  With one class
+    only, no document is scored toxic.
     """
     s = settings or ToxicitySettings()
     scratch = Scratch(docs.sparkSession, "toxicity")
@@ -164,9 +167,8 @@ def fit(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings | None =
     chosen = usable.groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     chosen = scratch.save(chosen.orderBy(F.xxhash64("_id"), "_id").limit(s.sample))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text"))
-    part = F.pmod(F.xxhash64("_id", F.lit("part")), F.lit(s.calibrate)) == 0
-    # At most ``sample`` rows of two numbers.
-    rows = scratch.save(_distinct(scratch, texts.join(F.broadcast(chosen), "_id").select("_id", "_text", "toxic", (~part).alias("fit"))))
+    # At most ``sample`` rows.
+    rows = scratch.save(_split(_distinct(scratch, texts.join(F.broadcast(chosen), "_id").select("_id", "_text", "toxic")), s.calibrate))
     counts = scratch.save(rows.where("fit").select("_text", "toxic").mapInArrow(_counted, "k long, clean long, toxic long").groupBy("k").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
     # Every token counts once as a word and again for each beginning; the totals of words suffice for the odds.
     tot = counts.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).first()
@@ -181,7 +183,10 @@ def fit(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings | None =
     top = strong.orderBy(F.abs("z").desc(), "k").limit(s.features).toArrow().to_pydict()
     model.weight = dict(zip(top["k"], top["w"], strict=True))
     model.lam = _lambda(np.array(top["w"]), np.array(top["p"]), s.cost)
-    rest = rows.where("not fit").select("_text", "toxic")
+    rest = rows.where("not fit")
+    if rest.select("toxic").distinct().count() < 2:
+        rest = rows
+    rest = rest.select("_text", "toxic")
     seen = _measured(rest, model, lambda m, w: (max((x for x, _, _ in m.segments(w)), default=0.0), float(len(w))))
     clean = seen[0] == 0
     if clean.any() and not clean.all():
@@ -205,7 +210,18 @@ def _distinct(scratch: Scratch, rows: DataFrame) -> DataFrame:
     of = scratch.save(near.join(rows.select("h", "toxic").distinct(), "h"))
     first = of.groupBy("component_id", "toxic").agg(F.min("h").alias("first"))
     copies = of.join(first, ["component_id", "toxic"]).where("h != first").select("h").distinct()
-    return rows.join(copies, "h", "left_anti").select("_text", "toxic", "fit")
+    return rows.join(copies, "h", "left_anti").select("h", "_text", "toxic")
+
+
+def _split(rows: DataFrame, calibrate: int) -> DataFrame:
+    """(_text, toxic, fit): of the rows of each label, in the order of a hash, one in ``calibrate`` is not for the fit.
+
+    The window runs over ids and labels of the bounded sample.
+    """
+    order = Window.partitionBy("toxic").orderBy(F.xxhash64("h", F.lit("part")), "h")
+    ids = rows.select("h", "toxic").distinct()
+    part = ids.select("h", (F.row_number().over(order) % calibrate != 0).alias("fit"))
+    return rows.join(part, "h").select("_text", "toxic", "fit")
 
 
 def _measured(rows: DataFrame, model: ToxicityModel, of) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

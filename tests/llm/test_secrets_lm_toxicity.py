@@ -233,12 +233,24 @@ def test_only_copies_of_one_label_leave_the_sample(spark):
     # Half of each text is shared, then come a copy and a near copy of one text, and a near copy with the other label.
     data = [(i, f"{passage} {t}", i % 2) for i, t in enumerate(own)]
     data += [(100, data[4][1].upper(), 0), (101, data[4][1] + " tail", 0), (102, data[4][1] + " toxic tail", 1)]
-    rows = spark.createDataFrame([(i, t.encode(), y, True) for i, t, y in data], "_id long, _text binary, toxic int, fit boolean")
+    rows = spark.createDataFrame([(i, t.encode(), y) for i, t, y in data], "_id long, _text binary, toxic int")
     got = [(bytes(r._text).decode().lower(), r.toxic) for r in toxicity._distinct(Scratch(spark, "t"), rows).collect()]
     others = {(t, y) for i, t, y in data if i not in (4, 100, 101)}
     assert len(got) == len(others) + 1 and others < set(got)
 
 
+@pytest.mark.parametrize("bad", [1, 2, 3, 5])
+def test_few_toxic_labels_still_calibrate(spark, bad):
+    rng = random.Random(9)
+    free = [i for i in range(300) if zlib.crc32(str(i).encode()) % 3 != 1]
+    toxic = set(free[:bad])
+    data = [(i, " ".join(words(rng, 40) + ["vile", "rotten", "nasty"] * 4 * (i in toxic))) for i in free]
+    model = fit(docs_frame(spark, data), spark.createDataFrame([(i, int(i in toxic)) for i in free], "doc_id long, toxic int"))
+    assert model.weight and model.coef != (-20.0, 0.0, 0.0) and model.coef[1] + model.coef[2] > 0
+    parts = toxicity._split(spark.createDataFrame([(i, b"", int(i in toxic)) for i in free], "h long, _text binary, toxic int"), 4).collect()
+    assert sum(r.toxic and not r.fit for r in parts) == bad // 4 and sum(not r.toxic and not r.fit for r in parts) == (len(free) - bad) // 4
+
+
 def test_toxicity_on_held_out_rows(spark):
     data, labels = _toxic_corpus(spark)
     docs = clashing_frame(spark, data)
