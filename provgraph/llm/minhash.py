@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,10 +15,12 @@ from pyspark.sql import functions as F
 from provgraph.llm.common import Scratch, hash_words, row_groups, words_of
 from provgraph.llm.graph import connected_components
 
-#: Coordinates of a signature, and how many of them must collide.  A pair at
-#: similarity 0.85 has fewer than 16 of 32 equal with a probability below
-#: 1e-6, one at 0.8 below 1e-4.
+#: Coordinates of a signature, and how many of them must collide, unless that
+#: would miss a pair at the threshold with a probability above ``MISS``.  A pair
+#: at similarity 0.85 has fewer than 16 of 32 equal with a probability of
+#: 5.7e-7, one at 0.8 of 3.3e-5.
 COORDINATES, MATCHES = 32, 16
+MISS = 1e-4
 #: Documents and shingles of a block of a family, about.
 BLOCK_DOCS, BLOCK_SHINGLES = 256, 100_000
 #: Rounds in which a posting list compares one hub before its open pairs are listed.
@@ -27,6 +31,30 @@ _A = _rng.integers(0, 2**64, COORDINATES, dtype=np.uint64) | np.uint64(1)
 _B = _rng.integers(0, 2**64, COORDINATES, dtype=np.uint64)
 
 
+def miss(percent: int, coordinates: int, matches: int) -> float:
+    """The probability that a pair at the threshold has fewer than ``matches`` equal coordinates."""
+    p = percent / 100
+    return sum(math.comb(coordinates, k) * p**k * (1 - p) ** (coordinates - k) for k in range(matches))
+
+
+def collisions(percent: int) -> tuple[int, int]:
+    """(coordinates, matches) for a threshold: the most matches, ``MATCHES`` at most, whose miss probability is ``MISS`` or less."""
+    if not 1 <= percent <= 100:
+        raise ValueError("percent is from 1 to 100")
+    n = COORDINATES
+    while miss(percent, n, 1) > MISS:
+        n *= 2
+    return n, max(m for m in range(1, MATCHES + 1) if miss(percent, n, m) <= MISS)
+
+
+@cache
+def _functions(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The factors and terms of ``n`` hash functions."""
+    rng = np.random.default_rng(20240301)
+    a, b = rng.integers(0, 2**64, (2, n), dtype=np.uint64)
+    return np.append(_A, a | np.uint64(1))[:n], np.append(_B, b)[:n]
+
+
 def shingle_set(words: list[bytes], width: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the ``width``-word shingles; a shorter text is one shingle."""
     n = len(words)
@@ -45,18 +73,19 @@ def shingle_set(words: list[bytes], width: int) -> np.ndarray:
     return np.unique(acc)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
+def signature(shingles: np.ndarray, coordinates: int = COORDINATES) -> np.ndarray:
     """The low 32 bits of the least hash under each coordinate's function."""
-    low = np.full(COORDINATES, np.uint64(2**64 - 1))
+    a, b = _functions(coordinates)
+    low = np.full(coordinates, np.uint64(2**64 - 1))
     for i in range(0, len(shingles), 2048):
-        np.minimum(low, (shingles[i : i + 2048, None] * _A + _B).min(axis=0), out=low)
+        np.minimum(low, (shingles[i : i + 2048, None] * a + b).min(axis=0), out=low)
     return low.astype(np.uint32).view(np.int32)
 
 
 _SIGNED = "_id long, n_shingles long, fp binary, sig array<int>"
 
 
-def _sign(width: int):
+def _sign(width: int, coordinates: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, fp, sig, off = [], [], [], [0]
@@ -65,8 +94,8 @@ def _sign(width: int):
                 n.append(len(s))
                 fp.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 if len(s):
-                    sig.append(signature(s))
-                off.append(len(sig) * COORDINATES)
+                    sig.append(signature(s, coordinates))
+                off.append(len(sig) * coordinates)
             values = np.concatenate(sig) if sig else np.empty(0, np.int32)
             lists = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(values))
             yield pa.RecordBatch.from_arrays([b.column("_id"), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), lists], ["_id", "n_shingles", "fp", "sig"])
@@ -137,16 +166,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A-Z lower-cased, whole texts); a component is what links connect, named by
     its smallest id.
 
+    A pair at the threshold is missed with a probability of ``MISS`` at most; the
+    numbers of coordinates and matches follow from ``percent`` (``collisions``).
+
     1. Texts with equal sets form a class, stood for by its smallest id.
-    2. Each class has a MinHash signature of ``COORDINATES`` values and is
+    2. Each class has a MinHash signature of so many coordinates and is
        posted under every (coordinate, value) that another class shares.
-       Ordered from the rarest posting, two classes with ``MATCHES``
-       collisions must meet within the first COORDINATES - MATCHES + 1, so
+       Ordered from the rarest posting, two classes with enough
+       collisions must meet within the first coordinates - matches + 1, so
        only that prefix is joined: frequent postings, as shared passages make
        them, are skipped unless a class has little else.
     3. A posting list compares its members with a hub, not with each other:
-       the collisions of the two signatures are counted, and pairs below
-       ``MATCHES`` dropped.  What the others connect is a family.  Members of
+       the collisions of the two signatures are counted, and pairs with
+       too few dropped.  What the others connect is a family.  Members of
        one family need no comparison; after some rounds with other hubs the
        remaining pairs of a list, those between families, are all counted.
        Families then hold every pair with enough collisions.
@@ -161,13 +193,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tables give an empty result; extra columns are not read.
     """
     scratch = Scratch(docs.sparkSession, "minhash")
+    coordinates, matches = collisions(percent)
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("binary").alias("_text"))
-    signed = scratch.save(texts.mapInArrow(_sign(width), _SIGNED))
+    signed = scratch.save(texts.mapInArrow(_sign(width, coordinates), _SIGNED))
     classes = scratch.save(
         signed.where("n_shingles > 0 and _id is not null").groupBy("fp")
         .agg(F.min("_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
     )
-    comp = connected_components(scratch, _links(scratch, texts, classes, _families(scratch, classes), width, percent))
+    comp = connected_components(scratch, _links(scratch, texts, classes, _families(scratch, classes, matches), width, percent))
     rep = classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     rep = scratch.save(rep)
     out = signed.select("_id", "n_shingles", "fp").join(rep, "fp", "left")
@@ -175,22 +208,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("_id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("_id").eqNullSafe(component).alias("kept"))
 
 
-def _prefixes(scratch: Scratch, classes: DataFrame) -> DataFrame:
-    """(token, rep): the shared postings among each class's rarest COORDINATES - MATCHES + 1."""
+def _prefixes(scratch: Scratch, classes: DataFrame, matches: int) -> DataFrame:
+    """(token, rep): the shared postings among each class's rarest coordinates - matches + 1."""
     spread = classes.select("rep", F.posexplode("sig").alias("at", "value"))
     token = (F.shiftleft(F.col("at").cast("long"), 32) + (F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))).alias("token")
     tokens = spread.select("rep", token)
     shared = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     own = tokens.join(shared, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("own"))
     # The postings that nobody shares are the rarest and take their part of the prefix.
-    own = own.where(F.size("own") >= MATCHES).select("rep", F.explode(F.slice("own", F.lit(1), F.size("own") - (MATCHES - 1))).alias("t"))
+    own = own.where(F.size("own") >= matches).select("rep", F.explode(F.slice("own", F.lit(1), F.size("own") - (matches - 1))).alias("t"))
     return scratch.save(own.select(F.col("t.token").alias("token"), "rep"))
 
 
-def _families(scratch: Scratch, classes: DataFrame) -> DataFrame:
+def _families(scratch: Scratch, classes: DataFrame, matches: int) -> DataFrame:
     """(rep, family) such that any two classes with enough collisions are of one family; lone classes are left out."""
     sigs = classes.select("rep", "sig")
-    post = _prefixes(scratch, classes)
+    post = _prefixes(scratch, classes, matches)
     pairs = scratch.save(post.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0))
     families = pairs.select(F.col("a").alias("rep"), F.col("b").alias("family"))
     for step in range(ROUNDS + 1):
@@ -208,7 +241,7 @@ def _families(scratch: Scratch, classes: DataFrame) -> DataFrame:
         sa, sb = sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb"))
         equal = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
         # Both lists grow with the corpus, so neither is broadcast at any size.
-        found = found.hint("merge").join(sa, "a").hint("merge").join(sb, "b").where(equal >= MATCHES).select("a", "b")
+        found = found.hint("merge").join(sa, "a").hint("merge").join(sb, "b").where(equal >= matches).select("a", "b")
         pairs = scratch.save(pairs.union(found))
         families = connected_components(scratch, pairs).select(F.col("id").alias("rep"), F.col("component").alias("family"))
         pairs = families.select(F.col("rep").alias("a"), F.col("family").alias("b"))

@@ -80,6 +80,30 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch, rounds):
     assert len(got) == len(data)
 
 
+def test_collisions_follow_the_threshold():
+    for percent in range(1, 101):
+        n, m = minhash.collisions(percent)
+        assert 1 <= m <= n and minhash.miss(percent, n, m) <= minhash.MISS
+    assert minhash.collisions(85) == minhash.collisions(80) == (32, 16)
+    assert 3e-5 < minhash.miss(80, 32, 16) < 4e-5 and minhash.miss(50, 32, 16) > 0.4
+    with pytest.raises(ValueError, match="percent"):
+        minhash.collisions(0)
+
+
+@pytest.mark.parametrize("percent", [10, 50])
+def test_pairs_at_a_low_threshold_are_linked(spark, percent):
+    rng = random.Random(percent)
+    data = []
+    for k in range(60):  # pairs just above the threshold
+        both, own = [f"k{k}w{i}" for i in range(200)], 100 * (100 - percent) // percent - 2
+        for side in "ab":
+            data.append((len(data), " ".join(rng.sample(both, 200) + [f"{side}{k}w{i}" for i in range(own)])))
+    sets = {i: {(w,) for w in t.split()} for i, t in data}
+    assert all(percent <= 100 * len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) < percent + 2 for i in range(0, 120, 2))
+    got = near_duplicates(docs_frame(spark, data), width=1, percent=percent).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i - i % 2 for i in sets}
+
+
 def test_near_duplicates_edge_cases(spark):
     data = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (7, "A b c d e f"), (8, "z")]
     got = rows(near_duplicates(docs_frame(spark, data)), "doc_id", "n_shingles", "component_id", "kept")
