@@ -13,10 +13,12 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from provgraph.llm import packing, warc
+from provgraph.llm.common import LOWER_TABLE
 from provgraph.llm.packing import encoder, pack, pack_lengths
 from provgraph.llm.warc import from_record, ranges, read_warc, to_record, write_warc
 
 from .helpers import clashing_frame, docs_frame, words
+from .test_exact_mixing_url import _targets
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -164,3 +166,70 @@ def test_pipeline_stages(spark, tmp_path):
     assert set(ids["packing"]) == set(ids["mixing"])
     run = corpus_pipeline.run(spark, sf)
     assert run.count() > 0 and "ids" in run.columns
+
+
+def _unique(kept):
+    """Plain exact and near dedup of {id: (text, source)}."""
+    low = {i: (t or "").encode().translate(LOWER_TABLE) for i, (t, _) in kept.items()}
+    last = {low[i]: i for i in sorted(kept)}
+    kept = {i: x for i, x in kept.items() if last[low[i]] == i}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(len(w) - 4, 1))} if (w := low[i].split()) else set() for i in kept}
+    first = {i: i for i in kept}
+    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    for _ in kept:
+        before = dict(first)
+        for a, b in links:
+            first[a] = first[b] = min(first[a], first[b])
+        if first == before:
+            break
+    return {i: x for i, x in kept.items() if first[i] == i}
+
+
+def _copies(kept):
+    """Plain copies of each document of {id: (text, source)}."""
+    size = {i: len((t or "").split()) for i, (t, _) in kept.items()}
+    of: dict = {}
+    for i, (_, source) in kept.items():
+        of.setdefault(source, []).append(i)
+    sizes = {s: sum(size[i] for i in ids) for s, ids in of.items()}
+    targets = _targets(sizes)
+    draw = lambda i, seed: int(hashlib.md5(f"{i}:{seed // 4}".encode()).hexdigest()[seed % 4 * 8 :][:8], 16) / 2**32
+    out = {}
+    for s, ids in of.items():
+        rate = targets[s] / sizes[s] if sizes[s] else 0.0
+        whole, part = int(rate), rate - int(rate)
+        seed = min(range(32), key=lambda k: (abs(whole * sizes[s] + sum(size[i] for i in ids if draw(i, k) < part) - targets[s]), k))
+        out |= {i: whole + (draw(i, seed) < part) for i in ids}
+    return out
+
+
+def test_pipeline_rows_match_plain_python(spark, tmp_path):
+    rng = random.Random(12)
+    data, labels = [], []
+    for i in range(160):
+        w = words(rng, rng.choice([20, 60, 700]))
+        if i % 8 == 0:
+            w[5:19:2] = ["nasty", "vile", "rotten", "nasty", "vile", "rotten", "vile"]
+        data.append((i, " ".join(w), [None, "b", "é", "a", "Z"][i % 5]))
+        labels.append((i, 1, int(i % 8 == 0)))
+    for k in range(10):  # copies, near copies and texts that are not near enough
+        t = data[8 * k + 3][1]
+        data += [(1000 + k, t.upper(), "b"), (2000 + k, t + " tail", "a"), (2100 + k, t + " " + " ".join(words(rng, len(t.split()) // 3)), "a")]
+    data += [(3000, None, None), (3001, "", "b"), (3002, "x <|endoftext|> y", "b")]
+    sf = str(tmp_path)
+    docs_frame(spark, data).write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+    clean = {r.doc_id for r in corpus_pipeline.toxicity(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf).collect()}
+    kept = _unique({i: (t, s) for i, t, s in data if i in clean})
+    assert {2100 + k for k in range(10)} <= set(kept) and not {2000 + k for k in range(10)} & set(kept)
+    copies = _copies(kept)
+    assert set(copies.values()) >= {0, 1, 2}
+    tok = Tokenizer.from_file(PATH)
+    ids = {i: tok.encode(t or "", add_special_tokens=False).ids + [1] for i, (t, _) in kept.items()}
+    got = corpus_pipeline.run(spark, sf).collect()
+    # Copies may be cut at different places: every piece is checked, and every token occurs once a copy.
+    seen = {i: np.zeros(len(ids[i]), int) for i in kept}
+    for r in got:
+        assert list(r.ids) == ids[r.doc_id][r.start : r.start + r.length] and r.doc_tokens == len(ids[r.doc_id])
+        seen[r.doc_id][r.start : r.start + r.length] += 1
+    assert all((seen[i] == copies[i]).all() for i in kept)
