@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from provgraph.llm.common import crc_mod
 from provgraph.llm.embedding_dedup import near_duplicate_vectors
 from provgraph.llm.exact_dedup import exact_duplicates
+from provgraph.llm.fill_in_middle import fill_in_middle
 from provgraph.llm.minhash import near_duplicates
 from provgraph.llm.mixing import mix
 from provgraph.llm.packing import pack
 from provgraph.llm.secret_scan import BASE_RULES, find_secrets
 from provgraph.llm.suffix_tree_lm import lm_scores
+from provgraph.llm.token_alignment import align_tokens
 from provgraph.llm.toxicity import fit, toxicity_scores
 from provgraph.llm.url_filter import Rule, filter_urls
 from provgraph.llm.warc import read_warc, write_warc
@@ -77,10 +79,20 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle(_table(spark, sf_dir, "documents"), seed=7, rate=100, spm=50, with_output=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_secret_scan, op2_minhash, op3_url_filter, op4_suffix_tree, op5_toxicity, op6_exact_dedup, op7_embedding_dedup,
-        op8_mixing, op9_packing, op10_warc,
+        op8_mixing, op9_packing, op10_warc, op12_token_alignment, op13_fill_in_middle,
     )
     return {f.__name__: f for f in ops}
 
@@ -156,5 +168,30 @@ FROM e JOIN k USING (h)
 """
 
 
+_OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+         sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents),
+c AS (
+  SELECT *, len(units)::BIGINT AS n, list_transform(range(4), lambda i: ('0x' || substr(h, 8 * i + 1, 8))::BIGINT) AS r,
+         t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') AS plain
+  FROM d),
+k AS (SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS c1, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS c2 FROM c),
+p AS (
+  SELECT doc_id, n, t, CASE WHEN plain OR r[3] % 100 >= 100 THEN 'plain' WHEN r[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+         array_to_string(units[1:c1], '') AS prefix, array_to_string(units[c1 + 1:c2], '') AS middle, array_to_string(units[c2 + 1:n], '') AS suffix
+  FROM k)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": _OP3_SQL, "op6_exact_dedup": _OP6_SQL, "op8_mixing": _OP8_SQL, "op10_warc": _OP10_SQL}
+    return {
+        "op3_url_filter": _OP3_SQL, "op6_exact_dedup": _OP6_SQL, "op8_mixing": _OP8_SQL, "op10_warc": _OP10_SQL,
+        "op13_fill_in_middle": _OP13_SQL,
+    }
