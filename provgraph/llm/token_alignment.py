@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
+from itertools import chain, pairwise
 
 import numpy as np
 import pandas as pd
@@ -26,43 +28,67 @@ _SHIFT = 32
 _CUT = re.compile(r"(?<=\S) ")
 
 
+@dataclass(frozen=True)
 class Vocabulary:
-    """Ids and bytes of the tokens of a text that starts with a space."""
+    """``encode`` gives the ids of texts that a space goes before, one list after the other, and how many each has; ``token_bytes`` is empty
+    for ids that stand for no bytes."""
 
-    def __init__(self, encode: Callable[[list[str]], list], token_bytes: list[bytes | None]):
-        self.encode, self.token_bytes = encode, token_bytes
-        self.lengths = np.array([len(b or b"") for b in token_bytes], np.int64)
+    encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
+    token_bytes: list[bytes]
 
     def crosses(self) -> bool:
         """Whether some token holds a space after visible text, so that texts cannot be cut there."""
-        return any(b and _CUT.search(b.decode("utf-8", "replace")) for b in self.token_bytes)
+        return any(_CUT.search(b.decode("utf-8", "replace")) for b in self.token_bytes)
 
 
 _vocabularies: dict[str, Vocabulary] = {}
 
 
+def _flat(lists: Iterable) -> tuple[np.ndarray, np.ndarray]:
+    held = [np.asarray(x, np.int64) for x in lists]
+    return np.concatenate([np.empty(0, np.int64), *held]), np.fromiter(map(len, held), np.int64, len(held))
+
+
 def _byte_level(path: str) -> Vocabulary:
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     byte_of = _byte_of()
     ids = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-    table: list[bytes | None] = [None] * (max(ids.values()) + 1)
+    table = [b""] * (max(ids.values()) + 1)
     for token, i in ids.items():
         if all(c in byte_of for c in token):
             table[i] = bytes(byte_of[c] for c in token)
-    one = encoder(path)
-    return Vocabulary(lambda texts: [one(" " + t) for t in texts], table)
+    one, lengths = encoder(path), np.fromiter(map(len, table), np.int64, len(table))
+
+    def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if all(t and not t[-1].isspace() for t in texts):
+            # Nothing goes on over the spaces between them, so that all are encoded as one text and told apart by their bytes.
+            ids = one("".join([" " + t for t in texts])).astype(np.int64)
+            ends = np.cumsum([len(t.encode()) + 1 for t in texts])
+            reached = np.cumsum(lengths[ids])
+            last = np.searchsorted(reached, ends)
+            if len(last) and last[-1] == len(ids) - 1 and (reached[last] == ends).all():
+                return ids, np.diff(last, prepend=-1)
+        return _flat(one(" " + t) for t in texts)
+
+    return Vocabulary(encode, table)
 
 
 def _pieces(path: str) -> Vocabulary:
     from sentencepiece import SentencePieceProcessor
 
     sp = SentencePieceProcessor(model_file=path)
-    table: list[bytes | None] = []
+    table = []
     for i in range(sp.get_piece_size()):
         piece = sp.id_to_piece(i)
-        table.append(None if sp.is_control(i) or sp.is_unknown(i) else bytes([int(piece[3:5], 16)]) if sp.is_byte(i) else piece.replace("▁", " ").encode())
-    return Vocabulary(lambda texts: sp.encode(texts, num_threads=1), table)
+        table.append(b"" if sp.is_control(i) or sp.is_unknown(i) else bytes([int(piece[3:5], 16)]) if sp.is_byte(i) else piece.replace("▁", " ").encode())
+
+    def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lists = sp.encode(texts, num_threads=1)
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter(chain.from_iterable(lists), np.int64, sizes.sum()), sizes
+
+    return Vocabulary(encode, table)
 
 
 def vocabulary(path: str) -> Vocabulary:
@@ -72,62 +98,60 @@ def vocabulary(path: str) -> Vocabulary:
     return _vocabularies[path]
 
 
-def _spread(lists: list, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids of all lists, the list of each id, and the bytes that each takes."""
-    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    ids = np.concatenate([np.asarray(x, np.int64) for x in lists]) if len(lists) else np.empty(0, np.int64)
-    return ids, np.repeat(np.arange(len(lists)), sizes), lengths[ids]
-
-
-def _covering(tokens: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-    """For each token start the token of the other side that covers it."""
-    return pd.merge_asof(tokens, others, on="start", by="document")
-
-
-class Aligned:
-    """Texts aligned in one batch, with an array or list entry for each of them."""
-
-    def __init__(self, texts: list[str], a: Vocabulary, b: Vocabulary):
+class Aligner:
+    """Aligns the tokens of two vocabularies over a batch of texts."""
+
+    def __init__(self, a: Vocabulary, b: Vocabulary):
+        self.sides = (a, b)
+        self.lengths = [np.fromiter(map(len, v.token_bytes), np.int64, len(v.token_bytes)) for v in self.sides]
+        n_a, n_b = (len(v.token_bytes) for v in self.sides)
+        # Each id as text, with what goes before it: nothing, a new group or the group's next token; the other side, or its next token.
+        self.listed = [before + str(i) for before in ("", ";", ",") for i in range(n_a)] + [before + str(i) for before in ("|", ",") for i in range(n_b)]
+
+    def _encoded(self, side: int, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, the text of each, and which texts the bytes of their tokens give again."""
+        ids, sizes = self.sides[side].encode(texts)
+        wanted = [(" " + t).encode() for t in texts]
+        owner = np.repeat(np.arange(len(texts)), sizes)
+        given = np.bincount(owner, self.lengths[side][ids], len(texts)).astype(np.int64)
+        table = self.sides[side].token_bytes
+        good = given == np.fromiter(map(len, wanted), np.int64, len(wanted))
+        if not good.all() or b"".join(map(table.__getitem__, ids.tolist())) != b"".join(wanted):
+            ends = np.cumsum(sizes)
+            for i, (x, y) in enumerate(zip((ends - sizes).tolist(), ends.tolist(), strict=True)):
+                good[i] = b"".join(map(table.__getitem__, ids[x:y].tolist())) == wanted[i]
+        return ids, owner, good
+
+    def align(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        """For each text whether its tokens' bytes are its own, and n_a, n_b, n_groups and n_links; the linked pairs of all texts; their groups."""
         size = len(texts)
-        sides, good = [], np.ones(size, bool)
-        for v in (a, b):
-            lists = list(v.encode(texts))
-            table = v.token_bytes
-            for i, (t, ids) in enumerate(zip(texts, lists, strict=True)):
-                if good[i]:
-                    parts = [table[k] for k in ids]
-                    good[i] = None not in parts and b"".join(parts) == (" " + t).encode()
-            sides.append(lists)
-        empty: list[int] = []
-        sides = [[ids if ok else empty for ids, ok in zip(lists, good, strict=True)] for lists in sides]
-        (ids_a, doc_a, n_a), (ids_b, doc_b, n_b) = (_spread(lists, v.lengths) for lists, v in zip(sides, (a, b), strict=True))
+        (ids_a, own_a, good_a), (ids_b, own_b, good_b) = (self._encoded(side, texts) for side in (0, 1))
+        good = good_a & good_b
+        ids_a, own_a, ids_b, own_b = ids_a[good[own_a]], own_a[good[own_a]], ids_b[good[own_b]], own_b[good[own_b]]
         # Both sides cover the same bytes, so that one running count places the tokens of all texts in order.
-        end_a, end_b = np.cumsum(n_a), np.cumsum(n_b)
-        token_a = pd.DataFrame({"start": end_a - n_a, "document": doc_a, "a": np.arange(len(ids_a))})
-        token_b = pd.DataFrame({"start": end_b - n_b, "document": doc_b, "b": np.arange(len(ids_b))})
-        both = pd.concat([_covering(token_a, token_b), _covering(token_b, token_a)[["start", "document", "a", "b"]]])
-        links = both.drop_duplicates(["a", "b"]).sort_values(["document", "start"], kind="stable")
-        self.good, self.n_a, self.n_b = good, np.bincount(doc_a, minlength=size), np.bincount(doc_b, minlength=size)
-        self.n_links = np.bincount(links["document"], minlength=size)
-        self.pairs = (ids_a[links["a"].to_numpy()] << _SHIFT) | ids_b[links["b"].to_numpy()]
-        #: Where each text's links start in ``pairs``.
-        self.starts = np.concatenate([[0], np.cumsum(self.n_links)])
-        cuts = np.intersect1d(end_a, end_b)
-        self.n_groups = np.bincount(doc_a[np.searchsorted(end_a, cuts)], minlength=size) if len(cuts) else np.zeros(size, np.int64)
-        self.groups = self._groups(ids_a, ids_b, np.searchsorted(end_a, cuts) + 1, np.searchsorted(end_b, cuts) + 1)
-
-    def _groups(self, ids_a: np.ndarray, ids_b: np.ndarray, stop_a: np.ndarray, stop_b: np.ndarray) -> list[str]:
-        """The groups of each text, as ``a1,a2|b1;a3|b2,b3``."""
-        text_a, text_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-        one, i, j = [], 0, 0
-        for x, y in zip(stop_a.tolist(), stop_b.tolist(), strict=True):
-            one.append(f"{text_a[i] if x == i + 1 else ','.join(text_a[i:x])}|{text_b[j] if y == j + 1 else ','.join(text_b[j:y])}")
-            i, j = x, y
-        out, at = [], 0
-        for n in self.n_groups.tolist():
-            out.append(";".join(one[at : at + n]))
-            at += n
-        return out
+        end_a, end_b = np.cumsum(self.lengths[0][ids_a]), np.cumsum(self.lengths[1][ids_b])
+        token_a = pd.DataFrame({"start": end_a - self.lengths[0][ids_a], "document": own_a, "a": np.arange(len(ids_a))})
+        token_b = pd.DataFrame({"start": end_b - self.lengths[1][ids_b], "document": own_b, "b": np.arange(len(ids_b))})
+        # For each token start of one side the token of the other that covers it; both directions give some links twice.
+        overlaps = pd.concat([pd.merge_asof(token_a, token_b, on="start", by="document"), pd.merge_asof(token_b, token_a, on="start", by="document")])
+        links = np.sort(overlaps["a"].to_numpy() * max(len(ids_b), 1) + overlaps["b"].to_numpy(), kind="stable")
+        link_a, link_b = np.divmod(links[np.diff(links, prepend=-1) > 0], max(len(ids_b), 1))
+        cuts = np.intersect1d(end_a, end_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
+        count = lambda owner: np.bincount(owner, minlength=size)
+        sizes = np.stack([count(own_a), count(own_b), count(own_a[np.searchsorted(end_a, cuts)]), count(own_a[link_a])])
+        # A group's A tokens come before its B tokens.
+        codes = np.empty(len(ids_a) + len(ids_b), np.int64)
+        first_a, first_b = np.diff(group_a, prepend=-1) > 0, np.diff(group_b, prepend=-1) > 0
+        begins = np.diff(own_a, prepend=-1) > 0
+        n_a, n_b = (len(v.token_bytes) for v in self.sides)
+        before_b = np.concatenate([[0], np.cumsum(np.bincount(group_b, minlength=len(cuts)))]).astype(np.int64)
+        upto_a = np.cumsum(np.bincount(group_a, minlength=len(cuts)))
+        codes[np.arange(len(ids_a)) + before_b[group_a]] = ids_a + n_a * np.where(begins, 0, np.where(first_a, 1, 2))
+        codes[np.arange(len(ids_b)) + upto_a[group_b]] = ids_b + 3 * n_a + n_b * np.where(first_b, 0, 1)
+        parts, ends = list(map(self.listed.__getitem__, codes.tolist())), np.cumsum(sizes[0] + sizes[1]).tolist()
+        groups = ["".join(parts[x:y]).encode() for x, y in pairwise([0, *ends])]
+        return good, sizes, (ids_a[link_a] << _SHIFT) | ids_b[link_b], groups
 
 
 class Stretches:
@@ -138,33 +162,37 @@ class Stretches:
     """
 
     def __init__(self, path_a: str, path_b: str):
-        self.a, self.b = vocabulary(path_a), vocabulary(path_b)
-        self.whole = self.a.crosses() or self.b.crosses()
+        a, b = vocabulary(path_a), vocabulary(path_b)
+        self.aligner, self.whole = Aligner(a, b), a.crosses() or b.crosses()
         self.clear()
 
     def clear(self) -> None:
         self.place: dict[str, int] = {}
-        self.good: list[bool] = []
-        self.groups: list[str] = []
+        self.good = np.empty(0, bool)
+        self.groups: list[bytes] = []
         #: n_a, n_b, n_groups and n_links of each stretch.
-        self.sizes = np.empty((0, 4), np.int64)
+        self.sizes = np.empty((4, 0), np.int64)
         #: The linked pairs of all stretches, one stretch after the other.
         self.pairs = np.empty(0, np.int64)
 
-    def learn(self, texts: list[str]) -> list[list[int]]:
-        """Places of each text's stretches; none where some token bytes are not those of the text."""
-        documents = [[t] if self.whole else _CUT.split(t) for t in texts]
+    def learn(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of all texts' stretches, one text after the other, with the start and end of each text's;
+        a text some of whose token bytes are not its own has none."""
+        documents = [([t] if self.whole else _CUT.split(t)) if t else [] for t in texts]
         new = list({s: None for d in documents for s in d if s not in self.place})
-        for start in range(0, len(new), 1 << 16):
-            part = new[start : start + (1 << 16)]
-            x = Aligned(part, self.a, self.b)
+        ending = [[s for s in new if not s or s[-1].isspace()], [s for s in new if s and not s[-1].isspace()]]
+        for part in (part[i : i + (1 << 16)] for part in ending for i in range(0, len(part), 1 << 16)):
+            good, sizes, pairs, groups = self.aligner.align(part)
             self.place.update(zip(part, range(len(self.place), len(self.place) + len(part)), strict=True))
-            self.good += x.good.tolist()
-            self.groups += x.groups
-            self.sizes = np.concatenate([self.sizes, np.stack([x.n_a, x.n_b, x.n_groups, x.n_links], 1)])
-            self.pairs = np.concatenate([self.pairs, x.pairs])
-        placed = (list(map(self.place.__getitem__, d)) for d in documents)
-        return [p if all(map(self.good.__getitem__, p)) else [] for p in placed]
+            self.groups += groups
+            self.good, self.pairs = np.concatenate([self.good, good]), np.concatenate([self.pairs, pairs])
+            self.sizes = np.concatenate([self.sizes, sizes], 1)
+        sizes = np.fromiter(map(len, documents), np.int64, len(documents))
+        places = np.fromiter(map(self.place.__getitem__, chain.from_iterable(documents)), np.int64, sizes.sum())
+        bad = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[~self.good[places]], minlength=len(sizes)) > 0
+        places = places[~np.repeat(bad, sizes)]
+        ends = np.cumsum(np.where(bad, 0, sizes))
+        return places, np.concatenate([[0], ends[:-1]]).astype(np.int64)[: len(ends)], ends
 
     def full(self) -> bool:
         return len(self.place) > STRETCHES
@@ -197,11 +225,11 @@ def _count(path_a: str, path_b: str) -> Callable:
 
         def counts() -> pa.RecordBatch:
             pairs, where = np.unique(known.pairs, return_inverse=True)
-            n = np.bincount(where, np.repeat(times, known.sizes[:, 3]), len(pairs)).astype(np.int64)
+            n = np.bincount(where, np.repeat(times, known.sizes[3]), len(pairs)).astype(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(pairs[n > 0]), pa.array(n[n > 0])], names=["pair", "n"])
 
         for _, texts in _documents(batches):
-            at = np.fromiter((p for d in known.learn([t for t in texts if t]) for p in d), np.int64)
+            at, _, _ = known.learn(texts)
             before = np.pad(times, (0, len(known.place) - len(times)))
             times = before + np.bincount(at, minlength=len(before))
             if known.full():
@@ -213,6 +241,15 @@ def _count(path_a: str, path_b: str) -> Callable:
     return run
 
 
+def _summed(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Sums of each row of ``values`` from each start to its end; the ranges follow one another."""
+    out = np.zeros((len(values), len(starts)), np.int64)
+    filled = ends > starts
+    if filled.any():
+        out[:, filled] = np.add.reduceat(values, starts[filled], axis=1)
+    return out
+
+
 _SCORED = [
     ("doc_id", pa.int64(), "long"), ("n_a", pa.int64(), "long"), ("n_b", pa.int64(), "long"), ("n_groups", pa.int64(), "long"),
     ("n_links", pa.int64(), "long"), ("n_best", pa.int64(), "long"), ("count_sum", pa.int64(), "long"), ("groups_sha256", pa.string(), "string"),
@@ -225,39 +262,42 @@ def _score(path_a: str, path_b: str, hot, fields: list) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot_pairs, hot_n, hot_best = hot.value
-        known = Stretches(path_a, path_b)
+        known, with_groups = Stretches(path_a, path_b), len(fields) == len(_SCORED)
+
+        def looked_up(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """(best, links in the corpus) of each pair, zeros for a cold one, and whether it is hot."""
+            if not len(hot_pairs):
+                return np.zeros((2, len(pairs)), np.int64), np.zeros(len(pairs), bool)
+            at = np.minimum(np.searchsorted(hot_pairs, pairs), len(hot_pairs) - 1)
+            is_hot = hot_pairs[at] == pairs
+            return np.stack([hot_best[at], hot_n[at]]) * is_hot, is_hot
+
         # n_best and count_sum of each stretch over its hot pairs, and its cold pairs.
-        sums, cold, done = np.empty((0, 2), np.int64), {}, 0
+        sums, cold, done = np.empty((2, 0), np.int64), {}, 0
         for ids, texts in _documents(batches):
-            documents = known.learn(texts)
-            new = known.pairs[done:]
-            if len(known.sizes) > len(sums):
-                at = np.minimum(np.searchsorted(hot_pairs, new), max(len(hot_pairs) - 1, 0))
-                is_hot = hot_pairs[at] == new if len(hot_pairs) else np.zeros(len(new), bool)
-                values = np.stack([hot_best[at], hot_n[at]], 1) * is_hot[:, None] if len(hot_pairs) else np.zeros((len(new), 2), np.int64)
-                ends = np.cumsum(known.sizes[len(sums) :, 3])
-                running = np.concatenate([np.zeros((1, 2), np.int64), np.cumsum(values, 0)])
-                owner = np.repeat(np.arange(len(sums), len(known.sizes)), known.sizes[len(sums) :, 3])
-                for s, p in zip(owner[~is_hot].tolist(), new[~is_hot].tolist(), strict=True):
+            places, starts, ends = known.learn(texts)
+            if known.sizes.shape[1] > sums.shape[1]:
+                had = sums.shape[1]
+                new, links = known.pairs[done:], known.sizes[3, had:]
+                values, is_hot = looked_up(new)
+                for s, p in zip(np.repeat(np.arange(had, had + len(links)), links)[~is_hot].tolist(), new[~is_hot].tolist(), strict=True):
                     cold.setdefault(s, []).append(p)
-                sums = np.concatenate([sums, running[ends] - running[np.concatenate([[0], ends[:-1]])]])
+                sums = np.concatenate([sums, _summed(values, np.cumsum(links) - links, np.cumsum(links))], 1)
                 done = len(known.pairs)
-            out: list[list] = [[] for _ in fields]
-            for i, text, places in zip(ids, texts, documents, strict=True):
-                if not text:
-                    places = []
-                groups = ";".join(map(known.groups.__getitem__, places))
-                row = [
-                    i, *known.sizes[places].sum(0).tolist(), *sums[places].sum(0).tolist(),
-                    hashlib.sha256(groups.encode()).hexdigest() if places else "",
-                    [p for s in places for p in cold.get(s, ())] if cold else [], groups,
-                ]
-                for column, value in zip(out, row):  # noqa: B905
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t, _) in zip(out, fields, strict=True)], names=[f for f, _, _ in fields])
+            totals = _summed(np.concatenate([known.sizes, sums])[:, places], starts, ends)
+            digests, groups, rest = [], [], []
+            for x, y in zip(starts.tolist(), ends.tolist(), strict=True):
+                mine = places[x:y].tolist()
+                joined = b";".join(map(known.groups.__getitem__, mine))
+                digests.append(hashlib.sha256(joined).hexdigest() if mine else "")
+                rest.append([p for s in mine if s in cold for p in cold[s]] if cold else [])
+                if with_groups:
+                    groups.append(joined.decode())
+            columns = [ids, *totals, digests, rest, groups]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t, _) in zip(columns, fields, strict=False)], names=[f for f, _, _ in fields])
             if known.full():
                 known.clear()
-                sums, cold, done = sums[:0], {}, 0
+                sums, cold, done = sums[:, :0], {}, 0
 
     return run
 
