@@ -12,6 +12,7 @@ from provgraph.llm.common import crc_mod
 from provgraph.llm.embedding_dedup import near_duplicate_vectors
 from provgraph.llm.exact_dedup import exact_duplicates
 from provgraph.llm.fill_in_middle import fill_in_middle
+from provgraph.llm.html_extraction import extract_text
 from provgraph.llm.minhash import near_duplicates
 from provgraph.llm.mixing import mix
 from provgraph.llm.packing import pack
@@ -79,6 +80,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokens(
         _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -92,7 +97,7 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_secret_scan, op2_minhash, op3_url_filter, op4_suffix_tree, op5_toxicity, op6_exact_dedup, op7_embedding_dedup,
-        op8_mixing, op9_packing, op10_warc, op12_token_alignment, op13_fill_in_middle,
+        op8_mixing, op9_packing, op10_warc, op11_html_extraction, op12_token_alignment, op13_fill_in_middle,
     )
     return {f.__name__: f for f in ops}
 
