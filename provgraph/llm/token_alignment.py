@@ -24,8 +24,8 @@ STRETCHES = 1 << 19
 HOT_PAIRS = 1 << 20
 #: A pair of ids as one number.
 _SHIFT = 32
-#: Before a space that follows visible text no token of either side goes on.
-_CUT = re.compile(r"(?<=\S) ")
+#: Over a space after visible text no token of either side goes on; the last space of a text has nothing to begin.
+_CUT, _CROSSED = re.compile(r"(?<=\S) (?!\Z)"), re.compile(r"\S ")
 
 
 @dataclass(frozen=True)
@@ -38,7 +38,7 @@ class Vocabulary:
 
     def crosses(self) -> bool:
         """Whether some token holds a space after visible text, so that texts cannot be cut there."""
-        return any(_CUT.search(b.decode("utf-8", "replace")) for b in self.token_bytes)
+        return any(_CROSSED.search(b.decode("utf-8", "replace")) for b in self.token_bytes)
 
 
 _vocabularies: dict[str, Vocabulary] = {}
