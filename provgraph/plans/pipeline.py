@@ -3,7 +3,9 @@
 Stage order follows the original steps 1 -> 7.  A stage is a DataFrame; the
 stages in ``WRITTEN``, those that several others read, are written as Parquet
 below the shared work folder, in that order, by :func:`run`.  Reading one of
-them on its own (as a single registered query does) writes it then.
+them on its own (as a single registered query does) writes it then.  A run that
+publishes (:func:`run_and_publish`) also writes every result, straight to the
+published folder: later stages read it there, and no stage is computed twice.
 
 - ``commercial_grain``, ``medicare_grain``: the distinct claims of a source,
   each scanned once for edges, totals and patients;
@@ -25,17 +27,46 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from provgraph.config import PipelineConfig
 from provgraph.operators import assemble as asm
 from provgraph.operators import decay as dec
 from provgraph.operators import directory, edges, patients, rollup, scoring, shares
-from provgraph.plans.publish import Materializer, publish
+from provgraph.plans.publish import KEEP, Materializer, Publication
 from provgraph.sources.tables import Sources
 
 
 #: Stages that are written, in the order of their dependencies.
 WRITTEN = ("commercial_grain", "medicare_grain", "medicare_edges", "affiliations", "dates", "assembled")
+#: Result tables that a full run publishes (OP-32): name, stage, and the part of a stage that holds several tables.
+RESULTS: dict[str, tuple[str, str | None]] = {
+    "commercial_billing_edges": ("commercial_edges", "org_role=billing"),
+    "commercial_facility_edges": ("commercial_edges", "org_role=service_facility"),
+    "medicare_attending_edges": ("medicare_edges", "role=attending"),
+    "medicare_operating_edges": ("medicare_edges", "role=operating"),
+    "medicare_rendering_edges": ("medicare_edges", "role=rendering"),
+    "affiliation_summary": ("affiliations", None),
+    "physician_totals_commercial": ("totals_commercial", None),
+    "physician_totals_medicare": ("totals_medicare", None),
+    "claim_shares": ("shares", None),
+    "unique_patients_commercial": ("patients_commercial", None),
+    "unique_patients_medicare": ("patients_medicare", None),
+    "crosswalk_zero_filled": ("crosswalk_zero_filled", None),
+    "hospital_affiliations": ("hospital_affiliations", None),
+    "group_affiliations": ("group_affiliations", None),
+    "surgery_center_affiliations": ("surgery_center_affiliations", None),
+    "imaging_center_affiliations": ("imaging_center_affiliations", None),
+    "affiliation_decay": ("decay", None),
+    "affiliation_scores": ("scores", None),
+    "final_affiliations": ("final", None),
+}
+#: Stages that a publishing run writes, each once, in the order of their dependencies.
+PUBLISHED = (
+    "commercial_grain", "commercial_edges", "medicare_grain", "medicare_edges", "affiliations", "totals_commercial", "totals_medicare", "shares",
+    "patients_commercial", "crosswalk_zero_filled", "patients_medicare", "hospital_affiliations", "group_affiliations",
+    "surgery_center_affiliations", "imaging_center_affiliations", "dates", "scored", "decay", "scores", "assembled", "final",
+)
 
 
 class AffiliationPipeline:
@@ -45,11 +76,13 @@ class AffiliationPipeline:
         sources: Sources,
         cfg: PipelineConfig,
         materialize: Materializer | None = None,
+        written: tuple[str, ...] = WRITTEN,
     ):
         self.spark = spark
         self.src = sources
         self.cfg = cfg
         self.materialize = materialize if materialize is not None else Materializer(spark)
+        self.written = written
 
     def check_inputs(self) -> None:
         """Company ids must be a key: a repeated one would silently multiply affiliations (Q8)."""
@@ -58,18 +91,21 @@ class AffiliationPipeline:
             raise ValueError("hospital_id is not a key of the company dimension")
 
     def write_stages(self) -> None:
-        for name in WRITTEN:
+        for name in self.written:
             getattr(self, name)
 
+    def _stage(self, df: DataFrame, name: str) -> DataFrame:
+        return self.materialize(df, name) if name in self.written else df
+
     # ------------------------------------------------------------------ step 1: edges
     @cached_property
     def commercial_grain(self) -> DataFrame:
-        return self.materialize(edges.commercial_claim_grain(self.src.commercial_claims, self.src.crosswalk, self.cfg), "commercial_grain")
+        return self._stage(edges.commercial_claim_grain(self.src.commercial_claims, self.src.crosswalk, self.cfg), "commercial_grain")
 
     @cached_property
     def commercial_edges(self) -> DataFrame:
         """OP-01 + OP-02 in one pass, with an ``org_role`` column."""
-        return edges.commercial_edges_by_role(self.commercial_grain)
+        return self._stage(edges.commercial_edges_by_role(self.commercial_grain), "commercial_edges")
 
     @cached_property
     def vintages(self) -> DataFrame:
@@ -78,7 +114,7 @@ class AffiliationPipeline:
     @cached_property
     def medicare_grain(self) -> DataFrame:
         used = edges.selected_claims(self.src.medicare_claims, self.src.medicare_availability, self.cfg)
-        return self.materialize(edges.medicare_claim_grain(used), "medicare_grain")
+        return self._stage(edges.medicare_claim_grain(used), "medicare_grain")
 
     @cached_property
     def medicare_events(self) -> DataFrame:
@@ -87,7 +123,7 @@ class AffiliationPipeline:
     @cached_property
     def medicare_edges(self) -> DataFrame:
         """OP-05 + OP-06 + OP-07 in one pass, with a ``role`` column."""
-        return self.materialize(edges.medicare_edges_by_role(self.medicare_events), "medicare_edges")
+        return self._stage(edges.medicare_edges_by_role(self.medicare_events), "medicare_edges")
 
     # ------------------------------------------------------------------ step 2: combine
     @cached_property
@@ -100,38 +136,42 @@ class AffiliationPipeline:
 
     @cached_property
     def affiliations(self) -> DataFrame:
-        return self.materialize(rollup.affiliation_summary(self.monthly, self.src.companies), "affiliations")
+        return self._stage(rollup.affiliation_summary(self.monthly, self.src.companies), "affiliations")
 
     @cached_property
     def totals_commercial(self) -> DataFrame:
-        return shares.physician_totals_commercial(None, None, self.cfg, resolved=self.commercial_grain)
+        return self._stage(shares.physician_totals_commercial(None, None, self.cfg, resolved=self.commercial_grain), "totals_commercial")
 
     @cached_property
     def totals_medicare(self) -> DataFrame:
-        return shares.physician_totals_medicare(self.medicare_edges)
+        return self._stage(shares.physician_totals_medicare(self.medicare_edges), "totals_medicare")
 
     @cached_property
     def shares(self) -> DataFrame:
-        return shares.claim_shares(self.affiliations, self.totals_commercial, self.totals_medicare)
+        return self._stage(shares.claim_shares(self.affiliations, self.totals_commercial, self.totals_medicare), "shares")
 
     @cached_property
     def patients_commercial(self) -> DataFrame:
-        return patients.unique_patients_commercial(None, None, self.cfg, resolved=self.commercial_grain)
+        return self._stage(patients.unique_patients_commercial(None, None, self.cfg, resolved=self.commercial_grain), "patients_commercial")
 
     @cached_property
     def patients_medicare(self) -> DataFrame:
-        return patients.unique_patients_medicare(None, None, self.src.crosswalk, self.cfg, grain=self.medicare_grain)
+        counted = patients.unique_patients_medicare(None, None, self.src.crosswalk, self.cfg, grain=self.medicare_grain)
+        return self._stage(counted, "patients_medicare")
+
+    @cached_property
+    def crosswalk_zero_filled(self) -> DataFrame:
+        return self._stage(patients.crosswalk_zero_filled(self.src.crosswalk), "crosswalk_zero_filled")
 
     # ------------------------------------------------------------------ step 3: directory
     @cached_property
     def hospital_affiliations(self) -> DataFrame:
-        return directory.hospital_affiliations(self.src.directory_physicians, self.src.companies, self.cfg.as_of)
+        return self._stage(directory.hospital_affiliations(self.src.directory_physicians, self.src.companies, self.cfg.as_of), "hospital_affiliations")
 
     @cached_property
     def group_affiliations(self) -> DataFrame:
-        return directory.group_affiliations(
-            self.src.group_practice, self.src.directory_physicians, self.src.companies, self.cfg.as_of
-        )
+        groups = directory.group_affiliations(self.src.group_practice, self.src.directory_physicians, self.src.companies, self.cfg.as_of)
+        return self._stage(groups, "group_affiliations")
 
     def _child_sites(self, sites: DataFrame) -> DataFrame:
         return directory.child_site_affiliations(
@@ -145,30 +185,30 @@ class AffiliationPipeline:
 
     @cached_property
     def surgery_center_affiliations(self) -> DataFrame:
-        return self._child_sites(self.src.surgery_centers)
+        return self._stage(self._child_sites(self.src.surgery_centers), "surgery_center_affiliations")
 
     @cached_property
     def imaging_center_affiliations(self) -> DataFrame:
-        return self._child_sites(self.src.imaging_centers)
+        return self._stage(self._child_sites(self.src.imaging_centers), "imaging_center_affiliations")
 
     # ------------------------------------------------------------------ steps 4-5: decay, score
     @cached_property
     def dates(self) -> DataFrame:
-        return self.materialize(dec.analysis_dates(self.src.claim_availability, self.src.medicare_availability, self.cfg), "dates")
+        return self._stage(dec.analysis_dates(self.src.claim_availability, self.src.medicare_availability, self.cfg), "dates")
 
     @cached_property
     def scored(self) -> DataFrame:
         """Affiliation summary + score + bucket + decay (all 1:1 per affiliation)."""
         bucketed = scoring.with_score_bucket(scoring.with_score(self.affiliations), self.cfg)
-        return dec.with_decay(bucketed, self.dates, self.cfg)
+        return self._stage(dec.with_decay(bucketed, self.dates, self.cfg), "scored")
 
     @cached_property
     def decay(self) -> DataFrame:
-        return dec.decay_table(self.scored, self.cfg)
+        return self._stage(dec.decay_table(self.scored, self.cfg), "decay")
 
     @cached_property
     def scores(self) -> DataFrame:
-        return self.scored.select("physician_npi", "company_id", *scoring.SCORE_PARTS, "score", "score_bucket")
+        return self._stage(self.scored.select("physician_npi", "company_id", *scoring.SCORE_PARTS, "score", "score_bucket"), "scores")
 
     # ------------------------------------------------------------------ steps 6-7: assembly
     @cached_property
@@ -185,7 +225,7 @@ class AffiliationPipeline:
             self.patients_medicare,
             self.cfg,
         )
-        return self.materialize(out, "assembled")
+        return self._stage(out, "assembled")
 
     @cached_property
     def directory_only(self) -> DataFrame:
@@ -193,30 +233,17 @@ class AffiliationPipeline:
 
     @cached_property
     def final(self) -> DataFrame:
-        return asm.finalize(self.assembled, self.hospital_affiliations, self.group_affiliations, self.cfg)
-
-
-#: Result tables that a full run publishes (OP-32): name and stage.
-RESULTS = {
-    "commercial_billing_edges": lambda p: p.commercial_edges.filter("org_role = 'billing'").drop("org_role"),
-    "commercial_facility_edges": lambda p: p.commercial_edges.filter("org_role = 'service_facility'").drop("org_role"),
-    "medicare_attending_edges": lambda p: p.medicare_edges.filter("role = 'attending'").drop("role"),
-    "medicare_operating_edges": lambda p: p.medicare_edges.filter("role = 'operating'").drop("role"),
-    "medicare_rendering_edges": lambda p: p.medicare_edges.filter("role = 'rendering'").drop("role"),
-    "affiliation_summary": lambda p: p.affiliations,
-    "physician_totals_commercial": lambda p: p.totals_commercial,
-    "physician_totals_medicare": lambda p: p.totals_medicare,
-    "claim_shares": lambda p: p.shares,
-    "unique_patients_commercial": lambda p: p.patients_commercial,
-    "unique_patients_medicare": lambda p: p.patients_medicare,
-    "hospital_affiliations": lambda p: p.hospital_affiliations,
-    "group_affiliations": lambda p: p.group_affiliations,
-    "surgery_center_affiliations": lambda p: p.surgery_center_affiliations,
-    "imaging_center_affiliations": lambda p: p.imaging_center_affiliations,
-    "affiliation_decay": lambda p: p.decay,
-    "affiliation_scores": lambda p: p.scores,
-    "final_affiliations": lambda p: p.final,
-}
+        return self._stage(asm.finalize(self.assembled, self.hospital_affiliations, self.group_affiliations, self.cfg), "final")
+
+
+def result(pipe: AffiliationPipeline, table: str) -> DataFrame:
+    """A result table of :data:`RESULTS`, as the pipeline computes it."""
+    stage, part = RESULTS[table]
+    df = getattr(pipe, stage)
+    if part is None:
+        return df
+    column, value = part.split("=", 1)
+    return df.filter(F.col(column) == value).drop(column)
 
 
 def run(spark: SparkSession, sources: Sources, cfg: PipelineConfig, materialize: bool = True) -> DataFrame:
@@ -227,16 +254,29 @@ def run(spark: SparkSession, sources: Sources, cfg: PipelineConfig, materialize:
     return pipe.final
 
 
-def run_and_publish(spark: SparkSession, sources: Sources, cfg: PipelineConfig, out: str, mode: str = "overwrite") -> None:
-    """Every result table below ``out``, one folder each; the work folder is cleaned up afterwards."""
-    pipe = AffiliationPipeline(spark, sources, cfg, Materializer(spark))
-    pipe.check_inputs()
+def run_and_publish(
+    spark: SparkSession, sources: Sources, cfg: PipelineConfig, out: str, mode: str = "overwrite", run_id: str | None = None, keep: int = KEEP
+) -> None:
+    """Every result table below ``out``, one folder each; the work folder is cleaned up afterwards.
+
+    Every stage is written once and every table lists the files that its stage
+    wrote.  ``append`` needs a ``run_id`` that names the load: a run that failed
+    or is repeated replaces what it had added (see :func:`publish.commit`).
+    """
+    if mode == "append" and not run_id:
+        raise ValueError("append needs a run id: it tells a repeated load from a new one")
+    stages = {stage: [part.split("=", 1)[0]] if part else [] for stage, part in RESULTS.values()}
+    writer = Publication(spark, out, stages, mode, run_id, keep)
+    pipe = AffiliationPipeline(spark, sources, cfg, writer, PUBLISHED)
     try:
+        pipe.check_inputs()
         pipe.write_stages()
-        for name, table in RESULTS.items():
-            publish(table(pipe), f"{out.rstrip('/')}/{name}", mode=mode)
+        writer.commit(RESULTS)
+    except BaseException:
+        writer.abandon()
+        raise
     finally:
-        pipe.materialize.remove()
+        writer.remove()
 
 
-__all__ = ["AffiliationPipeline", "RESULTS", "run", "run_and_publish"]
+__all__ = ["AffiliationPipeline", "PUBLISHED", "RESULTS", "result", "run", "run_and_publish"]

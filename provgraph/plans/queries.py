@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from provgraph.config import PipelineConfig
 from provgraph.operators import edges as E
-from provgraph.operators import patients as P
 from provgraph.plans.columns import COMPARE_DIGITS, column_type
 from provgraph.plans.oracle import QUERIES as ORACLE_QUERIES
 from provgraph.plans.pipeline import AffiliationPipeline
@@ -55,7 +54,7 @@ STAGES: dict[str, Callable[[AffiliationPipeline], DataFrame]] = {
     "claim_shares": lambda p: p.shares,
     "unique_patients_commercial": lambda p: p.patients_commercial,
     "unique_patients_medicare": lambda p: p.patients_medicare,
-    "crosswalk_zero_filled": lambda p: P.crosswalk_zero_filled(p.src.crosswalk),
+    "crosswalk_zero_filled": lambda p: p.crosswalk_zero_filled,
     "hospital_affiliations": lambda p: p.hospital_affiliations,
     "group_affiliations": lambda p: p.group_affiliations,
     "surgery_center_affiliations": lambda p: p.surgery_center_affiliations,

@@ -16,7 +16,7 @@ from provgraph.plans.pipeline import AffiliationPipeline
 from provgraph.plans import queries as registry
 from provgraph.plans.oracle import QUERIES as ORACLE_QUERIES
 from provgraph.plans.oracle import oracle_sql
-from provgraph.plans.pipeline import RESULTS
+from provgraph.plans.pipeline import RESULTS, result
 from provgraph.plans.publish import Materializer, publish, read_published
 from provgraph.sources.adapter import load_testdata
 from tools.check_oracle import TABLES, digest
@@ -160,8 +160,8 @@ def test_command_line_publishes_every_table(spark, pipe, tmp_path):
 
     out = str(tmp_path / "out")
     main(["--testdata", SF0001, "--out", out, "--as-of", "2001-11-05"], spark=spark)
-    for name, table in RESULTS.items():
-        back, want = read_published(spark, f"{out}/{name}"), table(pipe)
+    for name in RESULTS:
+        back, want = read_published(spark, f"{out}/{name}"), result(pipe, name)
         assert back.columns == want.columns and back.count() == want.count() > 0, name
     assert "update_date" in read_published(spark, f"{out}/affiliation_decay").columns
     assert len(read_published(spark, f"{out}/final_affiliations").columns) == 31
