@@ -34,6 +34,7 @@ from provgraph.operators import assemble as asm
 from provgraph.operators import decay as dec
 from provgraph.operators import directory, edges, patients, rollup, scoring, shares
 from provgraph.plans.publish import KEEP, Materializer, Publication
+from provgraph.sources.catalog import newest_file
 from provgraph.sources.tables import Sources
 
 
@@ -107,13 +108,26 @@ class AffiliationPipeline:
         """OP-01 + OP-02 in one pass, with an ``org_role`` column."""
         return self._stage(edges.commercial_edges_by_role(self.commercial_grain), "commercial_edges")
 
+    @cached_property
+    def medicare_files(self) -> DataFrame:
+        """The (vintage, release) files: by the folders of the claims where they are partitioned so, else by the availability table."""
+        files = self.src.medicare_files
+        return self.src.medicare_availability.select("vintage", "release") if files is None else files
+
+    @cached_property
+    def medicare_clock(self) -> DataFrame:
+        """The file that sets the Medicare analysis date, with its latest service date."""
+        if self.src.medicare_files is None:
+            return self.src.medicare_availability
+        return newest_file(self.src.medicare_claims, self.medicare_files, self.cfg)
+
     @cached_property
     def vintages(self) -> DataFrame:
-        return edges.select_vintages(self.src.medicare_availability, self.cfg)
+        return edges.select_vintages(self.medicare_files, self.cfg)
 
     @cached_property
     def medicare_grain(self) -> DataFrame:
-        used = edges.selected_claims(self.src.medicare_claims, self.src.medicare_availability, self.cfg)
+        used = edges.selected_claims(self.src.medicare_claims, self.medicare_files, self.cfg)
         return self._stage(edges.medicare_claim_grain(used), "medicare_grain")
 
     @cached_property
@@ -194,7 +208,7 @@ class AffiliationPipeline:
     # ------------------------------------------------------------------ steps 4-5: decay, score
     @cached_property
     def dates(self) -> DataFrame:
-        return self._stage(dec.analysis_dates(self.src.claim_availability, self.src.medicare_availability, self.cfg), "dates")
+        return self._stage(dec.analysis_dates(self.src.claim_availability, self.medicare_clock, self.cfg), "dates")
 
     @cached_property
     def scored(self) -> DataFrame:

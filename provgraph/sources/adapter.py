@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from provgraph.plans.publish import Materializer
+from provgraph.sources.catalog import medicare_files
 from provgraph.sources.schemas import ROLE_SCHEMAS, conform
 from provgraph.sources.tables import Sources
 
@@ -140,6 +141,11 @@ class StagedSources:
         self._materialize = materialize or Materializer(spark)
 
     def __getattr__(self, role: str) -> DataFrame:
+        if role == "medicare_files":
+            # Listed from the folders of the staged claims.
+            staged = medicare_files(self._materialize.spark, self._path_of("medicare_claims"))
+            setattr(self, role, staged)
+            return staged
         if role not in ROLE_SCHEMAS:
             raise AttributeError(role)
         if role == "medicare_availability":
@@ -154,6 +160,10 @@ class StagedSources:
         setattr(self, role, staged)
         return staged
 
+    def _path_of(self, role: str) -> str:
+        getattr(self, role)
+        return f"{self._materialize.folder}/sources/{role}"
+
     def stage_all(self) -> StagedSources:
         for f in fields(Sources):
             getattr(self, f.name)

@@ -37,9 +37,13 @@ MEDICARE_CLAIMS = _schema(
 )
 
 # What Medicare files exist: one row per (vintage, release) with the latest
-# service date in it.  Plays the part of the catalog probing of the original.
+# service date in it.  Only for claims that are not partitioned by them:
+# otherwise the folders tell the files (``sources.catalog``).
 MEDICARE_AVAILABILITY = _schema(("vintage", I), ("release", S), ("max_clm_thru_dt", D))
 
+# The same files without their dates, as folder names tell them.
+MEDICARE_FILES = _schema(("vintage", I), ("release", S))
+
 CROSSWALK = _schema(("npiid", L), ("npi", L), ("company_id", L))
 PHYSICIANS = _schema(("npi", L))
 COMPANIES = _schema(

@@ -6,6 +6,8 @@ from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 
+from provgraph.plans.publish import file_system
+from provgraph.sources.catalog import medicare_files
 from provgraph.sources.schemas import ROLE_SCHEMAS, conform
 
 
@@ -24,15 +26,30 @@ class Sources:
     surgery_centers: DataFrame
     imaging_centers: DataFrame
 
+    @property
+    def medicare_files(self) -> DataFrame | None:
+        """The Medicare claim files by the folders of the dataset; none where it is not known to be partitioned by them."""
+        return getattr(self, "_medicare_files", None)
+
     @staticmethod
     def from_parquet(spark: SparkSession, root: str) -> "Sources":
         """Read one Parquet dataset per role from ``{root}/{role}``.
 
         ``medicare_claims`` is expected to be partitioned by
-        ``vintage/release/claim_type`` so vintage selection prunes files.
+        ``vintage/release/claim_type``: vintage selection prunes files then,
+        and the folders tell which files there are, so that
+        ``medicare_availability`` may be left out.
         """
-        frames = {}
+        frames: dict[str, DataFrame] = {}
+        files = medicare_files(spark, f"{root}/medicare_claims")
+        listed = bool(files.head(1))
         for f in fields(Sources):
-            schema = ROLE_SCHEMAS[f.name]
-            frames[f.name] = conform(spark.read.parquet(f"{root}/{f.name}"), schema)
-        return Sources(**frames)
+            fs, p = file_system(spark, f"{root}/{f.name}")
+            if f.name == "medicare_availability" and listed and not fs.exists(p):
+                frames[f.name] = spark.createDataFrame([], ROLE_SCHEMAS[f.name])
+            else:
+                frames[f.name] = conform(spark.read.parquet(f"{root}/{f.name}"), ROLE_SCHEMAS[f.name])
+        sources = Sources(**frames)
+        if listed:
+            object.__setattr__(sources, "_medicare_files", files)
+        return sources
