@@ -1,9 +1,10 @@
 """Final assembly, directory-only rows, uplift and inclusion (OP-25 .. OP-31).
 
-Everything here is at affiliation grain.  All left joins are on
-(physician, company) against frames that are aggregated on that key, so
-their hash partitioning is reused and each side is shuffled at most once.
-In-place UPDATE / INSERT of the original become conditional projections and
+Everything here is at affiliation grain.  OP-25 dealt by physician: all frames
+that are keyed by (physician, company) are united, each row with the columns
+it brings, exchanged once by physician and gathered by their key; the share of
+practice and the rank within a firm type then find their rows in place.  A
+physician's rows are bounded by the companies.  In-place UPDATE / INSERT of the original become conditional projections and
 a ``unionByName`` in DAG order (Q21, Q24).
 """
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from provgraph.config import PipelineConfig
 from provgraph.functions.dialect import canonical_long
 from provgraph.operators.rollup import SUMMARY_COLUMNS
+from provgraph.operators.shares import with_claim_shares
 
 ASSEMBLED_COLUMNS = SUMMARY_COLUMNS + [
     "other_source_flag",
@@ -39,12 +41,9 @@ def other_source_pairs(group_affils: DataFrame, hospital_affils: DataFrame) -> D
     return pick(group_affils).unionByName(pick(hospital_affils)).distinct()
 
 
-def with_other_source_flag(df: DataFrame, pairs: DataFrame) -> DataFrame:
+def other_source_flag(in_directory: str):
     """OP-26: 1 when the affiliation is also in the directory, else 0."""
-    hit = pairs.withColumn("_in_directory", F.lit(True))
-    return df.join(hit, KEY, "left").withColumn(
-        "other_source_flag", F.when(F.col("_in_directory"), 1).otherwise(0)
-    ).drop("_in_directory")
+    return F.when(F.col(in_directory), 1).otherwise(0)
 
 
 def current_flag(remaining: str, cfg: PipelineConfig):
@@ -61,10 +60,32 @@ def firm_type_rank(score: str, cfg: PipelineConfig):
     return F.row_number().over(w)
 
 
+def gather(affiliations: DataFrame, features: dict[str, DataFrame]) -> DataFrame:
+    """Left join ``affiliations`` with frames that have one row per (physician, company) and one column, named by the key of ``features``.
+
+    One exchange for all of them, by physician, which the joins and windows
+    by physician that follow need too.
+    """
+    types = {c: df.schema[c].dataType for c, df in features.items()}
+    carried = [c for c in affiliations.columns if c not in KEY]
+    whole = F.struct(*carried)
+    rows = affiliations.select(*KEY, whole.alias("_row"), *[F.lit(None).cast(t).alias(c) for c, t in types.items()])
+    none = F.lit(None).cast(rows.schema["_row"].dataType).alias("_row")
+    for name, df in features.items():
+        rows = rows.unionByName(df.select(*KEY, none, *[F.col(c) if c == name else F.lit(None).cast(t).alias(c) for c, t in types.items()]))
+    gathered = (
+        rows.repartition("physician_npi").groupBy(*KEY)
+        .agg(F.first("_row", ignorenulls=True).alias("_row"), *[F.first(c, ignorenulls=True).alias(c) for c in types])
+        .filter(F.col("_row").isNotNull())
+    )
+    # The key stays the grouped one: what the rows are dealt by is known by it.
+    return gathered.select(*KEY, *[F.col(f"_row.{c}").alias(c) for c in carried], *types)
+
+
 def assemble(
     scored: DataFrame,
     pairs: DataFrame,
-    shares: DataFrame,
+    running_totals: DataFrame,
     patients_comm: DataFrame,
     patients_mcr: DataFrame,
     cfg: PipelineConfig,
@@ -72,25 +93,23 @@ def assemble(
     """OP-25: affiliation summary + flags, score, decay, shares and patients.
 
     ``scored`` is the affiliation summary with decay, score and bucket
-    columns (all 1:1 per affiliation).  Medicare patients are keyed by the
-    raw physician string; only the canonical decimal form can equal
+    columns (all 1:1 per affiliation), ``running_totals`` the physicians'
+    (:func:`shares.physician_running_totals`).  Medicare patients are keyed by
+    the raw physician string; only the canonical decimal form can equal
     ``CAST(npi AS STRING)``, so it is converted to the numeric key first.
+    ``has_totals`` tells the affiliations that OP-13 has a row for.
     """
     mcr = patients_mcr.select(
         canonical_long("physician_npi").alias("physician_npi"), "company_id", "patients_mcr"
     ).filter(F.col("physician_npi").isNotNull())
-    joined = (
-        with_other_source_flag(scored, pairs)
-        .join(shares.select(*KEY, "pct_claims_mcr", "pct_claims_comm", "pct_claims"), KEY, "left")
-        .join(patients_comm.select(*KEY, "patients_comm"), KEY, "left")
-        .join(mcr, KEY, "left")
-    )
-    return joined.withColumns(
+    gathered = gather(scored, {"in_directory": pairs.withColumn("in_directory", F.lit(True)), "patients_comm": patients_comm, "patients_mcr": mcr})
+    return with_claim_shares(gathered, running_totals, "left").withColumns(
         {
+            "other_source_flag": other_source_flag("in_directory"),
             "current_flag": current_flag("current_decay_remaining_val", cfg),
             "firm_type_rank": firm_type_rank("score", cfg),
         }
-    ).select(*ASSEMBLED_COLUMNS)
+    ).select(*ASSEMBLED_COLUMNS, "has_totals")
 
 
 def directory_only_rows(assembled: DataFrame, hospital_affils: DataFrame, group_affils: DataFrame) -> DataFrame:

@@ -64,9 +64,9 @@ RESULTS: dict[str, tuple[str, str | None]] = {
 }
 #: Stages that a publishing run writes, each once, in the order of their dependencies.
 PUBLISHED = (
-    "commercial_grain", "commercial_edges", "medicare_grain", "medicare_edges", "affiliations", "totals_commercial", "totals_medicare", "shares",
+    "commercial_grain", "commercial_edges", "medicare_grain", "medicare_edges", "affiliations", "totals_commercial", "totals_medicare",
     "patients_commercial", "crosswalk_zero_filled", "patients_medicare", "hospital_affiliations", "group_affiliations",
-    "surgery_center_affiliations", "imaging_center_affiliations", "dates", "scored", "decay", "scores", "assembled", "final",
+    "surgery_center_affiliations", "imaging_center_affiliations", "dates", "scored", "decay", "scores", "assembled", "shares", "final",
 )
 
 
@@ -162,6 +162,9 @@ class AffiliationPipeline:
 
     @cached_property
     def shares(self) -> DataFrame:
+        if "assembled" in self.written and "shares" in self.written:
+            # The assembly has them already.
+            return self._stage(self.assembled.filter("has_totals").select(*shares.SHARE_COLUMNS), "shares")
         return self._stage(shares.claim_shares(self.affiliations, self.totals_commercial, self.totals_medicare), "shares")
 
     @cached_property
@@ -231,14 +234,8 @@ class AffiliationPipeline:
 
     @cached_property
     def assembled(self) -> DataFrame:
-        out = asm.assemble(
-            self.scored,
-            self.other_source_pairs,
-            self.shares,
-            self.patients_commercial,
-            self.patients_medicare,
-            self.cfg,
-        )
+        running = shares.physician_running_totals(self.totals_commercial, self.totals_medicare)
+        out = asm.assemble(self.scored, self.other_source_pairs, running, self.patients_commercial, self.patients_medicare, self.cfg)
         return self._stage(out, "assembled")
 
     @cached_property
