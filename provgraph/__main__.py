@@ -52,7 +52,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parse_args(argv)
     if spark is None:
-        builder = SparkSession.builder.appName("provgraph")
+        builder = SparkSession.builder.appName("provgraph").config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         spark = (builder.config("spark.checkpoint.dir", args.work) if args.work else builder).getOrCreate()
     cfg = PipelineConfig.for_testdata() if args.testdata else PipelineConfig()
     overrides = {

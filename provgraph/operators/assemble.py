@@ -1,15 +1,19 @@
 """Final assembly, directory-only rows, uplift and inclusion (OP-25 .. OP-31).
 
-Everything here is at affiliation grain.  OP-25 dealt by physician: all frames
-that are keyed by (physician, company) are united, each row with the columns
-it brings, exchanged once by physician and gathered by their key; the share of
-practice and the rank within a firm type then find their rows in place.  A
-physician's rows are bounded by the companies.  In-place UPDATE / INSERT of the original become conditional projections and
-a ``unionByName`` in DAG order (Q21, Q24).
+Everything here is at affiliation grain.  OP-25 deals rows by physician: the
+affiliations are exchanged once, for the physicians' running totals; the other
+frames keyed by (physician, company) are united, gathered and joined as they
+lie, and the rank within a firm type finds its rows in place
+(``spark.sql.requireAllClusterKeysForCoPartition=false``; otherwise Spark
+exchanges them again for the join on both keys).  A physician's rows are
+bounded by the companies.  In-place UPDATE / INSERT of the original become
+conditional projections and a ``unionByName`` in DAG order (Q21, Q24).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,23 +67,12 @@ def firm_type_rank(score: str, cfg: PipelineConfig):
 def gather(affiliations: DataFrame, features: dict[str, DataFrame]) -> DataFrame:
     """Left join ``affiliations`` with frames that have one row per (physician, company) and one column, named by the key of ``features``.
 
-    One exchange for all of them, by physician, which the joins and windows
-    by physician that follow need too.
+    The frames, narrow as they are, are united and gathered by their key first, dealt by physician as the affiliations are.
     """
     types = {c: df.schema[c].dataType for c, df in features.items()}
-    carried = [c for c in affiliations.columns if c not in KEY]
-    whole = F.struct(*carried)
-    rows = affiliations.select(*KEY, whole.alias("_row"), *[F.lit(None).cast(t).alias(c) for c, t in types.items()])
-    none = F.lit(None).cast(rows.schema["_row"].dataType).alias("_row")
-    for name, df in features.items():
-        rows = rows.unionByName(df.select(*KEY, none, *[F.col(c) if c == name else F.lit(None).cast(t).alias(c) for c, t in types.items()]))
-    gathered = (
-        rows.repartition("physician_npi").groupBy(*KEY)
-        .agg(F.first("_row", ignorenulls=True).alias("_row"), *[F.first(c, ignorenulls=True).alias(c) for c in types])
-        .filter(F.col("_row").isNotNull())
-    )
-    # The key stays the grouped one: what the rows are dealt by is known by it.
-    return gathered.select(*KEY, *[F.col(f"_row.{c}").alias(c) for c in carried], *types)
+    rows = [df.select(*KEY, *[F.col(c) if c == name else F.lit(None).cast(t).alias(c) for c, t in types.items()]) for name, df in features.items()]
+    gathered = reduce(DataFrame.unionByName, rows).repartition("physician_npi").groupBy(*KEY).agg(*[F.max(c).alias(c) for c in types])
+    return affiliations.join(gathered, KEY, "left")
 
 
 def assemble(
@@ -102,8 +95,9 @@ def assemble(
     mcr = patients_mcr.select(
         canonical_long("physician_npi").alias("physician_npi"), "company_id", "patients_mcr"
     ).filter(F.col("physician_npi").isNotNull())
-    gathered = gather(scored, {"in_directory": pairs.withColumn("in_directory", F.lit(True)), "patients_comm": patients_comm, "patients_mcr": mcr})
-    return with_claim_shares(gathered, running_totals, "left").withColumns(
+    shared = with_claim_shares(scored, running_totals, "left")
+    gathered = gather(shared, {"in_directory": pairs.withColumn("in_directory", F.lit(True)), "patients_comm": patients_comm, "patients_mcr": mcr})
+    return gathered.withColumns(
         {
             "other_source_flag": other_source_flag("in_directory"),
             "current_flag": current_flag("current_decay_remaining_val", cfg),

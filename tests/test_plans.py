@@ -22,8 +22,10 @@ def no_broadcast(spark):
     # Without adaptive execution the plan shows every exchange.
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     yield
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
