@@ -1,10 +1,11 @@
 """Monthly physician -> organisation edge lists (OP-01 .. OP-07).
 
-Each claim source is reduced once to its distinct claims (one exchange), with
-the commercial ids resolved; edges, physician totals and patients all start
-from there.  A claim is then expanded in its row into its organisation or
-physician roles (an ``inline`` of a small array, no shuffle), so all edge
-lists of a source come out of a single dedup + aggregate.
+Each claim source is scanned once; edges, physician totals and patients all
+start from what is written then.  A claim is expanded in its row into its
+organisation or physician roles (an ``inline`` of a small array, no shuffle),
+so all edge lists of a source come out of a single dedup + aggregate.
+Commercial ids are resolved by two joins, one for the physician and one for
+the organisations of all roles.
 
 Each aggregate runs as partial (map-side) + final, so a physician with a huge
 share of the claims is collapsed on the map side before any shuffle.
@@ -58,37 +59,43 @@ def _commercial_role_predicate(role: str) -> Column:
     raise ValueError(role)
 
 
+def billed_by_other() -> Column:
+    """The claim's billing id differs from the rendering id; a claim without a billing id is not (Q10)."""
+    return F.col("billing_npiid") != F.col("rendering_npiid")
+
+
+def totals_role() -> Column:
+    """The row holds the claim's first non-null organisation id (billing, else facility), and it differs from the rendering id (Q2)."""
+    first = (F.col("org_role") == "billing") | F.col("billing_npiid").isNull()
+    return first & (F.col("org_npiid") != F.col("rendering_npiid"))
+
+
 def commercial_claim_grain(claims: DataFrame, crosswalk: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """The distinct commercial claims from the first claim year on, all three ids resolved.
+    """A row per commercial claim, from the first claim year on, and organisation role with an id; ids resolved.
 
     The rendering NPIID becomes ``physician_npi`` (a claim whose rendering id
-    is NULL or unknown drops out of every consumer); each organisation id
-    brings ``*_npi``, ``*_company_id`` and ``*_known``.  The DISTINCT runs on
-    the raw ids, before the lookups, with map-side combination.
+    is NULL or unknown drops out of every consumer).  Then a claim becomes one
+    row per role that an edge list, the totals or the patients can use, so that
+    a single join resolves the organisations of both roles: ``org_npi``,
+    ``org_company_id``, ``org_known``.  Where the crosswalk is broadcast no
+    claim is exchanged, else twice.  Repeated claims are left to the consumers,
+    each of which has a DISTINCT of its own, with map-side combination.
     """
-    base = (
-        claims.filter(F.col("claim_year") >= cfg.min_claim_year)
-        .select("claim_year", "service_to_date", "rendering_npiid", "billing_npiid", "service_facility_npiid", "dpid")
-        .dropDuplicates()
+    base = claims.filter(F.col("claim_year") >= cfg.min_claim_year).select(
+        "claim_year", "service_to_date", "rendering_npiid", "billing_npiid", "service_facility_npiid", "dpid"
     )
-    rendering = crosswalk.select(F.col("npiid").alias("rendering_npiid"), F.col("npi").alias("physician_npi"))
-    out = base.join(rendering, "rendering_npiid")
-    for role, npiid in COMMERCIAL_ROLES.items():
-        org = crosswalk.select(
-            F.col("npiid").alias(npiid), F.col("npi").alias(f"{role}_npi"), F.col("company_id").alias(f"{role}_company_id"),
-            F.lit(True).alias(f"{role}_known"),
-        )
-        out = out.join(org, npiid, "left")
-    return out
+    physician = crosswalk.select(F.col("npiid").alias("rendering_npiid"), F.col("npi").alias("physician_npi"))
+    roles = expand_roles(base.join(physician, "rendering_npiid"), {r: {"org_npiid": c} for r, c in COMMERCIAL_ROLES.items()}, "org_role")
+    used = _any_role(COMMERCIAL_ROLES, "org_role", _commercial_role_predicate) | billed_by_other() | totals_role()
+    org = crosswalk.select(
+        F.col("npiid").alias("org_npiid"), F.col("npi").alias("org_npi"), F.col("company_id").alias("org_company_id"), F.lit(True).alias("org_known")
+    )
+    return roles.filter(F.col("org_npiid").isNotNull() & used).drop("service_facility_npiid").join(org, "org_npiid", "left")
 
 
 def commercial_roles(resolved: DataFrame, roles=tuple(COMMERCIAL_ROLES)) -> DataFrame:
-    """A row per claim and organisation role whose id the crosswalk knows."""
-    cols = {
-        r: {"org_npiid": COMMERCIAL_ROLES[r], "org_npi": f"{r}_npi", "org_company_id": f"{r}_company_id", "org_known": f"{r}_known"}
-        for r in roles
-    }
-    return expand_roles(resolved, cols, "org_role").filter("org_known")
+    """The rows of these roles whose organisation id the crosswalk knows."""
+    return resolved.filter(F.col("org_known") & F.col("org_role").isin(*roles))
 
 
 def commercial_edges_by_role(resolved: DataFrame, roles=tuple(COMMERCIAL_ROLES)) -> DataFrame:

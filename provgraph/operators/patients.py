@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from provgraph.config import PipelineConfig
 from provgraph.functions.dialect import canonical_long
-from provgraph.operators.edges import MEDICARE_ROLES, commercial_claim_grain, commercial_roles, expand_roles, medicare_claim_grain, selected_claims
+from provgraph.operators.edges import (
+    MEDICARE_ROLES,
+    billed_by_other,
+    commercial_claim_grain,
+    commercial_roles,
+    expand_roles,
+    medicare_claim_grain,
+    selected_claims,
+)
 
 
 def unique_patients_commercial(
@@ -24,7 +32,7 @@ def unique_patients_commercial(
     """
     if resolved is None:
         resolved = commercial_claim_grain(claims, crosswalk, cfg)
-    billed = commercial_roles(resolved.filter(F.col("billing_npiid") != F.col("rendering_npiid")))
+    billed = commercial_roles(resolved.filter(billed_by_other()))
     return (
         billed.filter(F.col("org_company_id").isNotNull())
         .select("physician_npi", F.col("org_company_id").alias("company_id"), "dpid")

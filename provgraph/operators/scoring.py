@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from provgraph.config import PipelineConfig
@@ -39,16 +39,23 @@ def with_score(affiliations: DataFrame) -> DataFrame:
     return scored.withColumn("score", c[0] + c[1] + c[2] + c[3] - c[4])
 
 
-def equal_width_bucket(df: DataFrame, value: str, n: int, digits: int) -> DataFrame:
+def observe_score(affiliations: DataFrame, seen: Observation) -> DataFrame:
+    """The same rows; ``seen`` gets the least (``lo``) and greatest (``hi``) score while they are written."""
+    observed = with_score(affiliations).observe(seen, F.min("score").alias("lo"), F.max("score").alias("hi"))
+    return observed.select(*affiliations.columns)
+
+
+def equal_width_bucket(df: DataFrame, value: str, n: int, digits: int, bounds: Column | None = None) -> DataFrame:
     """OP-24: add ``score_bucket`` = ``ceil((v - min) / ((max - min) / n))``, values below 1 raised to 1.
 
-    min and max come as one struct from one aggregate over ``df``, never from
-    a keyless window.  The quotient is rounded to ``digits`` places before
+    min and max are the struct ``bounds`` (``lo``, ``hi``) if they are known,
+    else that of one aggregate over ``df``, never from a keyless window.  The quotient is rounded to ``digits`` places before
     ``ceil`` so that last-bit differences cannot move a row across a bucket
     edge (Q20); a degenerate range (all values equal) puts every row in
     bucket 1.
     """
-    bounds = df.select(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
+    if bounds is None:
+        bounds = df.select(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
     lo, hi = F.col("_bounds.lo"), F.col("_bounds.hi")
     width = (hi - lo) / F.lit(float(n))
     raw = F.ceil(F.round(F.try_divide(F.col(value) - lo, width), digits)).cast("long")
@@ -57,5 +64,7 @@ def equal_width_bucket(df: DataFrame, value: str, n: int, digits: int) -> DataFr
     return df.withColumn("_bounds", bounds).withColumn("score_bucket", bucket).drop("_bounds")
 
 
-def with_score_bucket(scored: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    return equal_width_bucket(scored, "score", cfg.n_buckets, cfg.boundary_digits)
+def with_score_bucket(scored: DataFrame, cfg: PipelineConfig, seen: Observation | None = None) -> DataFrame:
+    """``seen``: that of :func:`observe_score`, once the affiliations are written."""
+    bounds = None if seen is None else F.struct(*[F.lit(seen.get[x]).cast("double").alias(x) for x in ("lo", "hi")])
+    return equal_width_bucket(scored, "score", cfg.n_buckets, cfg.boundary_digits, bounds)

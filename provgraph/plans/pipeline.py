@@ -7,11 +7,12 @@ them on its own (as a single registered query does) writes it then.  A run that
 publishes (:func:`run_and_publish`) also writes every result, straight to the
 published folder: later stages read it there, and no stage is computed twice.
 
-- ``commercial_grain``, ``medicare_grain``: the distinct claims of a source,
-  each scanned once for edges, totals and patients;
+- ``commercial_grain``, ``medicare_grain``: the claims of a source, scanned once
+  for edges, totals and patients (commercial: by organisation role, ids
+  resolved; Medicare: distinct);
 - ``medicare_edges``: read by the rollup and by the Medicare totals;
 - ``affiliations``: the affiliation summary, read by decay, score, shares and
-  assembly;
+  assembly; the bounds of the scores are observed while it is written;
 - ``dates``: the one-row analysis dates;
 - ``assembled``: the table before the directory insert, read three times by
   OP-29.
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from provgraph.config import PipelineConfig
@@ -150,7 +151,15 @@ class AffiliationPipeline:
 
     @cached_property
     def affiliations(self) -> DataFrame:
-        return self._stage(rollup.affiliation_summary(self.monthly, self.src.companies), "affiliations")
+        summary = rollup.affiliation_summary(self.monthly, self.src.companies)
+        if self.score_bounds is not None:
+            summary = scoring.observe_score(summary, self.score_bounds)
+        return self._stage(summary, "affiliations")
+
+    @cached_property
+    def score_bounds(self) -> Observation | None:
+        """Least and greatest score, if the affiliations are written."""
+        return Observation() if self.materialize.enabled and "affiliations" in self.written else None
 
     @cached_property
     def totals_commercial(self) -> DataFrame:
@@ -216,7 +225,7 @@ class AffiliationPipeline:
     @cached_property
     def scored(self) -> DataFrame:
         """Affiliation summary + score + bucket + decay (all 1:1 per affiliation)."""
-        bucketed = scoring.with_score_bucket(scoring.with_score(self.affiliations), self.cfg)
+        bucketed = scoring.with_score_bucket(scoring.with_score(self.affiliations), self.cfg, self.score_bounds)
         return self._stage(dec.with_decay(bucketed, self.dates, self.cfg), "scored")
 
     @cached_property

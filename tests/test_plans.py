@@ -7,10 +7,12 @@ import re
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import Observation
 
 from conftest import SF0001, rows_of
 from provgraph.config import PipelineConfig
 from provgraph.operators import assemble as asm
+from provgraph.operators import scoring
 from provgraph.operators.shares import claim_shares
 from provgraph.plans.pipeline import WRITTEN, AffiliationPipeline
 from provgraph.plans.publish import Materializer
@@ -53,13 +55,51 @@ def test_the_affiliations_are_exchanged_once_in_the_assembly(spark, no_broadcast
         spark, load_testdata(spark, SF0001), PipelineConfig.for_testdata(), Materializer(spark), tuple(w for w in WRITTEN if w != "assembled")
     )
     plan = _plan(pipe.assembled)
-    # The scan of the bounds of OP-24 reads the score's columns only.
     leaves = [i for i, line in enumerate(plan) if "FileScan" in line and "physician_npi" in line and "hospital_name" in line]
     assert len(leaves) == 1
     above = _exchanges_above(plan, leaves[0])
     assert len(above) == 1 and above[0].startswith("Exchange hashpartitioning(physician_npi"), above
 
 
+def test_commercial_claims_are_exchanged_twice_at_most(spark, no_broadcast):
+    """Once by the physician's id, once by the organisations' of all roles."""
+    pipe = AffiliationPipeline(spark, load_testdata(spark, SF0001), PipelineConfig.for_testdata(), Materializer(spark, enabled=False))
+    plan = _plan(pipe.commercial_grain)
+    leaves = [i for i, line in enumerate(plan) if "FileScan" in line and "claim_year" in line]
+    assert len(leaves) == 1
+    above = [re.match(r"Exchange hashpartitioning\((\w+?)#", x)[1] for x in _exchanges_above(plan, leaves[0])]
+    assert above == ["rendering_npiid", "org_npiid"]
+
+
+def test_no_claim_is_exchanged_where_the_crosswalk_is_broadcast(spark):
+    pipe = AffiliationPipeline(spark, load_testdata(spark, SF0001), PipelineConfig.for_testdata(), Materializer(spark, enabled=False))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(pipe.commercial_grain)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert not any("Exchange hashpartitioning" in line for line in plan)
+
+
+def test_the_bounds_of_the_scores_come_with_the_written_affiliations(spark):
+    pipe = AffiliationPipeline(spark, load_testdata(spark, SF0001), PipelineConfig.for_testdata())
+    plan = _plan(pipe.scored)
+    # The other scan is that of the one-row dates.
+    scans = [line for line in plan if "FileScan" in line and "physician_npi" in line]
+    assert len(scans) == 1, scans
+    lazy = AffiliationPipeline(spark, load_testdata(spark, SF0001), PipelineConfig.for_testdata(), Materializer(spark, enabled=False))
+    assert lazy.score_bounds is None
+    cols = ["physician_npi", "company_id", "score_bucket"]
+    assert rows_of(pipe.scored, *cols) == rows_of(lazy.scored, *cols)
+
+
+def test_score_bounds_of_no_affiliations(spark, cfg):
+    empty = AffiliationPipeline(spark, load_testdata(spark, SF0001), PipelineConfig.for_testdata()).affiliations.limit(0)
+    seen = Observation()
+    assert scoring.observe_score(empty, seen).count() == 0
+    assert scoring.with_score_bucket(scoring.with_score(empty), cfg, seen).count() == 0
+
+
 def test_the_assembly_equals_plain_left_joins(spark, cfg):
     rng = random.Random(4)
     rows = [(p, c, f"n{c}", rng.random()) for p in range(1, 30) for c in rng.sample(range(40), rng.randint(1, 9))]
