@@ -89,6 +89,25 @@ def crc_mod(id_col: str, mod: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % F.lit(mod)
 
 
+def split(rows: DataFrame, key: str, keys: DataFrame, of: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose ``key`` may be among the values ``of`` of ``keys``, rows whose key is not).
+
+    A map of 2 ** 27 bits at most, 16 MB whatever the size of ``keys``, goes to
+    the scan, so that of the rows without a partner few meet a shuffle.  It
+    only ever lets too many rows through, and the first part is still to be
+    joined.  Both parts read ``rows``.  A null key is a value like any other.
+    """
+    place = lambda c: F.xxhash64(c).bitwiseAND(F.lit((1 << 27) - 1))
+    # At most 4,096 rows of 4 KB.
+    bits = keys.select(place(keys[of]).alias("p")).groupBy(F.shiftright("p", 15).alias("bucket")).agg(F.bitmap_construct_agg(F.col("p").bitwiseAND(F.lit(32767))).alias("bits"))
+    mine = place(rows[key].cast(keys.schema[of].dataType))
+    bit = mine.bitwiseAND(F.lit(32767)).cast("int")
+    byte = F.conv(F.hex(F.substring(bits["bits"], F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    may = F.coalesce(F.getbit(byte, bit.bitwiseAND(F.lit(7))) == 1, F.lit(False))
+    held = rows.join(F.broadcast(bits), F.shiftright(mine, 15) == bits["bucket"], "left")
+    return held.where(may).select(rows["*"]), held.where(~may).select(rows["*"])
+
+
 def numbered(scratch: Scratch, df: DataFrame, by: list[str], name: str = "pos") -> DataFrame:
     """Add a gapless 0-based position in the order of ``by``.
 

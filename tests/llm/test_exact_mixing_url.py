@@ -38,6 +38,32 @@ def test_exact_dedup_of_a_hot_group_and_of_nothing(spark):
     assert drop_exact_duplicates(clashing_frame(spark, TEXTS)).columns == [f.name for f in CLASHING]
 
 
+def test_split_lets_no_partner_through_as_missing(spark):
+    from pyspark.sql import functions as F
+
+    from provgraph.llm.common import split
+
+    left = spark.range(5000).select(F.col("id").cast("int").alias("k"), F.lit("x").alias("bits")).union(spark.sql("select cast(null as int), 'n'"))
+    keys = spark.range(0, 5000, 7).select((F.col("id")).alias("bucket")).union(spark.sql("select cast(null as bigint)"))
+    some, rest = split(left, "k", keys, "bucket")
+    assert some.columns == rest.columns == ["k", "bits"]
+    some, rest = [r.k for r in some.collect()], [r.k for r in rest.collect()]
+    assert sorted(map(str, some + rest)) == sorted(map(str, [None, *range(5000)]))
+    assert None in some and set(range(0, 5000, 7)) <= set(some) and len(some) < 800
+    empty, all_ = split(left, "k", keys.where("false"), "bucket")
+    assert (empty.count(), all_.count()) == (0, 5001)
+
+
+def test_exact_dedup_shuffles_only_texts_that_share_a_hash(spark):
+    """The fetch of texts reads a bit map, and rows that stay by their id meet no exchange."""
+    data = [(i, f"text {i // 2 if i < 40 else i}") for i in range(2000)]
+    kept = drop_exact_duplicates(clashing_frame(spark, data), keep="largest")
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(1, 40, 2), *range(40, 2000)]
+    nulls = [(None, "a"), (None, "A"), (3, "a"), (4, None), (5, "")]
+    assert sorted(str(r.doc_id) for r in drop_exact_duplicates(clashing_frame(spark, nulls)).collect()) == ["3", "4"]
+    assert drop_exact_duplicates(docs_frame(spark, [])).count() == 0
+
+
 def _targets(sizes, weights=(3, 1, 2), total=1.5, cap=2):
     order = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
     w = {s: weights[i % len(weights)] for i, s in enumerate(order)}
