@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from provgraph.llm.common import Scratch, hash_words, row_groups, words_of
+from provgraph.llm.common import Scratch, hash_words, row_groups, split, words_of
 from provgraph.llm.graph import connected_components
 
 #: Coordinates of a signature, and how many of them must collide, unless that
@@ -254,6 +254,7 @@ def _links(scratch: Scratch, texts: DataFrame, classes: DataFrame, families: Dat
     size = of.groupBy("family").agg(F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     cut = of.join(size, "family").withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     # The id list grows with the corpus, so it is not broadcast at any size.
+    texts, _ = split(texts, "_id", of, "rep")
     held = texts.hint("merge").join(cut.select(F.col("rep").alias("_id"), "family", "mine", "blocks"), "_id")
     held = held.groupBy("_id", "family", "mine", "blocks").agg(F.max("_text").alias("_text"))
     sides = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("mine", o).alias("i"), F.greatest("mine", o).alias("j")))
@@ -263,6 +264,13 @@ def _links(scratch: Scratch, texts: DataFrame, classes: DataFrame, families: Dat
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that name their component, one document of each, all columns kept."""
+    """The rows of ``docs`` that name their component, one document of each, all columns kept.
+
+    Rows without words or id stay, an empty table stays empty, rows that repeat
+    the staying id all stay, and extra columns may have any names.  Rows
+    whose id is not among those that go are not shuffled.
+    """
     gone = near_duplicates(docs, id_col, text_col, width, percent).where("not kept").select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    gone = Scratch(docs.sparkSession, "minhash-gone").save(gone)
+    some, stay = split(docs, id_col, gone, "_gone")
+    return stay.union(some.join(gone, some[id_col] == gone["_gone"], "left_anti"))
