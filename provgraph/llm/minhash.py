@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 from provgraph.llm.common import Scratch, hash_words, row_groups, split, words_of
 from provgraph.llm.graph import connected_components
 
-#: Coordinates of a signature, and how many of them must collide, unless that
-#: would miss a pair at the threshold with a probability above ``MISS``.  A pair
-#: at similarity 0.85 has fewer than 16 of 32 equal with a probability of
-#: 5.7e-7, one at 0.8 of 3.3e-5.
-COORDINATES, MATCHES = 32, 16
-MISS = 1e-4
+#: Coordinates of a signature, doubled where a low threshold needs more.  As many
+#: must collide as a pair at the threshold has but for a probability of ``MISS``.
+#: Of 128 these are 87 at 0.85 and 79 at 0.8: a pair at 0.42, as two texts of one
+#: template are, passes with 3e-9 or 6e-6, so that templates make no families.
+COORDINATES = 128
+MISS = 1e-6
 #: Documents and shingles of a block of a family, about.
 BLOCK_DOCS, BLOCK_SHINGLES = 256, 100_000
 #: Rounds in which a posting list compares one hub before its open pairs are listed.
@@ -38,13 +38,13 @@ def miss(percent: int, coordinates: int, matches: int) -> float:
 
 
 def collisions(percent: int) -> tuple[int, int]:
-    """(coordinates, matches) for a threshold: the most matches, ``MATCHES`` at most, whose miss probability is ``MISS`` or less."""
+    """(coordinates, matches) for a threshold: the most matches whose miss probability is ``MISS`` or less."""
     if not 1 <= percent <= 100:
         raise ValueError("percent is from 1 to 100")
     n = COORDINATES
     while miss(percent, n, 1) > MISS:
         n *= 2
-    return n, max(m for m in range(1, MATCHES + 1) if miss(percent, n, m) <= MISS)
+    return n, max(m for m in range(1, n + 1) if miss(percent, n, m) <= MISS)
 
 
 @cache
@@ -77,8 +77,8 @@ def signature(shingles: np.ndarray, coordinates: int = COORDINATES) -> np.ndarra
     """The low 32 bits of the least hash under each coordinate's function."""
     a, b = _functions(coordinates)
     low = np.full(coordinates, np.uint64(2**64 - 1))
-    for i in range(0, len(shingles), 2048):
-        np.minimum(low, (shingles[i : i + 2048, None] * a + b).min(axis=0), out=low)
+    for i in range(0, len(shingles), 512):
+        np.minimum(low, (shingles[i : i + 512, None] * a + b).min(axis=0), out=low)
     return low.astype(np.uint32).view(np.int32)
 
 
@@ -187,8 +187,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        documents, all with all, passing on only the links that connect them.
        No list, partner or candidate is capped.
 
-    Null and empty texts have no shingle, link with nothing and are kept.
-    Rows of one id count as one document (the largest text stands for it in
+    Null and empty texts have no shingle, link with nothing and are kept; very
+    long ones are compared whole, a text above ``BLOCK_SHINGLES`` with one block
+    at a time.  Rows of one id count as one document (the largest text stands for it in
     checks); a null id links with nothing and has component_id null.  Empty
     tables give an empty result; extra columns are not read.
     """
@@ -222,7 +223,8 @@ def _prefixes(scratch: Scratch, classes: DataFrame, matches: int) -> DataFrame:
 
 def _families(scratch: Scratch, classes: DataFrame, matches: int) -> DataFrame:
     """(rep, family) such that any two classes with enough collisions are of one family; lone classes are left out."""
-    sigs = classes.select("rep", "sig")
+    # Seven bits a coordinate tell a pair with enough collisions; others pass a little more often.
+    sigs = scratch.save(classes.select("rep", F.transform("sig", lambda x: x.bitwiseAND(F.lit(127)).cast("tinyint")).alias("sig")))
     post = _prefixes(scratch, classes, matches)
     pairs = scratch.save(post.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0))
     families = pairs.select(F.col("a").alias("rep"), F.col("b").alias("family"))

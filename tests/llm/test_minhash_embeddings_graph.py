@@ -84,12 +84,32 @@ def test_collisions_follow_the_threshold():
     for percent in range(1, 101):
         n, m = minhash.collisions(percent)
         assert 1 <= m <= n and minhash.miss(percent, n, m) <= minhash.MISS
-    assert minhash.collisions(85) == minhash.collisions(80) == (32, 16)
-    assert 3e-5 < minhash.miss(80, 32, 16) < 4e-5 and minhash.miss(50, 32, 16) > 0.4
+    # The fewest collisions that keep the pairs at the threshold, and far more than other pairs have.
+    for percent in (80, 85):
+        n, m = minhash.collisions(percent)
+        assert n == 128 and minhash.miss(percent, n, m + 1) > minhash.MISS
+        assert 1 - minhash.miss(42, n, m) < 1e-4
     with pytest.raises(ValueError, match="percent"):
         minhash.collisions(0)
 
 
+@pytest.mark.parametrize("n", [200, 800])
+def test_texts_of_one_template_form_no_families(spark, n):
+    """300 words that all texts share and 200 of their own: a similarity of 0.42, and no work that grows with their pairs."""
+    from pyspark.sql import functions as F
+
+    from provgraph.llm.common import Scratch
+
+    rng = random.Random(n)
+    shared = words(rng, 300)
+    data = [(i, " ".join(shared + words(rng, 200, 10**6))) for i in range(n)]
+    scratch, (coordinates, matches) = Scratch(spark, "t"), minhash.collisions(85)
+    texts = docs_frame(spark, data).select(F.col("doc_id").alias("_id"), F.col("text").cast("binary").alias("_text"))
+    classes = scratch.save(texts.mapInArrow(minhash._sign(5, coordinates), minhash._SIGNED).select(F.col("_id").alias("rep"), "sig"))
+    assert minhash._prefixes(scratch, classes, matches).count() < n / 2
+    assert minhash._families(scratch, classes, matches).count() == 0
+
+
 @pytest.mark.parametrize("percent", [10, 50])
 def test_pairs_at_a_low_threshold_are_linked(spark, percent):
     rng = random.Random(percent)
