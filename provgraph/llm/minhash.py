@@ -33,8 +33,11 @@ _B = _rng.integers(0, 2**64, COORDINATES, dtype=np.uint64)
 
 def miss(percent: int, coordinates: int, matches: int) -> float:
     """The probability that a pair at the threshold has fewer than ``matches`` equal coordinates."""
-    p = percent / 100
-    return sum(math.comb(coordinates, k) * p**k * (1 - p) ** (coordinates - k) for k in range(matches))
+    if percent == 100:
+        return float(matches > coordinates)
+    yes, no, log = math.log(percent / 100), math.log(1 - percent / 100), math.lgamma
+    ways = lambda k: log(coordinates + 1) - log(k + 1) - log(coordinates - k + 1)
+    return math.fsum(math.exp(ways(k) + k * yes + (coordinates - k) * no) for k in range(matches))
 
 
 def collisions(percent: int) -> tuple[int, int]:
@@ -44,7 +47,10 @@ def collisions(percent: int) -> tuple[int, int]:
     n = COORDINATES
     while miss(percent, n, 1) > MISS:
         n *= 2
-    return n, max(m for m in range(1, n + 1) if miss(percent, n, m) <= MISS)
+    m = 1
+    while m < n and miss(percent, n, m + 1) <= MISS:
+        m += 1
+    return n, m
 
 
 @cache
