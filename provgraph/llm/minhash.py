@@ -83,8 +83,9 @@ def signature(shingles: np.ndarray, coordinates: int = COORDINATES) -> np.ndarra
     """The low 32 bits of the least hash under each coordinate's function."""
     a, b = _functions(coordinates)
     low = np.full(coordinates, np.uint64(2**64 - 1))
-    for i in range(0, len(shingles), 512):
-        np.minimum(low, (shingles[i : i + 512, None] * a + b).min(axis=0), out=low)
+    # Blocks of 64 KB at 128 coordinates: larger ones are mapped and unmapped each time.
+    for i in range(0, len(shingles), 64):
+        np.minimum(low, (shingles[i : i + 64, None] * a + b).min(axis=0), out=low)
     return low.astype(np.uint32).view(np.int32)
 
 
