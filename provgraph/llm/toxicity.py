@@ -21,6 +21,10 @@ from provgraph.llm.minhash import near_duplicates
 _EDGE = b".,;:!?\"'()[]{}<>*_-"
 #: Lengths in bytes of the word beginnings that stand in for rare words.
 _STEMS = (6, 5, 4)
+#: Words whose log-odds a worker remembers; some 100 bytes each.
+KNOWN = 50_000
+#: Texts whose word counts a worker holds at a time.
+COUNTED = 1_000
 
 
 @dataclass(frozen=True)
@@ -76,7 +80,7 @@ class ToxicityModel:
         w = self._known.get(word)
         if w is None:
             w = next((self.weight[k] for k in _keys(word) if k in self.weight), 0.0)
-            if len(self._known) >= 200_000:
+            if len(self._known) >= KNOWN:
                 self._known.clear()
             self._known[word] = w
         return w
@@ -135,18 +139,21 @@ class ToxicityModel:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        per = (Counter(), Counter())
-        for text, toxic in zip(b.column("_text"), b.column("toxic"), strict=True):
-            per[toxic.as_py()].update(tokens_of(text.as_py()))
-        out: dict[int, list[int]] = {}
-        for side, counts in enumerate(per):
-            for word, n in counts.items():
-                for k in _keys(word):
-                    out.setdefault(k, [0, 0])[side] += n
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(out), pa.int64()), *(pa.array([c[i] for c in out.values()], pa.int64()) for i in (0, 1))], ["k", "clean", "toxic"]
-        )
+    for whole in batches:
+        # Counts of a part of the batch at a time; what it yields is summed in the same task.
+        for at in range(0, whole.num_rows, COUNTED):
+            b = whole.slice(at, COUNTED)
+            per = (Counter(), Counter())
+            for text, toxic in zip(b.column("_text"), b.column("toxic"), strict=True):
+                per[toxic.as_py()].update(tokens_of(text.as_py()))
+            out: dict[int, list[int]] = {}
+            for side, counts in enumerate(per):
+                for word, n in counts.items():
+                    for k in _keys(word):
+                        out.setdefault(k, [0, 0])[side] += n
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(out), pa.int64()), *(pa.array([c[i] for c in out.values()], pa.int64()) for i in (0, 1))], ["k", "clean", "toxic"]
+            )
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings | None = None, id_col: str = "doc_id", text_col: str = "text", mod: int = 3, held: int = 1) -> ToxicityModel:
@@ -283,6 +290,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float,
     return tuple(float(v) for v in full)
 
 
+def scores_of(model: ToxicityModel, texts: pa.Array) -> list[float]:
+    """A score for each text; only one text's words are held, those of a whole batch take several times its texts."""
+    return [model.score(tokens_of(t.as_py())) for t in texts]
+
+
 def toxicity_scores(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text", passages: bool = False) -> DataFrame:
     """(id, score, predicted[, passages]), one row per row of ``docs``, from its whole text.
 
@@ -300,13 +312,12 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            words = [tokens_of(t.as_py()) for t in b.column("_text")]
-            scores = [m.score(w) for w in words]
+            scores = scores_of(m, b.column("_text"))
             arrays = [b.column("_id"), pa.array(scores, pa.float64()), pa.array([int(x >= m.threshold) for x in scores], pa.int32())]
             names = [id_col, "score", "predicted"]
             if passages:
                 item = pa.struct([("first", pa.int64()), ("end", pa.int64()), ("log_odds", pa.float64())])
-                found = [[dict(zip(("first", "end", "log_odds"), p, strict=True)) for p in m.passages(w)] for w in words]
+                found = [[dict(zip(("first", "end", "log_odds"), p, strict=True)) for p in m.passages(tokens_of(t.as_py()))] for t in b.column("_text")]
                 arrays.append(pa.array(found, pa.list_(item)))
                 names.append("passages")
             yield pa.RecordBatch.from_arrays(arrays, names)

@@ -3,10 +3,12 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from provgraph.llm import suffix_tree_lm, toxicity
@@ -276,3 +278,46 @@ def test_toxicity_edge_cases(spark):
     one = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "doc_id long, toxic int")
     assert all(r.predicted == 0 for r in toxicity_scores(docs, fit(docs, one, ToxicitySettings(sample=2))).collect())
     assert toxicity_scores(docs_frame(spark, []), ToxicityModel()).count() == 0
+
+
+def test_toxicity_holds_the_words_of_few_texts_of_a_batch():
+    def peak(n, work):
+        rng = random.Random(n)
+        texts = pa.array([" ".join(words(rng, 100, 10**6)).encode() for _ in range(n)], pa.binary())
+        batch = pa.RecordBatch.from_arrays([texts, pa.array([i % 2 for i in range(n)], pa.int32())], ["_text", "toxic"])
+        model = ToxicityModel()
+        tracemalloc.start()
+        work(model, batch)
+        found = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return found
+
+    def count(_, batch):
+        for part in toxicity._counted(iter([batch])):
+            assert part.num_rows
+
+    def score(model, batch):
+        model._known = {w: 0.0 for t in batch.column("_text") for w in tokens_of(t.as_py())}
+        tracemalloc.reset_peak()
+        before = tracemalloc.get_traced_memory()[0]
+        assert len(toxicity.scores_of(model, batch.column("_text"))) == batch.num_rows
+        assert tracemalloc.get_traced_memory()[1] - before < 1_000_000
+
+    assert peak(4 * toxicity.COUNTED, count) < 2 * peak(toxicity.COUNTED, count)
+    peak(4_000, score)
+
+
+def test_toxicity_counts_are_those_of_the_whole_batch(monkeypatch):
+    batch = pa.RecordBatch.from_arrays([pa.array([b"a b", b"b c", b"A d", None, b"b"], pa.binary()), pa.array([0, 1, 0, 1, 1], pa.int32())], ["_text", "toxic"])
+
+    def counts():
+        total = Counter()
+        for part in toxicity._counted(iter([batch])):
+            for r in part.to_pylist():
+                total[r["k"], "clean"] += r["clean"]
+                total[r["k"], "toxic"] += r["toxic"]
+        return total
+
+    whole = counts()
+    monkeypatch.setattr(toxicity, "COUNTED", 2)
+    assert counts() == whole and len(list(toxicity._counted(iter([batch])))) == 3
