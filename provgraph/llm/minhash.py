@@ -23,6 +23,8 @@ COORDINATES = 128
 MISS = 1e-6
 #: Documents and shingles of a block of a family, about.
 BLOCK_DOCS, BLOCK_SHINGLES = 256, 100_000
+#: Members of a block of a posting list, about.
+BLOCK_POSTS = 256
 #: Rounds in which a posting list compares one hub before its open pairs are listed.
 ROUNDS = 2
 
@@ -187,7 +189,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        the collisions of the two signatures are counted, and pairs with
        too few dropped.  What the others connect is a family.  Members of
        one family need no comparison; after some rounds with other hubs the
-       remaining pairs of a list, those between families, are all counted.
+       remaining pairs of a list, those between families, are all counted,
+       block against block, without a row for each.
        Families then hold every pair with enough collisions.
     4. The families' texts are fetched once.  Each family is cut into bounded
        blocks, and every pair of blocks compares the full shingle sets of its
@@ -243,20 +246,90 @@ def _families(scratch: Scratch, classes: DataFrame, matches: int) -> DataFrame:
             # The hub is first the smallest family's first member, then the largest's.
             hub = members.where(F.col("f") == F.col("high" if step % 2 else "low")).groupBy("token").agg(F.min("rep").alias("a"))
             found = members.join(hub, "token").where("rep != a").select("a", F.col("rep").alias("b"), "f", "low", "high")
-            found = found.where(F.col("f") != F.col("high" if step % 2 else "low"))
+            found = found.where(F.col("f") != F.col("high" if step % 2 else "low")).select("a", "b").distinct()
+            sa, sb = sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb"))
+            equal = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+            # Both lists grow with the corpus, so neither is broadcast at any size.
+            found = found.hint("merge").join(sa, "a").hint("merge").join(sb, "b").where(equal >= matches).select("a", "b")
         else:
-            found = members.join(members.select("token", F.col("rep").alias("a"), F.col("f").alias("fa")), "token").where("f != fa and a < rep").select("a", F.col("rep").alias("b"))
-        found = found.select("a", "b").distinct()
-        sa, sb = sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb"))
-        equal = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-        # Both lists grow with the corpus, so neither is broadcast at any size.
-        found = found.hint("merge").join(sa, "a").hint("merge").join(sb, "b").where(equal >= matches).select("a", "b")
+            found = _open_pairs(members.select("token", "rep", "f"), sigs, matches)
         pairs = scratch.save(pairs.union(found))
         families = connected_components(scratch, pairs).select(F.col("id").alias("rep"), F.col("component").alias("family"))
         pairs = families.select(F.col("rep").alias("a"), F.col("family").alias("b"))
     return families
 
 
+def _open_pairs(members: DataFrame, sigs: DataFrame, matches: int) -> DataFrame:
+    """(a, b) that connect the members of a list which have enough collisions, whatever the length of the list.
+
+    A list is cut into blocks of ``BLOCK_POSTS`` members and every pair of
+    blocks compared whole, with the signatures at hand: a member becomes one
+    row for each block of its list and no pair becomes a row.
+    """
+    size = members.groupBy("token").agg(F.ceil(F.count("*") / BLOCK_POSTS).cast("int").alias("blocks"))
+    cut = members.join(size, "token").withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    # Both lists grow with the corpus, so neither is broadcast at any size.
+    held = cut.hint("merge").join(sigs, "rep")
+    sides = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("mine", o).alias("i"), F.greatest("mine", o).alias("j")))
+    dealt = held.select("token", "rep", "f", "mine", "sig", F.explode(sides).alias("p")).select("token", "p.i", "p.j", "rep", "f", "mine", "sig")
+    dealt = dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "rep")
+    return dealt.mapInArrow(_collide(matches), "a long, b long").distinct()
+
+
+def _collide(matches: int):
+    """Rows sorted by list and pair of blocks: pairs that connect what all pairs with enough collisions connect."""
+
+    def compare(t: pa.Table, change: np.ndarray) -> pa.RecordBatch:
+        rep, f, mine = (t.column(c).to_numpy() for c in ("rep", "f", "mine"))
+        sig = t.column("sig").combine_chunks()
+        sig = (sig.chunk(0) if isinstance(sig, pa.ChunkedArray) else sig).flatten().to_numpy().reshape(t.num_rows, -1)
+        crossed = t.column("i").to_numpy() != t.column("j").to_numpy()
+        # The first row after each row's group.
+        end = np.repeat(np.append(change[1:], t.num_rows), np.diff(np.append(change, t.num_rows)))
+        label = np.arange(t.num_rows)
+        at, step = label, 1
+        while len(at := at[at + step < end[at]]):
+            x, y = at, at + step
+            # Members of a family need no comparison; blocks are compared with themselves once.
+            use = (f[x] != f[y]) & (~crossed[x] | (mine[x] != mine[y]))
+            x, y = x[use], y[use]
+            for k in range(0, len(x), 4096):
+                near = np.count_nonzero(sig[x[k : k + 4096]] == sig[y[k : k + 4096]], axis=1) >= matches
+                for u, v in zip(x[k : k + 4096][near].tolist(), y[k : k + 4096][near].tolist(), strict=True):
+                    while label[u] != u:
+                        u = label[u]
+                    while label[v] != v:
+                        v = label[v]
+                    label[max(u, v)] = min(u, v)
+            step += 1
+        tied = np.flatnonzero(label != np.arange(len(label)))
+        return pa.RecordBatch.from_arrays([pa.array(rep[label[tied]], pa.int64()), pa.array(rep[tied], pa.int64())], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            t = t if held is None else pa.concat_tables([held, t])
+            change = _starts(t)
+            if len(change):
+                # The last group may go on in the next batch.
+                if change[-1]:
+                    yield compare(t.slice(0, change[-1]).combine_chunks(), change[:-1])
+                held = t.slice(change[-1])
+        if held is not None and held.num_rows:
+            yield compare(held.combine_chunks(), np.array([0]))
+
+    return run
+
+
+def _starts(t: pa.Table) -> np.ndarray:
+    """First rows of the runs of one list and pair of blocks."""
+    if not t.num_rows:
+        return np.empty(0, np.int64)
+    cols = [t.column(c).to_numpy() for c in ("token", "i", "j")]
+    return np.flatnonzero(np.append(True, np.any([c[1:] != c[:-1] for c in cols], axis=0)))
+
+
 def _links(scratch: Scratch, texts: DataFrame, classes: DataFrame, families: DataFrame, width: int, percent: int) -> DataFrame:
     """(a, b) between class representatives: checked links that connect what all links connect."""
     of = scratch.save(families.join(classes.select("rep", "n"), "rep"))

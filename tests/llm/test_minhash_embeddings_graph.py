@@ -80,6 +80,48 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch, rounds):
     assert len(got) == len(data)
 
 
+def test_open_lists_make_no_row_for_each_pair(spark, monkeypatch):
+    """One list of texts that are all near each other: its links grow with its members, not with their pairs."""
+    monkeypatch.setattr(minhash, "ROUNDS", 0)
+    seen, inner = [], connected_components
+    monkeypatch.setattr(minhash, "connected_components", lambda scratch, edges, *a: (seen.append(edges.count()), inner(scratch, edges, *a))[1])
+    rng = random.Random(8)
+    base, n = words(rng, 400), 60
+    data = []
+    for i in range(n):
+        w = list(base)
+        w[rng.randrange(400)] = f"own{i}"
+        data.append((i, " ".join(w)))
+    got = near_duplicates(docs_frame(spark, data)).collect()
+    assert {r.component_id for r in got} == {0} and len(got) == n
+    assert seen[0] < n * (n - 1) / 2 / 2
+
+
+def test_pairs_of_open_lists_by_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    sig = rng.integers(0, 2, (90, 16)).astype(np.int8)
+    members = [(t, r, r if r % 5 else 0) for t in range(6) for r in range(t * 7, min(90, t * 7 + (1, 2, 3, 20, 40, 55)[t]))]
+    of = {}
+    for t, r, f in members:
+        of.setdefault(t, []).append((r, f))
+    links = [(a, b) for held in of.values() for a, fa in held for b, fb in held if a < b and fa != fb and (sig[a] == sig[b]).sum() >= 12]
+    ids = sorted({x for p in links for x in p})
+    want = _components(ids, links)
+    frame = spark.createDataFrame(members, "token long, rep long, f long").repartition(3)
+    sigs = spark.createDataFrame([(i, [int(x) for x in s]) for i, s in enumerate(sig)], "rep long, sig array<tinyint>")
+    for block in (4, 256):
+        monkeypatch.setattr(minhash, "BLOCK_POSTS", block)
+        got = minhash._open_pairs(frame, sigs, 12).collect()
+        assert _components(ids, [(r.a, r.b) for r in got]) == want
+        assert {(r.a, r.b) for r in got} and all(r.a in want and r.b in want for r in got)
+    assert len(got) < len(set(links))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert _components(ids, [(r.a, r.b) for r in minhash._open_pairs(frame, sigs, 12).collect()]) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_collisions_follow_the_threshold():
     for percent in range(1, 101):
         n, m = minhash.collisions(percent)
