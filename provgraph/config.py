@@ -28,10 +28,7 @@ class PipelineConfig:
     as_of: date = field(default_factory=date.today)
     # Decimal places used to make float boundaries deterministic (Q16, Q20, Q22).
     boundary_digits: int = 9
-    # Hash-partition the unified edges by (physician, company) before the
-    # monthly rollup: one exchange instead of two, but without the map-side
-    # partial aggregate, so a hot pair's edge rows land in one task.  Off by
-    # default (skew-safe); worth it only for data known to have no hot pair.
+    # Without effect: the rollup always deals the unified edges by (physician, company).
     copartition_rollup: bool = False
 
     @staticmethod

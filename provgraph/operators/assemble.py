@@ -78,7 +78,7 @@ def gather(affiliations: DataFrame, features: dict[str, DataFrame]) -> DataFrame
 def assemble(
     scored: DataFrame,
     pairs: DataFrame,
-    running_totals: DataFrame,
+    running_totals: DataFrame | None,
     patients_comm: DataFrame,
     patients_mcr: DataFrame,
     cfg: PipelineConfig,
@@ -87,7 +87,8 @@ def assemble(
 
     ``scored`` is the affiliation summary with decay, score and bucket
     columns (all 1:1 per affiliation), ``running_totals`` the physicians'
-    (:func:`shares.physician_running_totals`).  Medicare patients are keyed by
+    (:func:`shares.physician_running_totals`), none where ``scored`` has the
+    shares already.  Medicare patients are keyed by
     the raw physician string; only the canonical decimal form can equal
     ``CAST(npi AS STRING)``, so it is converted to the numeric key first.
     ``has_totals`` tells the affiliations that OP-13 has a row for.
@@ -95,7 +96,7 @@ def assemble(
     mcr = patients_mcr.select(
         canonical_long("physician_npi").alias("physician_npi"), "company_id", "patients_mcr"
     ).filter(F.col("physician_npi").isNotNull())
-    shared = with_claim_shares(scored, running_totals, "left")
+    shared = scored if running_totals is None else with_claim_shares(scored, running_totals, "left")
     gathered = gather(shared, {"in_directory": pairs.withColumn("in_directory", F.lit(True)), "patients_comm": patients_comm, "patients_mcr": mcr})
     return gathered.withColumns(
         {

@@ -7,8 +7,9 @@ so all edge lists of a source come out of a single dedup + aggregate.
 Commercial ids are resolved by two joins, one for the physician and one for
 the organisations of all roles.
 
-Each aggregate runs as partial (map-side) + final, so a physician with a huge
-share of the claims is collapsed on the map side before any shuffle.
+Claims are dealt once, by physician, organisation and month: the DISTINCT and
+the count find their rows there.  A physician or organisation with a huge share
+of the claims, blank ids included, is spread over its partners and months.
 """
 
 from __future__ import annotations
@@ -110,11 +111,12 @@ def commercial_edges_by_role(resolved: DataFrame, roles=tuple(COMMERCIAL_ROLES))
         commercial_roles(resolved, roles)
         .filter(_any_role(roles, "org_role", _commercial_role_predicate))
         .select("org_role", "claim_year", packed_date("service_to_date").alias("service_date"), "physician_npi", "org_npi", "dpid")
+        .withColumn("claim_month", claim_year_month("claim_year", "service_date"))
+        .repartition("physician_npi", "org_npi", "claim_month")
         .dropDuplicates()
     )
-    month = claim_year_month("claim_year", "service_date").alias("claim_month")
     return (
-        visits.groupBy("org_role", "physician_npi", "claim_year", month, "org_npi")
+        visits.groupBy("org_role", "physician_npi", "claim_year", "claim_month", "org_npi")
         .agg(
             F.count(F.lit(1)).alias("claims"),
             F.min("service_date").alias("min_service_to_date"),
@@ -159,13 +161,13 @@ def selected_claims(claims: DataFrame, available: DataFrame, cfg: PipelineConfig
 
 
 def medicare_claim_grain(claims: DataFrame) -> DataFrame:
-    """The distinct Medicare claims, ids without the trailing blanks that comparisons ignore.
+    """The Medicare claims, ids without the trailing blanks that comparisons ignore.
 
-    Claim type and vintage are part of the DISTINCT, which is what DISTINCT
-    inside each per-type branch followed by UNION ALL gives (Q5).
+    Repeated claims are left to the consumers: the events have a DISTINCT of
+    their own, the patients are counted distinct.
     """
     ids = ["org_npi_num", *MEDICARE_ROLES.values()]
-    return claims.select("vintage", "claim_type", "clm_thru_dt", "desy_sort_key", *[unpadded(c).alias(c) for c in ids]).dropDuplicates()
+    return claims.select("vintage", "claim_type", "clm_thru_dt", "desy_sort_key", *[unpadded(c).alias(c) for c in ids])
 
 
 def _medicare_role_predicate(role: str) -> Column:
@@ -181,7 +183,12 @@ def _medicare_role_predicate(role: str) -> Column:
 
 
 def medicare_events(grain: DataFrame, roles: tuple[str, ...] = tuple(MEDICARE_ROLES)) -> DataFrame:
-    """OP-04: normalised, de-duplicated claim events per role, from :func:`medicare_claim_grain`."""
+    """OP-04: normalised, de-duplicated claim events per role with their month, from :func:`medicare_claim_grain`.
+
+    Claim type and vintage are part of the DISTINCT, which is what DISTINCT
+    inside each per-type branch followed by UNION ALL gives (Q5).  The rows
+    stay where :func:`medicare_edges_by_role` counts them.
+    """
     # The organisation id is the same for every role: cast and test it once
     # per claim, before the rows are multiplied by the role expansion.
     base = grain.withColumn("org_npi", tsql_int("org_npi_num")).filter(F.col("org_npi").isNotNull())
@@ -196,7 +203,9 @@ def medicare_events(grain: DataFrame, roles: tuple[str, ...] = tuple(MEDICARE_RO
             tsql_int("npi_raw").alias("physician_npi"),
             "org_npi",
             F.col("desy_sort_key").alias("patient"),
+            month_start("clm_thru_dt").alias("claim_month"),
         )
+        .repartition("physician_npi", "org_npi", "claim_month")
         .dropDuplicates()
     )
 
@@ -209,7 +218,7 @@ def medicare_edges_by_role(events: DataFrame) -> DataFrame:
     NPI 0 and org 0; operating and rendering edges keep them (Q6).
     """
     edges = events.groupBy(
-        "role", "physician_npi", "vintage", month_start("service_to_date").alias("claim_month"), "org_npi"
+        "role", "physician_npi", "vintage", "claim_month", "org_npi"
     ).agg(
         F.count(F.lit(1)).alias("claims"),
         F.min("service_to_date").alias("min_service_to_date"),

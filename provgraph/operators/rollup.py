@@ -2,10 +2,11 @@
 
 Plan shape: the five edge lists are unioned first, so the physician whitelist
 and the crosswalk are each joined once (joins distribute over UNION ALL).
-The monthly ``groupBy(npi, company, month)`` runs partial + final; the LAG
-window then needs (npi, company) clustering and the summary ``groupBy(npi,
-company)`` reuses that partitioning without another exchange.  Companies are
-joined after the summary, on the smallest intermediate.
+The unified edges are dealt once, by (npi, company): the monthly ``groupBy``,
+the LAG window and the summary find their rows there.  Edges are counted by
+role, vintage and month already, so a pair has at most a few for each month and
+organisation of its company.  Companies are joined after the summary, on the
+smallest intermediate.
 """
 
 from __future__ import annotations
@@ -97,10 +98,9 @@ def monthly_rollup(unified: DataFrame, claim_availability: DataFrame, cfg: Pipel
     """
     max_claim_date = claim_availability.select(F.max("claim_date")).scalar()
     month = F.col("claim_month")
-    if cfg.copartition_rollup:
-        unified = unified.repartition("physician_npi", "company_id")
     monthly = (
         unified.filter((month >= F.lit(cfg.min_claim_month)) & (month <= max_claim_date))
+        .repartition("physician_npi", "company_id")
         .groupBy("physician_npi", "company_id", "claim_month")
         .agg(
             F.min("min_service_to_date").alias("min_date"),

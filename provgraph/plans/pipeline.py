@@ -7,9 +7,9 @@ them on its own (as a single registered query does) writes it then.  A run that
 publishes (:func:`run_and_publish`) also writes every result, straight to the
 published folder: later stages read it there, and no stage is computed twice.
 
-- ``commercial_grain``, ``medicare_grain``: the claims of a source, scanned once
-  for edges, totals and patients (commercial: by organisation role, ids
-  resolved; Medicare: distinct);
+- ``commercial_grain``: the commercial claims by organisation role, ids
+  resolved, scanned once for edges, totals and patients (the Medicare claims
+  need no such table: edges and patients scan them);
 - ``medicare_edges``: read by the rollup and by the Medicare totals;
 - ``affiliations``: the affiliation summary, read by decay, score, shares and
   assembly; the bounds of the scores are observed while it is written;
@@ -40,7 +40,7 @@ from provgraph.sources.tables import Sources
 
 
 #: Stages that are written, in the order of their dependencies.
-WRITTEN = ("commercial_grain", "medicare_grain", "medicare_edges", "affiliations", "dates", "assembled")
+WRITTEN = ("commercial_grain", "medicare_edges", "affiliations", "dates", "assembled")
 #: Result tables that a full run publishes (OP-32): name, stage, and the part of a stage that holds several tables.
 RESULTS: dict[str, tuple[str, str | None]] = {
     "commercial_billing_edges": ("commercial_edges", "org_role=billing"),
@@ -65,7 +65,7 @@ RESULTS: dict[str, tuple[str, str | None]] = {
 }
 #: Stages that a publishing run writes, each once, in the order of their dependencies.
 PUBLISHED = (
-    "commercial_grain", "commercial_edges", "medicare_grain", "medicare_edges", "affiliations", "totals_commercial", "totals_medicare",
+    "commercial_grain", "commercial_edges", "medicare_edges", "affiliations", "totals_commercial", "totals_medicare",
     "patients_commercial", "crosswalk_zero_filled", "patients_medicare", "hospital_affiliations", "group_affiliations",
     "surgery_center_affiliations", "imaging_center_affiliations", "dates", "scored", "decay", "scores", "assembled", "shares", "final",
 )
@@ -129,7 +129,7 @@ class AffiliationPipeline:
     @cached_property
     def medicare_grain(self) -> DataFrame:
         used = edges.selected_claims(self.src.medicare_claims, self.medicare_files, self.cfg)
-        return self._stage(edges.medicare_claim_grain(used), "medicare_grain")
+        return edges.medicare_claim_grain(used)
 
     @cached_property
     def medicare_events(self) -> DataFrame:
@@ -225,8 +225,12 @@ class AffiliationPipeline:
     @cached_property
     def scored(self) -> DataFrame:
         """Affiliation summary + score + bucket + decay (all 1:1 per affiliation)."""
-        bucketed = scoring.with_score_bucket(scoring.with_score(self.affiliations), self.cfg, self.score_bounds)
-        return self._stage(dec.with_decay(bucketed, self.dates, self.cfg), "scored")
+        return self._stage(self._with_score_and_decay(self.affiliations), "scored")
+
+    def _with_score_and_decay(self, rows: DataFrame) -> DataFrame:
+        bounds = self.score_bounds
+        bucketed = scoring.with_score_bucket(scoring.with_score(rows), self.cfg, bounds)
+        return dec.with_decay(bucketed, self.dates, self.cfg)
 
     @cached_property
     def decay(self) -> DataFrame:
@@ -244,7 +248,12 @@ class AffiliationPipeline:
     @cached_property
     def assembled(self) -> DataFrame:
         running = shares.physician_running_totals(self.totals_commercial, self.totals_medicare)
-        out = asm.assemble(self.scored, self.other_source_pairs, running, self.patients_commercial, self.patients_medicare, self.cfg)
+        if "scored" in self.written:
+            scored = self.scored
+        else:
+            # Scores and decay follow the join: their exchange carries the affiliations alone.
+            scored, running = self._with_score_and_decay(shares.with_claim_shares(self.affiliations, running, "left")), None
+        out = asm.assemble(scored, self.other_source_pairs, running, self.patients_commercial, self.patients_medicare, self.cfg)
         return self._stage(out, "assembled")
 
     @cached_property

@@ -143,3 +143,32 @@ def test_claim_shares_by_definition(spark):
     )
     got = [(*r[:2], *(round(x, 9) for x in r[2:])) for r in rows_of(claim_shares(df, *frames), "physician_npi", "company_id", "pct_claims", "pct_claims_mcr", "pct_claims_comm")]
     assert got == sorted(want)
+
+
+def _pipe_without(spark, *stages):
+    return AffiliationPipeline(spark, load_testdata(spark, SF0001), PipelineConfig.for_testdata(), Materializer(spark), tuple(w for w in WRITTEN if w not in stages))
+
+
+def test_medicare_claims_are_exchanged_once_for_their_edges(spark, no_broadcast):
+    plan = _plan(_pipe_without(spark, "medicare_grain", "medicare_edges").medicare_edges)
+    leaves = [i for i, line in enumerate(plan) if "FileScan" in line and "desy_sort_key" in line]
+    above = _exchanges_above(plan, leaves[0])
+    assert len(leaves) == 1 and len(above) == 1 and above[0].startswith("Exchange hashpartitioning(physician_npi"), above
+
+
+def test_unified_edges_are_exchanged_once_for_months_and_summary(spark, no_broadcast):
+    plan = _plan(_pipe_without(spark, "affiliations").affiliations)
+    dealt = [line for line in plan if "Exchange hashpartitioning(physician_npi" in line and "company_id" in line]
+    assert len(dealt) == 1 and "claim_month" not in dealt[0].split("]")[0].split(")")[0], dealt
+
+
+def test_the_months_of_an_affiliation_are_computed_once(spark):
+    dates = ", ".join(f"{e}_date_{s} date" for s in ("comm", "mcr") for e in ("min", "max"))
+    affiliations = spark.createDataFrame([], f"physician_npi long, company_id long, {dates}, comm_claims long, mcr_claims long")
+    totals = [spark.createDataFrame([], f"physician_npi long, claim_month date, physician_total_claims_{s} long") for s in ("comm", "mcr")]
+    # Scans of files, so that the optimizer keeps the plan of empty tables.
+    folder = Materializer(spark)
+    frames = [folder(df, f"t{i}") for i, df in enumerate([affiliations, *totals])]
+    plan = claim_shares(*frames)._jdf.queryExecution().optimizedPlan().toString()
+    # One for each of the four dates and one for each source's totals.
+    assert 4 <= plan.count("year(") <= 6, plan.count("year(")
