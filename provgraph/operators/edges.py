@@ -39,6 +39,16 @@ def expand_roles(df: DataFrame, roles: dict[str, dict[str, str]], role_col: str)
     return df.select("*", F.inline(F.array(*rows)))
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows dealt by physician, organisation and month, over all shuffle partitions.
+
+    The DISTINCT and the count that follow hold their rows in hash tables of one
+    task, so the partitions are not coalesced by their small packed size.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, "physician_npi", "org_npi", "claim_month")
+
+
 def _any_role(roles, role_col: str, predicate) -> Column:
     keep = None
     for r in roles:
@@ -112,9 +122,8 @@ def commercial_edges_by_role(resolved: DataFrame, roles=tuple(COMMERCIAL_ROLES))
         .filter(_any_role(roles, "org_role", _commercial_role_predicate))
         .select("org_role", "claim_year", packed_date("service_to_date").alias("service_date"), "physician_npi", "org_npi", "dpid")
         .withColumn("claim_month", claim_year_month("claim_year", "service_date"))
-        .repartition("physician_npi", "org_npi", "claim_month")
-        .dropDuplicates()
     )
+    visits = _dealt(visits).dropDuplicates()
     return (
         visits.groupBy("org_role", "physician_npi", "claim_year", "claim_month", "org_npi")
         .agg(
@@ -193,7 +202,7 @@ def medicare_events(grain: DataFrame, roles: tuple[str, ...] = tuple(MEDICARE_RO
     # per claim, before the rows are multiplied by the role expansion.
     base = grain.withColumn("org_npi", tsql_int("org_npi_num")).filter(F.col("org_npi").isNotNull())
     expanded = expand_roles(base, {r: {"npi_raw": MEDICARE_ROLES[r]} for r in roles}, "role")
-    return (
+    events = (
         expanded.filter(_any_role(roles, "role", _medicare_role_predicate))
         .select(
             "role",
@@ -205,9 +214,8 @@ def medicare_events(grain: DataFrame, roles: tuple[str, ...] = tuple(MEDICARE_RO
             F.col("desy_sort_key").alias("patient"),
             month_start("clm_thru_dt").alias("claim_month"),
         )
-        .repartition("physician_npi", "org_npi", "claim_month")
-        .dropDuplicates()
     )
+    return _dealt(events).dropDuplicates()
 
 
 def medicare_edges_by_role(events: DataFrame) -> DataFrame:

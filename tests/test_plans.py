@@ -154,6 +154,8 @@ def test_medicare_claims_are_exchanged_once_for_their_edges(spark, no_broadcast)
     leaves = [i for i, line in enumerate(plan) if "FileScan" in line and "desy_sort_key" in line]
     above = _exchanges_above(plan, leaves[0])
     assert len(leaves) == 1 and len(above) == 1 and above[0].startswith("Exchange hashpartitioning(physician_npi"), above
+    # Not coalesced: the hash tables of the DISTINCT and of the count are in one task.
+    assert "REPARTITION_BY_NUM" in above[0]
 
 
 def test_unified_edges_are_exchanged_once_for_months_and_summary(spark, no_broadcast):
