@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from provgraph.config import PipelineConfig
-from provgraph.functions.dialect import canonical_long
-from provgraph.operators.rollup import SUMMARY_COLUMNS
+from provgraph.functions.dialect import canonical_long, rounded
+from provgraph.operators.rollup import FEATURES, SUMMARY_COLUMNS
 from provgraph.operators.shares import with_claim_shares
 
 ASSEMBLED_COLUMNS = SUMMARY_COLUMNS + [
@@ -52,18 +52,34 @@ def other_source_flag(in_directory: str):
 
 def current_flag(remaining: str, cfg: PipelineConfig):
     """OP-27: 1 when the remaining value (rounded, Q16) reaches the threshold."""
-    v = F.round(F.col(remaining), cfg.boundary_digits)
+    v = rounded(remaining, cfg.boundary_digits)
     return F.when(v >= cfg.current_threshold, 1).otherwise(0)
 
 
 def firm_type_rank(score: str, cfg: PipelineConfig):
     """OP-28: ROW_NUMBER per (physician, firm type) by score, ties by company id (Q22)."""
     w = Window.partitionBy("physician_npi", "firm_type").orderBy(
-        F.round(F.col(score), cfg.boundary_digits).desc(), F.col("company_id")
+        rounded(score, cfg.boundary_digits).desc(), F.col("company_id")
     )
     return F.row_number().over(w)
 
 
+def feature_rows(pairs: DataFrame, patients_comm: DataFrame, patients_mcr: DataFrame) -> DataFrame:
+    """The directory pairs and patient counts as rows (physician, company, one of :data:`rollup.FEATURES`).
+
+    The rollup takes them along with the edges (:func:`rollup.unify_edges`).
+    """
+    by_column = {"in_directory": pairs.withColumn("in_directory", F.lit(True)), "patients_comm": patients_comm, "patients_mcr": _numeric_physicians(patients_mcr)}
+    nulls = {c: F.lit(None).cast(t).alias(c) for c, t in FEATURES.items()}
+    return reduce(DataFrame.unionByName, [df.select(*KEY, *[F.col(c) if c == name else nulls[c] for c in FEATURES]) for name, df in by_column.items()])
+
+
+def _numeric_physicians(patients_mcr: DataFrame) -> DataFrame:
+    """Medicare patients by the numeric physician id; raw strings that are no number's canonical form drop out."""
+    numeric = patients_mcr.select(canonical_long("physician_npi").alias("physician_npi"), "company_id", "patients_mcr")
+    return numeric.filter(F.col("physician_npi").isNotNull())
+
+
 def gather(affiliations: DataFrame, features: dict[str, DataFrame]) -> DataFrame:
     """Left join ``affiliations`` with frames that have one row per (physician, company) and one column, named by the key of ``features``.
 
@@ -77,10 +93,10 @@ def gather(affiliations: DataFrame, features: dict[str, DataFrame]) -> DataFrame
 
 def assemble(
     scored: DataFrame,
-    pairs: DataFrame,
+    pairs: DataFrame | None,
     running_totals: DataFrame | None,
-    patients_comm: DataFrame,
-    patients_mcr: DataFrame,
+    patients_comm: DataFrame | None,
+    patients_mcr: DataFrame | None,
     cfg: PipelineConfig,
 ) -> DataFrame:
     """OP-25: affiliation summary + flags, score, decay, shares and patients.
@@ -92,19 +108,20 @@ def assemble(
     the raw physician string; only the canonical decimal form can equal
     ``CAST(npi AS STRING)``, so it is converted to the numeric key first.
     ``has_totals`` tells the affiliations that OP-13 has a row for.
+    No ``pairs``: the rollup has brought the features (:func:`feature_rows`);
+    the bucket may then follow, when the bounds of the scores are known.
     """
-    mcr = patients_mcr.select(
-        canonical_long("physician_npi").alias("physician_npi"), "company_id", "patients_mcr"
-    ).filter(F.col("physician_npi").isNotNull())
-    shared = scored if running_totals is None else with_claim_shares(scored, running_totals, "left")
-    gathered = gather(shared, {"in_directory": pairs.withColumn("in_directory", F.lit(True)), "patients_comm": patients_comm, "patients_mcr": mcr})
+    gathered = scored if running_totals is None else with_claim_shares(scored, running_totals, "left")
+    if pairs is not None:
+        gathered = gather(gathered, {"in_directory": pairs.withColumn("in_directory", F.lit(True)), "patients_comm": patients_comm, "patients_mcr": _numeric_physicians(patients_mcr)})
+    if "firm_type_rank" not in gathered.columns:
+        gathered = gathered.withColumn("firm_type_rank", firm_type_rank("score", cfg))
     return gathered.withColumns(
         {
             "other_source_flag": other_source_flag("in_directory"),
             "current_flag": current_flag("current_decay_remaining_val", cfg),
-            "firm_type_rank": firm_type_rank("score", cfg),
         }
-    ).select(*ASSEMBLED_COLUMNS, "has_totals")
+    ).select(*[c for c in ASSEMBLED_COLUMNS if c != "score_bucket" or c in gathered.columns], "has_totals")
 
 
 def directory_only_rows(assembled: DataFrame, hospital_affils: DataFrame, group_affils: DataFrame) -> DataFrame:

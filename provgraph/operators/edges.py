@@ -120,7 +120,8 @@ def commercial_edges_by_role(resolved: DataFrame, roles=tuple(COMMERCIAL_ROLES))
     visits = (
         commercial_roles(resolved, roles)
         .filter(_any_role(roles, "org_role", _commercial_role_predicate))
-        .select("org_role", "claim_year", packed_date("service_to_date").alias("service_date"), "physician_npi", "org_npi", "dpid")
+        # From a generator, so that the dates are parsed once: later filters on the month would repeat the expression.
+        .select("org_role", "claim_year", "physician_npi", "org_npi", "dpid", F.inline(F.array(F.struct(packed_date("service_to_date").alias("service_date")))))
         .withColumn("claim_month", claim_year_month("claim_year", "service_date"))
     )
     visits = _dealt(visits).dropDuplicates()
@@ -183,7 +184,7 @@ def _medicare_role_predicate(role: str) -> Column:
     npi_raw, org_raw = F.col("npi_raw"), F.col("org_npi_num")
     # All comparisons are on the raw strings, before the cast (Q7); a NULL
     # attending / operating id compares as '0'.
-    p = tsql_int(npi_raw).isNotNull() & (npi_raw != org_raw)
+    p = npi_raw != org_raw
     if role in ("operating", "rendering"):
         p = p & (npi_raw != F.coalesce(F.col("at_physn_npi"), F.lit("0")))
     if role == "rendering":
@@ -204,12 +205,14 @@ def medicare_events(grain: DataFrame, roles: tuple[str, ...] = tuple(MEDICARE_RO
     expanded = expand_roles(base, {r: {"npi_raw": MEDICARE_ROLES[r]} for r in roles}, "role")
     events = (
         expanded.filter(_any_role(roles, "role", _medicare_role_predicate))
+        .withColumn("physician_npi", tsql_int("npi_raw"))
+        .filter(F.col("physician_npi").isNotNull())
         .select(
             "role",
             "vintage",
             "claim_type",
             F.col("clm_thru_dt").alias("service_to_date"),
-            tsql_int("npi_raw").alias("physician_npi"),
+            "physician_npi",
             "org_npi",
             F.col("desy_sort_key").alias("patient"),
             month_start("clm_thru_dt").alias("claim_month"),

@@ -32,6 +32,9 @@ UNIFIED_COLUMNS = [
     "max_date_mcr",
 ]
 
+#: What the assembly adds by (physician, company), as columns that rows of their own may bring along with the edges.
+FEATURES = {"in_directory": "boolean", "patients_comm": "long", "patients_mcr": "long"}
+
 SUMMARY_COLUMNS = [
     "physician_npi",
     "company_id",
@@ -56,13 +59,25 @@ SUMMARY_COLUMNS = [
 
 
 def unify_edges(
-    commercial_edges: DataFrame, medicare_edges: DataFrame, physicians: DataFrame, crosswalk: DataFrame
+    commercial_edges: DataFrame,
+    medicare_edges: DataFrame,
+    physicians: DataFrame,
+    crosswalk: DataFrame,
+    by_physician: bool = False,
+    features: DataFrame | None = None,
 ) -> DataFrame:
     """OP-08: all edge lists in one shape, physicians whitelisted, orgs resolved to companies.
 
     ``commercial_edges`` / ``medicare_edges`` carry :data:`EDGE_COLUMNS` (any
     extra role column is ignored).  Commercial measures are zero and its dates
     NULL on Medicare rows and vice versa.
+
+    ``by_physician``: organisations are resolved first, then the rows are dealt
+    by physician, narrow as they are, for the whitelist and all that follows
+    (months, summary, totals, rank).  Blank ids (NPI 0), the one id that any
+    number of claims can share, are dropped before unless they are on the list.
+    ``features``: rows (physician, company, :data:`FEATURES`) without a month,
+    dealt with the edges, so that no join by both keys has to bring them.
     """
     edges = commercial_edges.select(F.lit(True).alias("is_comm"), *EDGE_COLUMNS).unionByName(
         medicare_edges.select(F.lit(False).alias("is_comm"), *EDGE_COLUMNS)
@@ -70,10 +85,17 @@ def unify_edges(
     whitelist = physicians.select(F.col("npi").alias("physician_npi"))
     companies_of = crosswalk.select(F.col("npi").alias("org_npi"), "company_id")
     comm = F.col("is_comm")
+    brought: list[str] = []
+    if by_physician:
+        blank_listed = physicians.select(F.coalesce(F.max(F.col("npi") == 0), F.lit(False))).scalar()
+        rows = edges.filter((F.col("physician_npi") != 0) | blank_listed).join(companies_of, "org_npi").drop("org_npi")
+        if features is not None:
+            rows, brought = rows.unionByName(features, allowMissingColumns=True), list(FEATURES)
+        resolved = rows.repartition("physician_npi").join(whitelist, "physician_npi")
+    else:
+        resolved = edges.join(whitelist, "physician_npi").join(companies_of, "org_npi")
     return (
-        edges.join(whitelist, "physician_npi")
-        .join(companies_of, "org_npi")
-        .select(
+        resolved.select(
             "physician_npi",
             "company_id",
             "claim_month",
@@ -85,22 +107,32 @@ def unify_edges(
             F.when(~comm, F.col("min_service_to_date")).alias("min_date_mcr"),
             F.when(comm, F.col("max_service_to_date")).alias("max_date_comm"),
             F.when(~comm, F.col("max_service_to_date")).alias("max_date_mcr"),
+            *brought,
         )
     )
 
 
-def monthly_rollup(unified: DataFrame, claim_availability: DataFrame, cfg: PipelineConfig) -> DataFrame:
+def _features_of(df: DataFrame) -> list[str]:
+    return [c for c in FEATURES if c in df.columns]
+
+
+def monthly_rollup(unified: DataFrame, claim_availability: DataFrame, cfg: PipelineConfig, by_physician: bool = False) -> DataFrame:
     """OP-09: one row per (physician, company, month) with the gap to the previous month.
 
     Months are kept from ``cfg.min_claim_month`` up to the latest available
     claim date of any analysis type (Q9); the bound is a scalar subquery, not
-    a driver round trip.
+    a driver round trip.  ``by_physician``: ``unified`` is dealt already.
+    Features of a pair (:func:`unify_edges`) stay a row without a month.
     """
     max_claim_date = claim_availability.select(F.max("claim_date")).scalar()
     month = F.col("claim_month")
+    features = _features_of(unified)
+    kept = (month >= F.lit(cfg.min_claim_month)) & (month <= max_claim_date)
+    for c in features:
+        kept = kept | F.col(c).isNotNull()
+    rows = unified.filter(kept)
     monthly = (
-        unified.filter((month >= F.lit(cfg.min_claim_month)) & (month <= max_claim_date))
-        .repartition("physician_npi", "company_id")
+        (rows if by_physician else rows.repartition("physician_npi", "company_id"))
         .groupBy("physician_npi", "company_id", "claim_month")
         .agg(
             F.min("min_service_to_date").alias("min_date"),
@@ -111,6 +143,7 @@ def monthly_rollup(unified: DataFrame, claim_availability: DataFrame, cfg: Pipel
             F.max("max_date_mcr").alias("max_date_mcr"),
             F.sum("commercial_claims").alias("commercial_claims"),
             F.sum("medicare_claims").alias("medicare_claims"),
+            *[F.max(c).alias(c) for c in features],
         )
     )
     w = Window.partitionBy("physician_npi", "company_id").orderBy("claim_month")
@@ -125,9 +158,10 @@ def affiliation_summary(monthly: DataFrame, companies: DataFrame) -> DataFrame:
     Rows of ``monthly`` are unique per (physician, company, month), so the
     three distinct month counts of the original are plain (conditional)
     counts.  Companies must be keyed by ``hospital_id`` (as the company
-    dimension is); the join then keeps one row per affiliation.
+    dimension is); the join then keeps one row per affiliation.  Features are
+    taken over; a pair that has nothing else is no affiliation.
     """
-    month = F.col("claim_month")
+    month, features = F.col("claim_month"), _features_of(monthly)
     summary = monthly.groupBy("physician_npi", "company_id").agg(
         F.min("min_date").alias("min_date"),
         F.max("max_date").alias("max_date"),
@@ -144,6 +178,9 @@ def affiliation_summary(monthly: DataFrame, companies: DataFrame) -> DataFrame:
         (month_diff(F.max(month), F.min(month)) + 1).cast("long").alias("months_denom"),
         F.sum("commercial_claims").alias("comm_claims"),
         F.sum("medicare_claims").alias("mcr_claims"),
+        *[F.max(c).alias(c) for c in features],
     )
+    if features:
+        summary = summary.filter(F.col("months") > 0)
     names = companies.select(F.col("hospital_id").alias("company_id"), "hospital_name", "firm_type")
-    return summary.join(names, "company_id").select(*SUMMARY_COLUMNS)
+    return summary.join(names, "company_id").select(*SUMMARY_COLUMNS, *features)

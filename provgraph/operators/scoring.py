@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from provgraph.config import PipelineConfig
-from provgraph.functions.dialect import month_diff
+from provgraph.functions.dialect import month_diff, rounded
 
 SCORE_PARTS = ["log_pct_months_mcr", "log_pct_months_comm", "log_months", "log_claims", "log_avg_month_lag"]
 
@@ -41,8 +41,11 @@ def with_score(affiliations: DataFrame) -> DataFrame:
 
 def observe_score(affiliations: DataFrame, seen: Observation) -> DataFrame:
     """The same rows; ``seen`` gets the least (``lo``) and greatest (``hi``) score while they are written."""
-    observed = with_score(affiliations).observe(seen, F.min("score").alias("lo"), F.max("score").alias("hi"))
-    return observed.select(*affiliations.columns)
+    return observe_bounds(with_score(affiliations), seen).select(*affiliations.columns)
+
+
+def observe_bounds(scored: DataFrame, seen: Observation) -> DataFrame:
+    return scored.observe(seen, F.min("score").alias("lo"), F.max("score").alias("hi"))
 
 
 def equal_width_bucket(df: DataFrame, value: str, n: int, digits: int, bounds: Column | None = None) -> DataFrame:
@@ -58,7 +61,7 @@ def equal_width_bucket(df: DataFrame, value: str, n: int, digits: int, bounds: C
         bounds = df.select(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
     lo, hi = F.col("_bounds.lo"), F.col("_bounds.hi")
     width = (hi - lo) / F.lit(float(n))
-    raw = F.ceil(F.round(F.try_divide(F.col(value) - lo, width), digits)).cast("long")
+    raw = F.ceil(rounded(F.try_divide(F.col(value) - lo, width), digits)).cast("long")
     one = F.lit(1).cast("long")
     bucket = F.when(F.col(value).isNull(), F.lit(None).cast("long")).when(width == 0, one).when(raw < 1, one).otherwise(raw)
     return df.withColumn("_bounds", bounds).withColumn("score_bucket", bucket).drop("_bounds")

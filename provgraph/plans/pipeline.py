@@ -41,6 +41,9 @@ from provgraph.sources.tables import Sources
 
 #: Stages that are written, in the order of their dependencies.
 WRITTEN = ("commercial_grain", "medicare_edges", "affiliations", "dates", "assembled")
+#: The same where nothing but the assembly reads the affiliations: they go from the edges to the
+#: assembled table in the places they were dealt to, and the bounds of the scores are observed there.
+FUSED = ("commercial_grain", "medicare_edges", "dates", "assembled")
 #: Result tables that a full run publishes (OP-32): name, stage, and the part of a stage that holds several tables.
 RESULTS: dict[str, tuple[str, str | None]] = {
     "commercial_billing_edges": ("commercial_edges", "org_role=billing"),
@@ -79,12 +82,14 @@ class AffiliationPipeline:
         cfg: PipelineConfig,
         materialize: Materializer | None = None,
         written: tuple[str, ...] = WRITTEN,
+        by_physician: bool = False,
     ):
         self.spark = spark
         self.src = sources
         self.cfg = cfg
         self.materialize = materialize if materialize is not None else Materializer(spark)
         self.written = written
+        self.by_physician = by_physician
 
     def check_inputs(self) -> None:
         """Company ids must be a key: a repeated one would silently multiply affiliations (Q8)."""
@@ -143,11 +148,17 @@ class AffiliationPipeline:
     # ------------------------------------------------------------------ step 2: combine
     @cached_property
     def unified_edges(self) -> DataFrame:
-        return rollup.unify_edges(self.commercial_edges, self.medicare_edges, self.src.physicians, self.src.crosswalk)
+        return self._unified()
+
+    def _unified(self, features: DataFrame | None = None) -> DataFrame:
+        return rollup.unify_edges(self.commercial_edges, self.medicare_edges, self.src.physicians, self.src.crosswalk, self.by_physician, features)
+
+    def _monthly(self, unified: DataFrame) -> DataFrame:
+        return rollup.monthly_rollup(unified, self.src.claim_availability, self.cfg, self.by_physician)
 
     @cached_property
     def monthly(self) -> DataFrame:
-        return rollup.monthly_rollup(self.unified_edges, self.src.claim_availability, self.cfg)
+        return self._monthly(self.unified_edges)
 
     @cached_property
     def affiliations(self) -> DataFrame:
@@ -248,6 +259,8 @@ class AffiliationPipeline:
     @cached_property
     def assembled(self) -> DataFrame:
         running = shares.physician_running_totals(self.totals_commercial, self.totals_medicare)
+        if self.by_physician and "affiliations" not in self.written:
+            return self._assembled_in_place(running)
         if "scored" in self.written:
             scored = self.scored
         else:
@@ -256,6 +269,20 @@ class AffiliationPipeline:
         out = asm.assemble(scored, self.other_source_pairs, running, self.patients_commercial, self.patients_medicare, self.cfg)
         return self._stage(out, "assembled")
 
+    def _assembled_in_place(self, running: DataFrame) -> DataFrame:
+        """From the edges to the assembled rows, all dealt once, by physician; the buckets follow when the scores' bounds are known."""
+        features = asm.feature_rows(self.other_source_pairs, self.patients_commercial, self.patients_medicare)
+        summary = rollup.affiliation_summary(self._monthly(self._unified(features)), self.src.companies)
+        # Score, shares and decay have a sort between each other: one method of generated code for all of them is too long to be compiled.
+        scored = shares.with_claim_shares(scoring.with_score(summary), running, "left")
+        ranked = scored.withColumn("firm_type_rank", asm.firm_type_rank("score", self.cfg))
+        out = asm.assemble(dec.with_decay(ranked, self.dates, self.cfg), None, None, None, None, self.cfg)
+        bounds = Observation() if self.materialize.enabled and "assembled" in self.written else None
+        if bounds is not None:
+            out = scoring.observe_bounds(out, bounds)
+        bucketed = scoring.with_score_bucket(self._stage(out, "assembled"), self.cfg, bounds)
+        return bucketed.select(*asm.ASSEMBLED_COLUMNS, "has_totals")
+
     @cached_property
     def directory_only(self) -> DataFrame:
         return asm.directory_only_rows(self.assembled, self.hospital_affiliations, self.group_affiliations)

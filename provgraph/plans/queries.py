@@ -14,16 +14,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from provgraph.config import PipelineConfig
+from provgraph.functions.dialect import rounded
 from provgraph.operators import edges as E
 from provgraph.plans.columns import COMPARE_DIGITS, column_type
 from provgraph.plans.oracle import QUERIES as ORACLE_QUERIES
-from provgraph.plans.pipeline import AffiliationPipeline
+from provgraph.plans.pipeline import FUSED, AffiliationPipeline
 from provgraph.sources.adapter import load_testdata
 
 
-def pipeline_for(spark: SparkSession, sf_dir: str, cfg: PipelineConfig | None = None) -> AffiliationPipeline:
+def pipeline_for(spark: SparkSession, sf_dir: str, cfg: PipelineConfig | None = None, key: str | None = None) -> AffiliationPipeline:
+    """``key``: the query that alone is asked for; only what it reads several times is written then."""
     cfg = cfg or PipelineConfig.for_testdata()
-    return AffiliationPipeline(spark, load_testdata(spark, sf_dir), cfg)
+    if key not in READ_AGAIN:
+        return AffiliationPipeline(spark, load_testdata(spark, sf_dir), cfg)
+    sources = load_testdata(spark, sf_dir, read_once=("commercial_claims",))
+    return AffiliationPipeline(spark, sources, cfg, written=READ_AGAIN[key], by_physician=True)
 
 
 def _typed(query: str, df: DataFrame, cols: list[str]) -> DataFrame:
@@ -32,7 +37,7 @@ def _typed(query: str, df: DataFrame, cols: list[str]) -> DataFrame:
         t = column_type(query, c)
         e = F.col(c).cast(t)
         if t == "double":
-            e = F.round(e, COMPARE_DIGITS)
+            e = rounded(e, COMPARE_DIGITS)
         out.append(e.alias(c))
     return df.select(*out)
 
@@ -73,6 +78,18 @@ STAGES: dict[str, Callable[[AffiliationPipeline], DataFrame]] = {
     "final_affiliations": lambda p: p.final,
 }
 
+# Queries on affiliations -> stages that they read several times.  The others are computed where they are used.
+READ_AGAIN: dict[str, tuple[str, ...]] = {
+    **dict.fromkeys(("monthly_rollup", "affiliation_summary", "affiliation_decay", "affiliation_score"), ()),
+    "claim_shares": ("commercial_grain", "medicare_edges"),
+    "score_buckets": ("affiliations",),
+    **dict.fromkeys(
+        ("assembled_affiliations", "other_source_flag", "current_flag", "firm_type_rank", "directory_only_affiliations",
+         "bucket_uplift", "inclusion_flag", "final_affiliations"),
+        FUSED,
+    ),
+}
+
 FLAGSHIP = "final_affiliations"
 
 
@@ -80,7 +97,7 @@ def _make(key: str) -> Callable[[SparkSession, str], DataFrame]:
     cols = ORACLE_QUERIES[key][1]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _typed(key, STAGES[key](pipeline_for(spark, sf_dir)), cols)
+        return _typed(key, STAGES[key](pipeline_for(spark, sf_dir, key=key)), cols)
 
     run.__name__ = key
     return run
@@ -88,7 +105,7 @@ def _make(key: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The final table as the pipeline computes it."""
-    return pipeline_for(spark, sf_dir).final
+    return pipeline_for(spark, sf_dir, key=FLAGSHIP).final
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -94,13 +94,18 @@ def _medicare_claims(lines: DataFrame, n_customers: Column) -> DataFrame:
     # Claim files are fixed width in places: some ids end in blanks.
     padded = lambda c, when: F.when(when, F.concat(c, F.lit("  "))).otherwise(c)
     types = F.array(*[F.lit(t) for t in CLAIM_TYPES])
-    out = (
+    # Dealt by folder as lines: numbers, before the ids become text and lines are repeated for each release.
+    dealt = (
         lines.filter(F.col("l_linestatus") == "F")
-        .select("*", vintage.alias("vintage"), F.explode(releases).alias("release"))
+        .select("*", vintage.alias("_vintage"), F.element_at(types, (F.col("l_suppkey") % len(CLAIM_TYPES) + 1).cast("int")).alias("claim_type"))
+        .hint("rebalance", F.col("_vintage"), F.col("claim_type"))
+    )
+    out = (
+        dealt.select("*", vintage.alias("vintage"), F.explode(releases).alias("release"))
         .select(
             "vintage",
             "release",
-            F.element_at(types, (F.col("l_suppkey") % len(CLAIM_TYPES) + 1).cast("int")).alias("claim_type"),
+            "claim_type",
             d.alias("clm_thru_dt"),
             F.when(ln == 7, F.lit("")).when(ln == 6, F.lit("UNKNOWN")).otherwise(padded(phys, ln == 4)).alias("at_physn_npi"),
             F.when(ln % 3 == 0, phys)
@@ -121,22 +126,25 @@ def _medicare_claims(lines: DataFrame, n_customers: Column) -> DataFrame:
     return conform(out, ROLE_SCHEMAS["medicare_claims"])
 
 
-def load_testdata(spark: SparkSession, sf_dir: str, stage: bool = True) -> Sources:
+def load_testdata(spark: SparkSession, sf_dir: str, stage: bool = True, read_once: tuple[str, ...] = ()) -> Sources:
     """All source roles derived from ``{sf_dir}/*.parquet``.
 
     With ``stage`` a role is written as a Parquet dataset when it is first
     used (Medicare claims partitioned by vintage / release / claim type, like
     the production layout), so that its derivation is not repeated by every
-    consumer and unused roles cost nothing.
+    consumer and unused roles cost nothing.  Roles of ``read_once`` have one
+    consumer, which derives them.
     """
     sources = derive_sources(spark, sf_dir)
-    return StagedSources(spark, sources) if stage else sources
+    return StagedSources(spark, sources, read_once=read_once) if stage else sources
 
 
 class StagedSources:
     """The roles of ``Sources``, each written once, on first use, and read back."""
 
-    def __init__(self, spark: SparkSession, sources: Sources, materialize: Callable | None = None):
+    def __init__(self, spark: SparkSession, sources: Sources, materialize: Callable | None = None, read_once: tuple[str, ...] = ()):
+        # Roles read once are as they are derived.
+        vars(self).update({role: getattr(sources, role) for role in read_once})
         self._derived = sources
         self._materialize = materialize or Materializer(spark)
 
@@ -152,9 +160,8 @@ class StagedSources:
             staged = self._materialize(medicare_availability_of(self.medicare_claims), f"sources/{role}")
         elif role == "medicare_claims":
             part = ["vintage", "release", "claim_type"]
-            # Spark splits a large (vintage, release, claim type) over several files.
-            df = self._derived.medicare_claims.hint("rebalance", *[F.col(c) for c in part])
-            staged = conform(self._materialize(df, f"sources/{role}", partition_by=part), ROLE_SCHEMAS[role])
+            # Dealt by vintage and claim type (_medicare_claims): Spark splits a large one over several files.
+            staged = conform(self._materialize(self._derived.medicare_claims, f"sources/{role}", partition_by=part), ROLE_SCHEMAS[role])
         else:
             staged = conform(self._materialize(getattr(self._derived, role), f"sources/{role}"), ROLE_SCHEMAS[role])
         setattr(self, role, staged)

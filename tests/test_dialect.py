@@ -9,6 +9,7 @@ from provgraph.functions.dialect import (
     month_start,
     packed_claim_month,
     packed_date,
+    rounded,
     safe_ratio,
     tsql_int,
 )
@@ -69,3 +70,24 @@ def test_safe_ratio_is_double_and_null_on_zero(spark):
     assert abs(one(spark, safe_ratio(F.lit(3), F.lit(7))) - 3 / 7) < 1e-15
     assert one(spark, safe_ratio(F.lit(3), F.lit(0))) is None
     assert one(spark, safe_ratio(F.lit(3), F.lit(None).cast("long"))) is None
+
+
+def test_packed_dates_by_arithmetic_equal_those_by_text(spark):
+    """Odd lengths and impossible days included; 8-digit values are not parsed as text."""
+    odd = [0, -5, 1, 196001, 1996011, 999999999, -19960101, 99999999, 10000101, 19000229, 20000229, 20010230, 20010431, 20011231, 20010010, 20010100, None]
+    values = odd + [y * 10000 + m * 100 + d for y in (1899, 1900, 2000, 2023, 2024) for m in range(14) for d in (0, 1, 28, 29, 30, 31, 32)]
+    rows = [(v, y) for v in values for y in (1996, 2000, 999, 12345, None)]
+    df = spark.createDataFrame(rows, "v int, y int")
+    s = F.col("v").cast("string")
+    text = F.concat(F.substring(s, 1, 4), F.lit("-"), F.substring(s, 5, 2), F.lit("-"), F.substring(s, 7, 2)).try_cast("date")
+    month = F.concat(F.col("y").cast("string"), F.lit("-"), F.substring(s, 5, 2), F.lit("-01")).try_cast("date")
+    wrong = df.filter(~packed_date("v").eqNullSafe(text) | ~packed_claim_month("y", "v").eqNullSafe(month))
+    assert wrong.collect() == []
+
+
+def test_rounded_equals_round(spark):
+    df = spark.range(200_000).select((F.rand(3) * F.pow(F.lit(10.0), F.floor(F.rand(4) * 6)) - 5).alias("x"))
+    ties = spark.createDataFrame([(v,) for v in (0.5 / 64, 1 / 128, -1 / 128, 0.0, -0.0, 3.0, None, float("nan"), float("inf"), 1e300)], "x double")
+    both = df.union(ties)
+    for digits in (6, 9):
+        assert both.filter(~rounded("x", digits).eqNullSafe(F.round("x", digits))).collect() == []

@@ -45,6 +45,19 @@ def test_matches_oracle(pipe, con, key):
     assert len(s) > 0
 
 
+# As registered, each query alone writes only what it reads again.
+@pytest.mark.parametrize("key", ["monthly_rollup", "claim_shares", "affiliation_decay", "score_buckets", "directory_only_affiliations", "final_affiliations"])
+def test_registered_alone_matches_oracle(spark, con, key):
+    s = entry.queries()[key](spark, SF0001).toPandas()
+    assert digest(s) == digest(con.execute(oracle_sql()[key]).df())
+
+
+def test_stages_read_once_are_not_written(spark):
+    p = registry.pipeline_for(spark, SF0001, key="affiliation_summary")
+    files = p.affiliations.inputFiles()
+    assert files and not any(f"/{stage}/" in f for f in files for stage in ("commercial_grain", "commercial_claims", "medicare_edges", "affiliations"))
+
+
 def test_every_query_has_an_oracle():
     assert set(registry.STAGES) == set(oracle_sql()) <= set(entry.queries())
     assert len(registry.STAGES) == 32

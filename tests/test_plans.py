@@ -8,13 +8,14 @@ from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from conftest import SF0001, rows_of
 from provgraph.config import PipelineConfig
 from provgraph.operators import assemble as asm
-from provgraph.operators import scoring
+from provgraph.operators import rollup, scoring
 from provgraph.operators.shares import claim_shares
-from provgraph.plans.pipeline import WRITTEN, AffiliationPipeline
+from provgraph.plans.pipeline import FUSED, WRITTEN, AffiliationPipeline
 from provgraph.plans.publish import Materializer
 from provgraph.sources.adapter import load_testdata
 
@@ -174,3 +175,55 @@ def test_the_months_of_an_affiliation_are_computed_once(spark):
     plan = claim_shares(*frames)._jdf.queryExecution().optimizedPlan().toString()
     # One for each of the four dates and one for each source's totals.
     assert 4 <= plan.count("year(") <= 6, plan.count("year(")
+
+
+def _in_place(spark):
+    written = tuple(w for w in FUSED if w != "assembled")
+    return AffiliationPipeline(spark, load_testdata(spark, SF0001), PipelineConfig.for_testdata(), Materializer(spark), written, by_physician=True)
+
+
+@pytest.fixture
+def plain_session(spark):
+    """As Spark comes, but for adaptive execution; small dimensions are broadcast."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_affiliations_are_assembled_where_their_edges_were_dealt_to(spark, plain_session):
+    plan = _plan(_in_place(spark).assembled)
+    months = [i for i, line in enumerate(plan) if "Window [lag(" in line]
+    assert months and all(not [x for x in _exchanges_above(plan, i) if x.startswith("Exchange hashpartitioning")] for i in months), plan
+
+
+def test_generated_methods_are_short_enough_to_be_compiled(spark, plain_session):
+    """The JVM interprets methods above 8,000 bytes of code; the months of commercial edges had 15,771."""
+    parts = _in_place(spark).assembled._jdf.queryExecution().debug().codegenToSeq()
+    assert max(parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())) < 8000
+
+
+def test_edges_dealt_by_physician_equal_the_others(spark):
+    """Blank ids (NPI 0) on the whitelist or not, NPIs of two companies, features that have no edge."""
+    rng = random.Random(5)
+    schema = "physician_npi long, claim_month date, org_npi long, claims long, min_service_to_date date, max_service_to_date date"
+    edges = [
+        spark.createDataFrame([(rng.randrange(6), date(2016, rng.randint(1, 9), 1), rng.randrange(5), rng.randint(1, 4), date(2016, 1, 2), date(2016, 9, 3)) for _ in range(60)], schema)
+        for _ in range(2)
+    ]
+    crosswalk = spark.createDataFrame([(i, i % 5, i % 4) for i in range(8)], "npiid long, npi long, company_id long")
+    avail = spark.createDataFrame([(date(2016, 8, 1), 1)], "claim_date date, analysis_type_id int")
+    companies = spark.createDataFrame([(i, f"c{i}", "Hospital") for i in range(4)], "hospital_id long, hospital_name string, firm_type string")
+    cfg = PipelineConfig(as_of=date(2020, 1, 1))
+    features = spark.createDataFrame([(p, c, True if p == c else None, p + 1, None) for p in range(9) for c in range(4)], "physician_npi long, company_id long, in_directory boolean, patients_comm long, patients_mcr long")
+    for listed in ([0, 1, 2, 3], [1, 2, 3]):
+        physicians = spark.createDataFrame([(i,) for i in listed], "npi long")
+        plain, dealt, more = (rollup.unify_edges(*edges, physicians, crosswalk, **x) for x in ({}, {"by_physician": True}, {"by_physician": True, "features": features}))
+        cols = rollup.UNIFIED_COLUMNS
+        assert rows_of(plain, *cols) == rows_of(dealt, *cols)
+        summaries = [rollup.affiliation_summary(rollup.monthly_rollup(x, avail, cfg, by), companies) for x, by in ((plain, False), (dealt, True), (more, True))]
+        assert len({tuple(rows_of(s, *rollup.SUMMARY_COLUMNS)) for s in summaries}) == 1
+        got = summaries[2].select("physician_npi", "company_id", *rollup.FEATURES)
+        want = summaries[0].select("physician_npi", "company_id").join(features, ["physician_npi", "company_id"], "left")
+        assert rows_of(got, *got.columns) == rows_of(want, *got.columns)
