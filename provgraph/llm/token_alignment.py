@@ -20,7 +20,7 @@ from provgraph.llm.packing import _byte_of, encoder
 
 #: Stretches that a task remembers; beyond it, it writes its counts and starts anew.
 STRETCHES = 1 << 19
-#: Most pairs whose counts every task holds; the others are joined.
+#: Most pairs whose counts are broadcast; the others are joined by a shuffle.
 HOT_PAIRS = 1 << 20
 #: A pair of ids as one number.
 _SHIFT = 32
@@ -198,8 +198,8 @@ class Stretches:
         return len(self.place) > STRETCHES
 
 
-def _documents(batches: Iterator[pa.RecordBatch], most: int = 1 << 22) -> Iterator[tuple[list[int | None], list[str]]]:
-    """Ids and texts, some four million bytes of text at a time; bytes that are not UTF-8 count as an empty text."""
+def _documents(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[tuple[list[int | None], list[str]]]:
+    """Ids and texts, about a million bytes of text at a time; bytes that are not UTF-8 count as an empty text."""
     for batch in batches:
         ids, texts, held = [], [], 0
         for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -217,30 +217,6 @@ def _documents(batches: Iterator[pa.RecordBatch], most: int = 1 << 22) -> Iterat
             yield ids, texts
 
 
-def _count(path_a: str, path_b: str) -> Callable:
-    """Tasks that count the links of each id pair in their documents."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, times = Stretches(path_a, path_b), np.empty(0, np.int64)
-
-        def counts() -> pa.RecordBatch:
-            pairs, where = np.unique(known.pairs, return_inverse=True)
-            n = np.bincount(where, np.repeat(times, known.sizes[3]), len(pairs)).astype(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[n > 0]), pa.array(n[n > 0])], names=["pair", "n"])
-
-        for _, texts in _documents(batches):
-            at, _, _ = known.learn(texts)
-            before = np.pad(times, (0, len(known.place) - len(times)))
-            times = before + np.bincount(at, minlength=len(before))
-            if known.full():
-                yield counts()
-                known.clear()
-                times = times[:0]
-        yield counts()
-
-    return run
-
-
 def _summed(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Sums of each row of ``values`` from each start to its end; the ranges follow one another."""
     out = np.zeros((len(values), len(starts)), np.int64)
@@ -250,63 +226,48 @@ def _summed(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return out
 
 
-_SCORED = [
+_ALIGNED = [
     ("doc_id", pa.int64(), "long"), ("n_a", pa.int64(), "long"), ("n_b", pa.int64(), "long"), ("n_groups", pa.int64(), "long"),
-    ("n_links", pa.int64(), "long"), ("n_best", pa.int64(), "long"), ("count_sum", pa.int64(), "long"), ("groups_sha256", pa.string(), "string"),
-    ("cold", pa.list_(pa.int64()), "array<long>"), ("groups", pa.string(), "string"),
+    ("n_links", pa.int64(), "long"), ("groups_sha256", pa.string(), "string"), ("pairs", pa.list_(pa.int64()), "array<long>"),
+    ("groups", pa.string(), "string"),
 ]
 
 
-def _score(path_a: str, path_b: str, hot, fields: list) -> Callable:
-    """Tasks that align their documents and sum the counts of hot pairs; ``cold`` lists the links of the others."""
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size, one range after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+def _align(path_a: str, path_b: str, fields: list) -> Callable:
+    """Tasks that align their documents; ``pairs`` lists the linked pair of each link of a document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot_pairs, hot_n, hot_best = hot.value
-        known, with_groups = Stretches(path_a, path_b), len(fields) == len(_SCORED)
-
-        def looked_up(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            """(best, links in the corpus) of each pair, zeros for a cold one, and whether it is hot."""
-            if not len(hot_pairs):
-                return np.zeros((2, len(pairs)), np.int64), np.zeros(len(pairs), bool)
-            at = np.minimum(np.searchsorted(hot_pairs, pairs), len(hot_pairs) - 1)
-            is_hot = hot_pairs[at] == pairs
-            return np.stack([hot_best[at], hot_n[at]]) * is_hot, is_hot
-
-        # n_best and count_sum of each stretch over its hot pairs, and its cold pairs.
-        sums, cold, done = np.empty((2, 0), np.int64), {}, 0
+        known, with_groups = Stretches(path_a, path_b), len(fields) == len(_ALIGNED)
         for ids, texts in _documents(batches):
             places, starts, ends = known.learn(texts)
-            if known.sizes.shape[1] > sums.shape[1]:
-                had = sums.shape[1]
-                new, links = known.pairs[done:], known.sizes[3, had:]
-                values, is_hot = looked_up(new)
-                for s, p in zip(np.repeat(np.arange(had, had + len(links)), links)[~is_hot].tolist(), new[~is_hot].tolist(), strict=True):
-                    cold.setdefault(s, []).append(p)
-                sums = np.concatenate([sums, _summed(values, np.cumsum(links) - links, np.cumsum(links))], 1)
-                done = len(known.pairs)
-            totals = _summed(np.concatenate([known.sizes, sums])[:, places], starts, ends)
-            digests, groups, rest = [], [], []
+            totals = _summed(known.sizes[:, places], starts, ends)
+            links = known.sizes[3]
+            pairs = known.pairs[_ranges((np.cumsum(links) - links)[places], links[places])]
+            listed = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(totals[3])]), pa.int32()), pa.array(pairs, pa.int64()))
+            digests, groups = [], []
             for x, y in zip(starts.tolist(), ends.tolist(), strict=True):
-                mine = places[x:y].tolist()
-                joined = b";".join(map(known.groups.__getitem__, mine))
-                digests.append(hashlib.sha256(joined).hexdigest() if mine else "")
-                rest.append([p for s in mine if s in cold for p in cold[s]] if cold else [])
+                joined = b";".join(map(known.groups.__getitem__, places[x:y].tolist()))
+                digests.append(hashlib.sha256(joined).hexdigest() if y > x else "")
                 if with_groups:
                     groups.append(joined.decode())
-            columns = [ids, *totals, digests, rest, groups]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t, _) in zip(columns, fields, strict=False)], names=[f for f, _, _ in fields])
+            columns = [ids, *totals, digests, listed, groups]
+            yield pa.RecordBatch.from_arrays(
+                [c if c is listed else pa.array(c, t) for c, (_, t, _) in zip(columns, fields, strict=False)], names=[f for f, _, _ in fields]
+            )
             if known.full():
                 known.clear()
-                sums, cold, done = sums[:, :0], {}, 0
 
     return run
 
 
-def pair_counts(docs: DataFrame, path_a: str, path_b: str, scratch: Scratch) -> DataFrame:
+def pair_counts(aligned: DataFrame, scratch: Scratch) -> DataFrame:
     """All linked id pairs of the corpus as a written table: ``pair``, ``n`` links and ``best`` (1 if no pair of its B id has more)."""
-    texts = docs.select(F.lit(None).cast("long"), F.col("text").cast("binary"))
-    counted = texts.mapInArrow(_count(path_a, path_b), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    plain = scratch.save(counted)
+    plain = scratch.save(aligned.select(F.explode("pairs").alias("pair")).groupBy("pair").agg(F.count("*").alias("n")))
     b = F.col("pair").bitwiseAND((1 << _SHIFT) - 1)
     # One row for each entry of the vocabulary at most.
     highest = plain.groupBy(b.alias("_b")).agg(F.max("n").alias("_most"))
@@ -336,9 +297,10 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, *, hot_pairs: int =
 
     In a task, ``pandas.merge_asof`` finds for each token start the other side's token that covers it, keyed by the stretch of document that
     both tokens lie in; the union of both directions are the links, and equal ends cut the groups.  A stretch that comes again takes
-    the result it had.  A first pass counts the links of each id pair; a second one aligns again and sums those counts: every task holds the
-    pairs of at least a power of two of links, at most ``hot_pairs`` of them, and links of other pairs are joined with the written counts.
-    No joined key has more links than that power, so that no key is hot.
+    the result it had.  The texts are aligned once and the pair of each link is written (8 bytes before compression); Spark counts the
+    links of each pair and sums those counts for each document: the pairs of at least a power of two of links, at most ``hot_pairs`` of
+    them, are broadcast, and links of other pairs are joined with the written counts.  No joined key has more links than that power, so
+    that no key is hot.
 
     A text that is null, empty or not UTF-8, and one whose joined token bytes are not those of a space and the text, has no tokens: zeros
     and an empty string, and it counts for no pair.  Repeated rows count and return each time, null ids stay null.  Very long texts are aligned
@@ -346,23 +308,22 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, *, hot_pairs: int =
     gives an empty result.
     """
     scratch = Scratch(docs.sparkSession, "align")
-    pairs = pair_counts(docs, path_a, path_b, scratch)
-    hot, cold = _hot(pairs, hot_pairs)
-    table = hot.toArrow()
-    order = np.argsort(table["pair"].to_numpy())
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(table[c].to_numpy()[order] for c in ("pair", "n", "best")))
-    fields = _SCORED if with_groups else _SCORED[:-1]
+    fields = _ALIGNED if with_groups else _ALIGNED[:-1]
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
-    scored = scratch.save(
-        texts.mapInArrow(_score(path_a, path_b, shared, fields), ", ".join(f"{f} {t}" for f, _, t in fields))
+    aligned = scratch.save(
+        texts.mapInArrow(_align(path_a, path_b, fields), ", ".join(f"{f} {t}" for f, _, t in fields))
         .withColumn("row", F.monotonically_increasing_id())
     )
-    rest = (
-        scored.select("row", F.explode("cold").alias("pair")).join(cold, "pair")
-        .groupBy("row").agg(F.sum("best").alias("_best"), F.sum("n").alias("_sum"))
-    )
-    more = lambda c, extra: (F.col(c) + F.coalesce(F.col(extra), F.lit(0))).alias(c)
-    return scored.join(rest, "row", "left").select(
-        "doc_id", "n_a", "n_b", "n_groups", "n_links", more("n_best", "_best"), more("count_sum", "_sum"), "groups_sha256",
+    hot, cold = _hot(pair_counts(aligned, scratch), hot_pairs)
+    links = aligned.select("row", F.explode("pairs").alias("pair"))
+    found = links.join(F.broadcast(hot), "pair")
+    if not cold.isEmpty():
+        found = found.unionByName(links.join(F.broadcast(hot.select("pair")), "pair", "left_anti").join(cold, "pair"))
+    sums = found.groupBy("row").agg(F.sum("best").alias("_best"), F.sum("n").alias("_sum"))
+    scored = scratch.save(aligned.drop("pairs").join(sums, "row", "left"))
+    scratch.drop(aligned)
+    return scored.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links",
+        F.coalesce("_best", F.lit(0)).alias("n_best"), F.coalesce("_sum", F.lit(0)).alias("count_sum"), "groups_sha256",
         *(["groups"] if with_groups else []),
     )

@@ -205,6 +205,20 @@ def test_alignment_by_brute_force(spark, monkeypatch, stretches, hot):
     assert sorted(((*r[:7], r.groups) for r in got), key=key) == sorted(_brute_alignment(data), key=key)
 
 
+def test_alignment_tokenizes_each_text_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    data = [(i, f"some words of text {i}") for i in range(20)]
+    docs = docs_frame(spark, data).select("doc_id", "text").mapInArrow(counted, "doc_id long, text string")
+    assert align_tokens(docs, A, B).count() == 20
+    assert read.value == 20
+
+
 def test_alignment_of_texts_that_may_not_be_cut(spark, monkeypatch):
     data = [(1, "one two  three"), (2, "two three"), (3, "one two")]
     known = T.Stretches(A, B)
