@@ -65,6 +65,13 @@ def test_the_selection_scans_no_claims_and_the_clock_one_file(spark):
     assert "dynamicpruning" in scan and "ReadSchema: struct<clm_thru_dt:date>" in scan
 
 
+def test_stages_are_written_with_zstd(spark, tmp_path):
+    keep = Materializer(spark, str(tmp_path))
+    keep(spark.range(3), "stage")
+    written = list(tmp_path.rglob("*.parquet"))
+    assert written and all(f.name.endswith(".zstd.parquet") for f in written)
+
+
 def test_roles_without_an_availability_table(spark, tmp_path):
     root, derived = str(tmp_path / "roles"), derive_sources(spark, SF0001)
     for f in fields(Sources):
