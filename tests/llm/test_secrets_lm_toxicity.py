@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import glob
 import math
 import random
 import re
+import time
 import tracemalloc
 import zlib
 from collections import Counter
@@ -93,6 +95,32 @@ def test_lm_base_score_and_held_out_gain(spark):
     assert lm_scores(docs_frame(spark, [])).count() == 0
 
 
+def _shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_saved_tables_leave_no_shuffle_files_and_no_broadcasts(spark):
+    scratch, before = Scratch(spark, "t"), _shuffle_files(spark)
+    shared = scratch.share([1])
+    saved = scratch.save(spark.range(1000).groupBy("id").count())
+    for _ in range(50):
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    assert not left and saved.count() == 1000
+    with pytest.raises(Exception, match="destroyed"):
+        spark.sparkContext.parallelize([0], 1).map(lambda _: shared.value).collect()
+
+
+def test_lm_keeps_only_the_tables_that_the_scores_read(spark):
+    folders = lambda: set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/suffix-tree-*/*"))
+    before = folders()
+    assert lm_scores(docs_frame(spark, _lm_corpus()[:50])).count() == 50
+    # The weights and the texts' own part.
+    assert len(folders() - before) == 2
+
+
 def test_lm_states_are_distributions(spark):
     """Every retained state's probabilities over all symbols and the unknown word sum to 1, longest suffix first."""
     data = _lm_corpus()
