@@ -5,8 +5,8 @@ and the crosswalk are each joined once (joins distribute over UNION ALL).
 The unified edges are dealt once, by (npi, company): the monthly ``groupBy``,
 the LAG window and the summary find their rows there.  Edges are counted by
 role, vintage and month already, so a pair has at most a few for each month and
-organisation of its company.  Companies are joined after the summary, on the
-smallest intermediate.
+organisation of its company.  Companies are joined after the summary, or with
+the organisations where the edges are dealt by physician alone.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ UNIFIED_COLUMNS = [
 
 #: What the assembly adds by (physician, company), as columns that rows of their own may bring along with the edges.
 FEATURES = {"in_directory": "boolean", "patients_comm": "long", "patients_mcr": "long"}
+#: What a company's id determines, as columns that may come along with the organisations.
+NAMES = ["hospital_name", "firm_type"]
 
 SUMMARY_COLUMNS = [
     "physician_npi",
@@ -65,6 +67,7 @@ def unify_edges(
     crosswalk: DataFrame,
     by_physician: bool = False,
     features: DataFrame | None = None,
+    companies: DataFrame | None = None,
 ) -> DataFrame:
     """OP-08: all edge lists in one shape, physicians whitelisted, orgs resolved to companies.
 
@@ -78,7 +81,12 @@ def unify_edges(
     number of claims can share, are dropped before unless they are on the list.
     ``features``: rows (physician, company, :data:`FEATURES`) without a month,
     dealt with the edges, so that no join by both keys has to bring them.
+    ``companies``: its names come along with the organisations, and edges of
+    other companies go; then no later join by company has to deal the wider
+    rows of the summary.  Not together with ``features``.
     """
+    if companies is not None and features is not None:
+        raise ValueError("feature rows have no names")
     edges = commercial_edges.select(F.lit(True).alias("is_comm"), *EDGE_COLUMNS).unionByName(
         medicare_edges.select(F.lit(False).alias("is_comm"), *EDGE_COLUMNS)
     )
@@ -86,6 +94,8 @@ def unify_edges(
     companies_of = crosswalk.select(F.col("npi").alias("org_npi"), "company_id")
     comm = F.col("is_comm")
     brought: list[str] = []
+    if companies is not None:
+        companies_of, brought = companies_of.join(_names_of(companies), "company_id"), NAMES
     if by_physician:
         blank_listed = physicians.select(F.coalesce(F.max(F.col("npi") == 0), F.lit(False))).scalar()
         rows = edges.filter((F.col("physician_npi") != 0) | blank_listed).join(companies_of, "org_npi").drop("org_npi")
@@ -112,6 +122,14 @@ def unify_edges(
     )
 
 
+def _names_of(companies: DataFrame) -> DataFrame:
+    return companies.select(F.col("hospital_id").alias("company_id"), *NAMES)
+
+
+def _brought_names(df: DataFrame) -> list[str]:
+    return [c for c in NAMES if c in df.columns]
+
+
 def _features_of(df: DataFrame) -> list[str]:
     return [c for c in FEATURES if c in df.columns]
 
@@ -143,7 +161,7 @@ def monthly_rollup(unified: DataFrame, claim_availability: DataFrame, cfg: Pipel
             F.max("max_date_mcr").alias("max_date_mcr"),
             F.sum("commercial_claims").alias("commercial_claims"),
             F.sum("medicare_claims").alias("medicare_claims"),
-            *[F.max(c).alias(c) for c in features],
+            *[F.max(c).alias(c) for c in (*_brought_names(unified), *features)],
         )
     )
     w = Window.partitionBy("physician_npi", "company_id").orderBy("claim_month")
@@ -158,10 +176,13 @@ def affiliation_summary(monthly: DataFrame, companies: DataFrame) -> DataFrame:
     Rows of ``monthly`` are unique per (physician, company, month), so the
     three distinct month counts of the original are plain (conditional)
     counts.  Companies must be keyed by ``hospital_id`` (as the company
-    dimension is); the join then keeps one row per affiliation.  Features are
-    taken over; a pair that has nothing else is no affiliation.
+    dimension is); the join then keeps one row per affiliation.  It is left out
+    if ``monthly`` has the names already.  Features are taken over; a pair that
+    has nothing else is no affiliation.
     """
     month, features = F.col("claim_month"), _features_of(monthly)
+    # Aggregates, so that a query without the names does not carry them.
+    named = _brought_names(monthly)
     summary = monthly.groupBy("physician_npi", "company_id").agg(
         F.min("min_date").alias("min_date"),
         F.max("max_date").alias("max_date"),
@@ -178,9 +199,10 @@ def affiliation_summary(monthly: DataFrame, companies: DataFrame) -> DataFrame:
         (month_diff(F.max(month), F.min(month)) + 1).cast("long").alias("months_denom"),
         F.sum("commercial_claims").alias("comm_claims"),
         F.sum("medicare_claims").alias("mcr_claims"),
-        *[F.max(c).alias(c) for c in features],
+        *[F.max(c).alias(c) for c in (*named, *features)],
     )
     if features:
         summary = summary.filter(F.col("months") > 0)
-    names = companies.select(F.col("hospital_id").alias("company_id"), "hospital_name", "firm_type")
-    return summary.join(names, "company_id").select(*SUMMARY_COLUMNS, *features)
+    if not named:
+        summary = summary.join(_names_of(companies), "company_id")
+    return summary.select(*SUMMARY_COLUMNS, *features)

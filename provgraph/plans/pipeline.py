@@ -150,8 +150,8 @@ class AffiliationPipeline:
     def unified_edges(self) -> DataFrame:
         return self._unified()
 
-    def _unified(self, features: DataFrame | None = None) -> DataFrame:
-        return rollup.unify_edges(self.commercial_edges, self.medicare_edges, self.src.physicians, self.src.crosswalk, self.by_physician, features)
+    def _unified(self, features: DataFrame | None = None, companies: DataFrame | None = None) -> DataFrame:
+        return rollup.unify_edges(self.commercial_edges, self.medicare_edges, self.src.physicians, self.src.crosswalk, self.by_physician, features, companies)
 
     def _monthly(self, unified: DataFrame) -> DataFrame:
         return rollup.monthly_rollup(unified, self.src.claim_availability, self.cfg, self.by_physician)
@@ -162,7 +162,9 @@ class AffiliationPipeline:
 
     @cached_property
     def affiliations(self) -> DataFrame:
-        summary = rollup.affiliation_summary(self.monthly, self.src.companies)
+        # Dealt by physician, the rows bring their companies' names; dealing the summary by company would move the widest rows.
+        monthly = self._monthly(self._unified(companies=self.src.companies)) if self.by_physician else self.monthly
+        summary = rollup.affiliation_summary(monthly, self.src.companies)
         if self.score_bounds is not None:
             summary = scoring.observe_score(summary, self.score_bounds)
         return self._stage(summary, "affiliations")

@@ -17,6 +17,7 @@ from provgraph.operators import rollup, scoring
 from provgraph.operators.shares import claim_shares
 from provgraph.plans.pipeline import FUSED, WRITTEN, AffiliationPipeline
 from provgraph.plans.publish import Materializer
+from provgraph.plans.queries import STAGES, pipeline_for
 from provgraph.sources.adapter import load_testdata
 
 
@@ -62,6 +63,17 @@ def test_the_affiliations_are_exchanged_once_in_the_assembly(spark, no_broadcast
     assert len(above) == 1 and above[0].startswith("Exchange hashpartitioning(physician_npi"), above
 
 
+@pytest.mark.parametrize("key", ["affiliation_summary", "affiliation_score", "affiliation_decay"])
+def test_no_affiliation_is_dealt_by_company(spark, no_broadcast, key):
+    """The names come with the organisations; only companies and the crosswalk are dealt by company."""
+    pipe = pipeline_for(spark, SF0001, key=key)
+    plan = _plan(STAGES[key](pipe))
+    months = [i for i, line in enumerate(plan) if "Window" in line]
+    assert months
+    above = _exchanges_above(plan, months[0])
+    assert not any("company_id" in x for x in above), above
+
+
 def test_commercial_claims_are_exchanged_twice_at_most(spark, no_broadcast):
     """Once by the physician's id, once by the organisations' of all roles."""
     pipe = AffiliationPipeline(spark, load_testdata(spark, SF0001), PipelineConfig.for_testdata(), Materializer(spark, enabled=False))

@@ -48,6 +48,20 @@ def test_rollup_and_summary(spark, cfg):
     assert s["min_date_mcr"] == date(2016, 4, 5) and s["max_date_comm"] == date(2016, 4, 2)
 
 
+def test_names_that_come_with_the_organisations(spark, cfg):
+    """Same affiliations as by a join after the summary; companies that are not listed go."""
+    comm = frame(spark, EDGE, [e(1, 2016, 1, 10, 2, 3, 9), e(1, 2016, 4, 11, 1, 2, 2), e(2, 2016, 4, 12, 5, 1, 1)])
+    mcr = frame(spark, EDGE, [e(1, 2016, 4, 10, 3, 5, 6), e(1, 2016, 9, 13, 1, 7, 7), e(3, 2016, 9, 14, 1, 7, 7)])
+    physicians, avail = frame(spark, S.PHYSICIANS, [(1,), (2,), (3,)]), frame(spark, S.CLAIM_AVAILABILITY, [(date(2016, 12, 31), 1)])
+    xw = frame(spark, S.CROSSWALK, [(10, 10, 100), (11, 11, 101), (12, 12, 101), (13, 13, 999), (14, 14, None)])
+    companies = frame(spark, S.COMPANIES, [(100, "H", "Hospital", "c", "s"), (101, None, "Imaging Center", "c", "s")])
+    plain = rollup.affiliation_summary(rollup.monthly_rollup(rollup.unify_edges(comm, mcr, physicians, xw), avail, cfg), companies)
+    brought = rollup.unify_edges(comm, mcr, physicians, xw, by_physician=True, companies=companies)
+    named = rollup.affiliation_summary(rollup.monthly_rollup(brought, avail, cfg, by_physician=True), companies)
+    assert named.columns == plain.columns and named.count() == 3
+    assert rows_of(named, *plain.columns) == rows_of(plain, *plain.columns)
+
+
 def test_month_window_bounds(spark, cfg):
     edges = frame(spark, EDGE, [e(1, 2015, 12, 10, 1, 1, 1), e(1, 2017, 2, 10, 1, 1, 1), e(1, 2016, 5, 10, 1, 1, 1)])
     empty = frame(spark, EDGE, [])
