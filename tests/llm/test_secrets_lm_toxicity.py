@@ -113,6 +113,13 @@ def test_saved_tables_leave_no_shuffle_files_and_no_broadcasts(spark):
         spark.sparkContext.parallelize([0], 1).map(lambda _: shared.value).collect()
 
 
+def test_lm_counts_bounded_chunks():
+    """A chunk ends with the text that fills a million keys."""
+    texts = pa.RecordBatch.from_arrays([pa.array([b"a " * 600_000] * 4)], ["_text"])
+    sizes = list(suffix_tree_lm._chunks(lambda h, first: len(h))(iter([texts])))
+    assert sizes == [1_200_002, 1_200_002]
+
+
 def test_lm_keeps_only_the_tables_that_the_scores_read(spark):
     folders = lambda: set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/suffix-tree-*/*"))
     before = folders()
