@@ -83,10 +83,9 @@ def unify_edges(
     dealt with the edges, so that no join by both keys has to bring them.
     ``companies``: its names come along with the organisations, and edges of
     other companies go; then no later join by company has to deal the wider
-    rows of the summary.  Not together with ``features``.
+    rows of the summary.  Features have no names; a pair that has nothing else
+    is no affiliation.
     """
-    if companies is not None and features is not None:
-        raise ValueError("feature rows have no names")
     edges = commercial_edges.select(F.lit(True).alias("is_comm"), *EDGE_COLUMNS).unionByName(
         medicare_edges.select(F.lit(False).alias("is_comm"), *EDGE_COLUMNS)
     )
@@ -100,7 +99,7 @@ def unify_edges(
         blank_listed = physicians.select(F.coalesce(F.max(F.col("npi") == 0), F.lit(False))).scalar()
         rows = edges.filter((F.col("physician_npi") != 0) | blank_listed).join(companies_of, "org_npi").drop("org_npi")
         if features is not None:
-            rows, brought = rows.unionByName(features, allowMissingColumns=True), list(FEATURES)
+            rows, brought = rows.unionByName(features, allowMissingColumns=True), [*brought, *FEATURES]
         resolved = rows.repartition("physician_npi").join(whitelist, "physician_npi")
     else:
         resolved = edges.join(whitelist, "physician_npi").join(companies_of, "org_npi")

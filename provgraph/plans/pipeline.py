@@ -18,8 +18,10 @@ published folder: later stages read it there, and no stage is computed twice.
   OP-29.
 
 Parquet scans prune columns and push filters; every dimension join is left to
-the optimizer's size check (``spark.sql.autoBroadcastJoinThreshold``, AQE),
-only frames with a proven tiny bound (vintage selection, one-row dates) are
+the optimizer's size check (``spark.sql.autoBroadcastJoinThreshold``, AQE) as
+long as the dimension is within that threshold by its rows, not only by its
+packed files; beyond, it is a merge join (``sources.tables.lookup``).  Only
+frames with a proven tiny bound (vintage selection, one-row dates) are
 broadcast explicitly.
 """
 
@@ -36,7 +38,7 @@ from provgraph.operators import decay as dec
 from provgraph.operators import directory, edges, patients, rollup, scoring, shares
 from provgraph.plans.publish import KEEP, Materializer, Publication
 from provgraph.sources.catalog import newest_file
-from provgraph.sources.tables import Sources
+from provgraph.sources.tables import Sources, fits_broadcast, lookup
 
 
 #: Stages that are written, in the order of their dependencies.
@@ -90,6 +92,14 @@ class AffiliationPipeline:
         self.materialize = materialize if materialize is not None else Materializer(spark)
         self.written = written
         self.by_physician = by_physician
+        self._lookups: dict[tuple[str, ...], DataFrame] = {}
+
+    def _lookup(self, role: str, *columns: str) -> DataFrame:
+        """A role, or columns of it, that rows are joined with (:func:`lookup`); its rows are counted once."""
+        if (role, *columns) not in self._lookups:
+            df = getattr(self.src, role)
+            self._lookups[role, *columns] = lookup(df.select(*columns) if columns else df)
+        return self._lookups[role, *columns]
 
     def check_inputs(self) -> None:
         """Company ids must be a key: a repeated one would silently multiply affiliations (Q8)."""
@@ -107,7 +117,7 @@ class AffiliationPipeline:
     # ------------------------------------------------------------------ step 1: edges
     @cached_property
     def commercial_grain(self) -> DataFrame:
-        return self._stage(edges.commercial_claim_grain(self.src.commercial_claims, self.src.crosswalk, self.cfg), "commercial_grain")
+        return self._stage(edges.commercial_claim_grain(self.src.commercial_claims, self._lookup("crosswalk"), self.cfg), "commercial_grain")
 
     @cached_property
     def commercial_edges(self) -> DataFrame:
@@ -151,7 +161,9 @@ class AffiliationPipeline:
         return self._unified()
 
     def _unified(self, features: DataFrame | None = None, companies: DataFrame | None = None) -> DataFrame:
-        return rollup.unify_edges(self.commercial_edges, self.medicare_edges, self.src.physicians, self.src.crosswalk, self.by_physician, features, companies)
+        # With names, the organisations are joined with the companies first, whichever of the two is the smaller.
+        crosswalk = self._lookup("crosswalk") if companies is None else self.src.crosswalk
+        return rollup.unify_edges(self.commercial_edges, self.medicare_edges, self._lookup("physicians"), crosswalk, self.by_physician, features, companies)
 
     def _monthly(self, unified: DataFrame) -> DataFrame:
         return rollup.monthly_rollup(unified, self.src.claim_availability, self.cfg, self.by_physician)
@@ -163,8 +175,8 @@ class AffiliationPipeline:
     @cached_property
     def affiliations(self) -> DataFrame:
         # Dealt by physician, the rows bring their companies' names; dealing the summary by company would move the widest rows.
-        monthly = self._monthly(self._unified(companies=self.src.companies)) if self.by_physician else self.monthly
-        summary = rollup.affiliation_summary(monthly, self.src.companies)
+        monthly = self._monthly(self._unified(companies=self._lookup("companies"))) if self.by_physician else self.monthly
+        summary = rollup.affiliation_summary(monthly, self._lookup("companies"))
         if self.score_bounds is not None:
             summary = scoring.observe_score(summary, self.score_bounds)
         return self._stage(summary, "affiliations")
@@ -195,7 +207,7 @@ class AffiliationPipeline:
 
     @cached_property
     def patients_medicare(self) -> DataFrame:
-        counted = patients.unique_patients_medicare(None, None, self.src.crosswalk, self.cfg, grain=self.medicare_grain)
+        counted = patients.unique_patients_medicare(None, None, self._lookup("crosswalk"), self.cfg, grain=self.medicare_grain)
         return self._stage(counted, "patients_medicare")
 
     @cached_property
@@ -205,30 +217,30 @@ class AffiliationPipeline:
     # ------------------------------------------------------------------ step 3: directory
     @cached_property
     def hospital_affiliations(self) -> DataFrame:
-        return self._stage(directory.hospital_affiliations(self.src.directory_physicians, self.src.companies, self.cfg.as_of), "hospital_affiliations")
+        return self._stage(directory.hospital_affiliations(self.src.directory_physicians, self._lookup("companies"), self.cfg.as_of), "hospital_affiliations")
 
     @cached_property
     def group_affiliations(self) -> DataFrame:
-        groups = directory.group_affiliations(self.src.group_practice, self.src.directory_physicians, self.src.companies, self.cfg.as_of)
+        groups = directory.group_affiliations(self.src.group_practice, self._lookup("directory_physicians", "npi"), self._lookup("companies"), self.cfg.as_of)
         return self._stage(groups, "group_affiliations")
 
-    def _child_sites(self, sites: DataFrame) -> DataFrame:
+    def _child_sites(self, sites: str) -> DataFrame:
         return directory.child_site_affiliations(
-            self.src.directory_physicians,
+            self._lookup("directory_physicians", "npi"),
             self.src.group_practice,
-            self.src.physician_groups,
-            sites,
-            self.src.companies,
+            self._lookup("physician_groups"),
+            self._lookup(sites),
+            self._lookup("companies"),
             self.cfg.as_of,
         )
 
     @cached_property
     def surgery_center_affiliations(self) -> DataFrame:
-        return self._stage(self._child_sites(self.src.surgery_centers), "surgery_center_affiliations")
+        return self._stage(self._child_sites("surgery_centers"), "surgery_center_affiliations")
 
     @cached_property
     def imaging_center_affiliations(self) -> DataFrame:
-        return self._stage(self._child_sites(self.src.imaging_centers), "imaging_center_affiliations")
+        return self._stage(self._child_sites("imaging_centers"), "imaging_center_affiliations")
 
     # ------------------------------------------------------------------ steps 4-5: decay, score
     @cached_property
@@ -274,7 +286,9 @@ class AffiliationPipeline:
     def _assembled_in_place(self, running: DataFrame) -> DataFrame:
         """From the edges to the assembled rows, all dealt once, by physician; the buckets follow when the scores' bounds are known."""
         features = asm.feature_rows(self.other_source_pairs, self.patients_commercial, self.patients_medicare)
-        summary = rollup.affiliation_summary(self._monthly(self._unified(features)), self.src.companies)
+        # Names that can't be broadcast come along with the organisations; dealing the summary by company would move the widest rows.
+        brought = None if fits_broadcast(self.src.companies) else self._lookup("companies")
+        summary = rollup.affiliation_summary(self._monthly(self._unified(features, brought)), self._lookup("companies"))
         # Score, shares and decay have a sort between each other: one method of generated code for all of them is too long to be compiled.
         scored = shares.with_claim_shares(scoring.with_score(summary), running, "left")
         ranked = scored.withColumn("firm_type_rank", asm.firm_type_rank("score", self.cfg))

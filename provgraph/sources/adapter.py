@@ -232,9 +232,10 @@ def derive_sources(spark: SparkSession, sf_dir: str) -> Sources:
     )
 
     kind = (skey % len(FIRM_TYPES)).cast("int")
-    places = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    # One after the other: both together are reckoned larger than the suppliers' files, and the suppliers would be broadcast.
+    placed = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).join(region, nation.n_regionkey == region.r_regionkey)
     companies = conform(
-        supplier.join(places, supplier.s_nationkey == places.n_nationkey).select(
+        placed.select(
             (skey + 1).alias("hospital_id"),
             F.col("s_name").alias("hospital_name"),
             F.element_at(F.array(*[F.lit(t) for t in FIRM_TYPES]), kind + 1).alias("firm_type"),

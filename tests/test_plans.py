@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import re
 from datetime import date, timedelta
@@ -19,6 +20,7 @@ from provgraph.plans.pipeline import FUSED, WRITTEN, AffiliationPipeline
 from provgraph.plans.publish import Materializer
 from provgraph.plans.queries import STAGES, pipeline_for
 from provgraph.sources.adapter import load_testdata
+from provgraph.sources.tables import fits_broadcast, lookup
 
 
 @pytest.fixture
@@ -239,3 +241,55 @@ def test_edges_dealt_by_physician_equal_the_others(spark):
         got = summaries[2].select("physician_npi", "company_id", *rollup.FEATURES)
         want = summaries[0].select("physician_npi", "company_id").join(features, ["physician_npi", "company_id"], "left")
         assert rows_of(got, *got.columns) == rows_of(want, *got.columns)
+
+
+def _many_packed_rows(spark):
+    """The sources of sf0.001 with dimensions of many rows that no claim uses; ids in sequence and missing names make small files of them."""
+    sources, folder = load_testdata(spark, SF0001), Materializer(spark)
+    ids = lambda name, first, n: spark.range(first, first + n).withColumnRenamed("id", name)
+    more = {
+        "physicians": ids("npi", 2 * 10**9, 50_000), "directory_physicians": ids("npi", 2 * 10**9, 50_000), "companies": ids("hospital_id", 10**6, 8_000),
+        "crosswalk": ids("npiid", 2 * 10**9, 30_000).withColumn("npi", F.col("npiid")),
+    }
+    for role, rows in more.items():
+        setattr(sources, role, folder(getattr(sources, role).unionByName(rows, allowMissingColumns=True).coalesce(1), role))
+    return sources
+
+
+def _broadcast_tables(plan: list[str]) -> list[str]:
+    """Columns of the tables that are broadcast as they are read."""
+    found = []
+    for i, line in enumerate(plan):
+        if "BroadcastExchange" in line and "ReusedExchange" not in line:
+            chain = itertools.takewhile(lambda x: not re.search("Exchange|Join|Union|Aggregate", x), plan[i + 1:])
+            found += [re.search(r"ReadSchema: (\S+)", x)[1] for x in itertools.islice((x for x in chain if "FileScan" in x), 1)]
+    return found
+
+
+def test_a_dimension_of_many_rows_is_not_broadcast_for_its_small_files(spark, plain_session):
+    """The driver builds the table of a broadcast from its rows; the check of the files alone let tables pass that are twenty times larger."""
+    sources, cfg = _many_packed_rows(spark), PipelineConfig.for_testdata()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "200k")
+    for role in ("physicians", "directory_physicians", "companies", "crosswalk"):
+        assert getattr(sources, role)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 200 * 1024, role
+    written = tuple(w for w in FUSED if w != "assembled")
+    pipe = AffiliationPipeline(spark, sources, cfg, Materializer(spark), written, by_physician=True)
+    large = ("struct<npi:bigint>", "hospital_name", "struct<npiid:bigint", "struct<npi:bigint,company_id:bigint>", "struct<hospital_id:bigint>")
+    for df in (pipe.assembled, pipe.directory_only, pipe.final):
+        tables = _broadcast_tables(_plan(df))
+        assert not [x for x in tables if any(y in x for y in large)], tables
+    plan = _plan(pipe.assembled)
+    months = [i for i, line in enumerate(plan) if "Window [lag(" in line]
+    assert months and all(not [x for x in _exchanges_above(plan, i) if x.startswith("Exchange hashpartitioning")] for i in months), plan
+    # Names came along with the organisations; the rows are those of the small dimensions.
+    cols = asm.ASSEMBLED_COLUMNS
+    assert rows_of(pipe.assembled, *cols) == rows_of(_in_place(spark).assembled, *cols)
+
+
+def test_a_dimension_fits_a_broadcast_by_its_rows(spark, plain_session):
+    df = spark.range(1000)
+    # A long and eight bytes a row.
+    for limit, fits in (("16000b", True), ("15999b", False), ("-1", False)):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        assert fits_broadcast(df) is fits
+        assert lookup(df).count() == 1000
