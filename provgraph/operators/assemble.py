@@ -124,14 +124,16 @@ def assemble(
     ).select(*[c for c in ASSEMBLED_COLUMNS if c != "score_bucket" or c in gathered.columns], "has_totals")
 
 
-def directory_only_rows(assembled: DataFrame, hospital_affils: DataFrame, group_affils: DataFrame) -> DataFrame:
+def directory_only_rows(assembled: DataFrame, hospital_affils: DataFrame, group_affils: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """OP-29: directory affiliations with no claim edge, five columns set.
 
     Hospitals: bucket ``7 - rank`` when the physician has no 'Hospital' claim
     edge at all, else 2.  Physician groups: bucket 6.  Both are flagged as
     other-source.  Both branches read the table before the insert (Q24).
+    ``pairs``: the table as rows are looked up in it by :data:`KEY`, if that
+    is not left to Spark.
     """
-    edges = assembled.select(F.col("physician_npi").alias("npi"), F.col("company_id").alias("hospital_id"))
+    edges = (assembled if pairs is None else pairs).select(F.col("physician_npi").alias("npi"), F.col("company_id").alias("hospital_id"))
     with_hospital_edge = (
         assembled.filter(F.col("firm_type") == "Hospital")
         .select(F.col("physician_npi").alias("npi"))
@@ -190,9 +192,9 @@ def include_flag(cfg: PipelineConfig):
     return F.when(strong | (c("score_bucket") >= 6) | (c("other_source_flag") == 1), 1).otherwise(0)
 
 
-def finalize(assembled: DataFrame, hospital_affils: DataFrame, group_affils: DataFrame, cfg: PipelineConfig) -> DataFrame:
+def finalize(assembled: DataFrame, hospital_affils: DataFrame, group_affils: DataFrame, cfg: PipelineConfig, pairs: DataFrame | None = None) -> DataFrame:
     """OP-29 -> OP-30 -> OP-31 in order; 31 columns."""
     appended = assembled.unionByName(
-        directory_only_rows(assembled, hospital_affils, group_affils), allowMissingColumns=True
+        directory_only_rows(assembled, hospital_affils, group_affils, pairs), allowMissingColumns=True
     )
     return uplift_bucket(appended).withColumn("include_flag", include_flag(cfg)).select(*FINAL_COLUMNS)

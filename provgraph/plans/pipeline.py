@@ -299,13 +299,19 @@ class AffiliationPipeline:
         bucketed = scoring.with_score_bucket(self._stage(out, "assembled"), self.cfg, bounds)
         return bucketed.select(*asm.ASSEMBLED_COLUMNS, "has_totals")
 
+    @cached_property
+    def assembled_pairs(self) -> DataFrame:
+        """Keys of the assembled table; where it is written, joined with by their number."""
+        pairs = self.assembled.select(*asm.KEY)
+        return lookup(pairs) if self.materialize.enabled and "assembled" in self.written else pairs
+
     @cached_property
     def directory_only(self) -> DataFrame:
-        return asm.directory_only_rows(self.assembled, self.hospital_affiliations, self.group_affiliations)
+        return asm.directory_only_rows(self.assembled, self.hospital_affiliations, self.group_affiliations, self.assembled_pairs)
 
     @cached_property
     def final(self) -> DataFrame:
-        return self._stage(asm.finalize(self.assembled, self.hospital_affiliations, self.group_affiliations, self.cfg), "final")
+        return self._stage(asm.finalize(self.assembled, self.hospital_affiliations, self.group_affiliations, self.cfg, self.assembled_pairs), "final")
 
 
 def result(pipe: AffiliationPipeline, table: str) -> DataFrame:

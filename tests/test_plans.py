@@ -286,6 +286,17 @@ def test_a_dimension_of_many_rows_is_not_broadcast_for_its_small_files(spark, pl
     assert rows_of(pipe.assembled, *cols) == rows_of(_in_place(spark).assembled, *cols)
 
 
+@pytest.mark.parametrize("key", ["directory_only_affiliations", "final_affiliations"])
+def test_the_assembled_pairs_are_not_broadcast_for_two_of_many_columns(spark, plain_session, key):
+    """Their share of the packed file is a small part of what the driver would build of them."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "24k")
+    pipe = pipeline_for(spark, SF0001, key=key)
+    pairs = pipe.assembled.select(*asm.KEY)
+    assert pairs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 24 * 1024 < pairs.count() * 24
+    tables = _broadcast_tables(_plan(STAGES[key](pipe)))
+    assert tables and not [x for x in tables if "physician_npi:bigint,company_id:bigint>" in x], tables
+
+
 def test_a_dimension_fits_a_broadcast_by_its_rows(spark, plain_session):
     df = spark.range(1000)
     # A long and eight bytes a row.
