@@ -9,7 +9,8 @@ published folder: later stages read it there, and no stage is computed twice.
 
 - ``commercial_grain``: the commercial claims by organisation role, ids
   resolved, scanned once for edges, totals and patients (the Medicare claims
-  need no such table: edges and patients scan them);
+  need no such table: edges and patients scan them, but for a publishing run,
+  which writes what they share and scans the claims of a source once);
 - ``medicare_edges``: read by the rollup and by the Medicare totals;
 - ``affiliations``: the affiliation summary, read by decay, score, shares and
   assembly; the bounds of the scores are observed while it is written;
@@ -38,9 +39,11 @@ from provgraph.operators import decay as dec
 from provgraph.operators import directory, edges, patients, rollup, scoring, shares
 from provgraph.plans.publish import KEEP, Materializer, Publication
 from provgraph.sources.catalog import newest_file
-from provgraph.sources.tables import Sources, fits_broadcast, lookup
+from provgraph.sources.tables import Sources, lookup
 
 
+#: Roles that rows are joined with, and the columns of them if not all.
+LOOKUPS = (("crosswalk",), ("physicians",), ("directory_physicians", "npi"), ("physician_groups",), ("surgery_centers",), ("imaging_centers",), ("companies",))
 #: Stages that are written, in the order of their dependencies.
 WRITTEN = ("commercial_grain", "medicare_edges", "affiliations", "dates", "assembled")
 #: The same where nothing but the assembly reads the affiliations: they go from the edges to the
@@ -70,7 +73,7 @@ RESULTS: dict[str, tuple[str, str | None]] = {
 }
 #: Stages that a publishing run writes, each once, in the order of their dependencies.
 PUBLISHED = (
-    "commercial_grain", "commercial_edges", "medicare_edges", "affiliations", "totals_commercial", "totals_medicare",
+    "commercial_grain", "commercial_edges", "medicare_grain", "medicare_edges", "affiliations", "totals_commercial", "totals_medicare",
     "patients_commercial", "crosswalk_zero_filled", "patients_medicare", "hospital_affiliations", "group_affiliations",
     "surgery_center_affiliations", "imaging_center_affiliations", "dates", "scored", "decay", "scores", "assembled", "shares", "final",
 )
@@ -102,7 +105,9 @@ class AffiliationPipeline:
         return self._lookups[role, *columns]
 
     def check_inputs(self) -> None:
-        """Company ids must be a key: a repeated one would silently multiply affiliations (Q8)."""
+        """Company ids must be a key: a repeated one would silently multiply affiliations (Q8).  The rows of the lookups are counted before."""
+        for role in LOOKUPS:
+            self._lookup(*role)
         twice = self.src.companies.groupBy("hospital_id").count().filter("count > 1")
         if not twice.isEmpty():
             raise ValueError("hospital_id is not a key of the company dimension")
@@ -144,7 +149,7 @@ class AffiliationPipeline:
     @cached_property
     def medicare_grain(self) -> DataFrame:
         used = edges.selected_claims(self.src.medicare_claims, self.medicare_files, self.cfg)
-        return edges.medicare_claim_grain(used)
+        return self._stage(edges.medicare_claim_grain(used), "medicare_grain")
 
     @cached_property
     def medicare_events(self) -> DataFrame:
@@ -281,14 +286,25 @@ class AffiliationPipeline:
             # Scores and decay follow the join: their exchange carries the affiliations alone.
             scored, running = self._with_score_and_decay(shares.with_claim_shares(self.affiliations, running, "left")), None
         out = asm.assemble(scored, self.other_source_pairs, running, self.patients_commercial, self.patients_medicare, self.cfg)
-        return self._stage(out, "assembled")
+        return self._stage(self._counted(out), "assembled")
+
+    def _counted(self, assembled: DataFrame) -> DataFrame:
+        """The same rows; their number is observed where they are written."""
+        if self.assembled_rows is None:
+            return assembled
+        return assembled.observe(self.assembled_rows, F.count(F.lit(1)).alias("n"))
+
+    @cached_property
+    def assembled_rows(self) -> Observation | None:
+        return Observation() if self.materialize.enabled and "assembled" in self.written else None
 
     def _assembled_in_place(self, running: DataFrame) -> DataFrame:
         """From the edges to the assembled rows, all dealt once, by physician; the buckets follow when the scores' bounds are known."""
         features = asm.feature_rows(self.other_source_pairs, self.patients_commercial, self.patients_medicare)
         # Names that can't be broadcast come along with the organisations; dealing the summary by company would move the widest rows.
-        brought = None if fits_broadcast(self.src.companies) else self._lookup("companies")
-        summary = rollup.affiliation_summary(self._monthly(self._unified(features, brought)), self._lookup("companies"))
+        companies = self._lookup("companies")
+        brought = None if companies is self.src.companies else companies
+        summary = rollup.affiliation_summary(self._monthly(self._unified(features, brought)), companies)
         # Score, shares and decay have a sort between each other: one method of generated code for all of them is too long to be compiled.
         scored = shares.with_claim_shares(scoring.with_score(summary), running, "left")
         ranked = scored.withColumn("firm_type_rank", asm.firm_type_rank("score", self.cfg))
@@ -296,14 +312,14 @@ class AffiliationPipeline:
         bounds = Observation() if self.materialize.enabled and "assembled" in self.written else None
         if bounds is not None:
             out = scoring.observe_bounds(out, bounds)
-        bucketed = scoring.with_score_bucket(self._stage(out, "assembled"), self.cfg, bounds)
+        bucketed = scoring.with_score_bucket(self._stage(self._counted(out), "assembled"), self.cfg, bounds)
         return bucketed.select(*asm.ASSEMBLED_COLUMNS, "has_totals")
 
     @cached_property
     def assembled_pairs(self) -> DataFrame:
         """Keys of the assembled table; where it is written, joined with by their number."""
         pairs = self.assembled.select(*asm.KEY)
-        return lookup(pairs) if self.materialize.enabled and "assembled" in self.written else pairs
+        return pairs if self.assembled_rows is None else lookup(pairs, self.assembled_rows.get["n"])
 
     @cached_property
     def directory_only(self) -> DataFrame:

@@ -11,21 +11,22 @@ from provgraph.sources.catalog import medicare_files
 from provgraph.sources.schemas import ROLE_SCHEMAS, conform
 
 
-def fits_broadcast(df: DataFrame) -> bool:
+def fits_broadcast(df: DataFrame, rows: int | None = None) -> bool:
     """Whether a table is within the session's broadcast threshold by the number of its rows and the width of its columns.
 
     Spark's own check goes by the size of the files.  Ids in sequence take a
     byte or two of a packed file each, and twenty times that in the table that
-    the driver builds of them.  Rows of Parquet files are counted by their footers.
+    the driver builds of them.  ``rows``: their number, if known; those of
+    Parquet files are counted by their footers.
     """
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     # As Spark reckons a row: its columns and eight bytes.
-    return limit > 0 and df.count() * (df._jdf.schema().defaultSize() + 8) <= limit
+    return limit > 0 and (df.count() if rows is None else rows) * (df._jdf.schema().defaultSize() + 8) <= limit
 
 
-def lookup(df: DataFrame) -> DataFrame:
+def lookup(df: DataFrame, rows: int | None = None) -> DataFrame:
     """A table that others are joined with: by a merge join where it does not fit a broadcast, else as Spark decides."""
-    return df if fits_broadcast(df) else df.hint("merge")
+    return df if fits_broadcast(df, rows) else df.hint("merge")
 
 
 @dataclass(frozen=True)
